@@ -12,7 +12,9 @@ def parse_event_time(raw: Column, fmt: str | None = None) -> Column:
     forms are accepted (a bare year, a zone suffix, `now`, ...); pass
     ``"yyyy-MM-dd HH:mm:ss"`` to accept nothing else. Needs a UTC session zone.
     """
-    text = F.regexp_replace(raw, " UTC$", "")
+    text = F.when(
+        F.endswith(raw, F.lit(" UTC")), F.substring(raw, F.lit(1), F.length(raw) - 4)
+    ).otherwise(raw)
     return F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
 
 

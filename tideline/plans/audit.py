@@ -37,12 +37,9 @@ class RunRecord:
 
 
 def append_record(spark: SparkSession, path: str, record: RunRecord) -> None:
-    (
-        spark.createDataFrame([asdict(record)], schemas.AUDIT)
-        .coalesce(1)
-        .write.mode("append")
-        .json(path)
-    )
+    values = asdict(record)
+    row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.AUDIT]
+    spark.range(1).coalesce(1).select(*row).write.mode("append").json(path)
 
 
 @contextmanager

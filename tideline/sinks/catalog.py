@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -37,9 +37,10 @@ def create_layer_table(
         return
     if partition_column:
         # Partitions can only be looked for in a folder that exists; this adds no rows.
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(
-            partition_column
-        ).parquet(table.path)
+        no_rows = spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        )
+        no_rows.write.mode("append").partitionBy(partition_column).parquet(table.path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     partitioning = f"PARTITIONED BY (`{partition_column}`)" if partition_column else ""
     location = table.path.replace("\\", "\\\\").replace("'", "\\'")

@@ -30,17 +30,7 @@ def store_bronze(
     """
     require_utc_session(spark)
     with recorded_run(spark, lake.audit_path, run_id, source, lake.bronze.path) as run:
-        seen = Observation("bronze")
-        replace_days(
-            with_utc_day(raw, time_format),
-            lake.bronze.path,
-            schemas.BRONZE_DAY,
-            observation=seen,
-            metrics=(F.count(F.lit(1)).alias("rows"),),
-        )
-        run.row_count = seen.get.get("rows", 0)
-        create_layer_table(spark, lake.bronze, schemas.BRONZE, schemas.BRONZE_DAY)
-        register_days(spark, lake.bronze)
+        run.row_count = _replace_bronze(spark, lake, raw, time_format)
     return run.row_count
 
 
@@ -53,6 +43,27 @@ def build_bronze(
     time_format: str | None = None,
 ) -> int:
     """Stores a CSV directory, or just the paths of the days that are new."""
+    require_utc_session(spark)
     paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
-    raw = read_raw_csv(spark, paths, header)
-    return store_bronze(spark, lake, raw, ",".join(paths), run_id, time_format)
+    with recorded_run(
+        spark, lake.audit_path, run_id, ",".join(paths), lake.bronze.path
+    ) as run:
+        raw = read_raw_csv(spark, paths, header)
+        run.row_count = _replace_bronze(spark, lake, raw, time_format)
+    return run.row_count
+
+
+def _replace_bronze(
+    spark: SparkSession, lake: Lake, raw: DataFrame, time_format: str | None
+) -> int:
+    seen = Observation("bronze")
+    replace_days(
+        with_utc_day(raw, time_format),
+        lake.bronze.path,
+        schemas.BRONZE_DAY,
+        observation=seen,
+        metrics=(F.count(F.lit(1)).alias("rows"),),
+    )
+    create_layer_table(spark, lake.bronze, schemas.BRONZE, schemas.BRONZE_DAY)
+    register_days(spark, lake.bronze)
+    return seen.get.get("rows", 0)

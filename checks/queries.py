@@ -16,6 +16,7 @@ from tideline.operators.cleaning import with_utc_day
 from tideline.operators.ranges import days_between
 from tideline.plans import audit, bronze, gold, silver
 from tideline.plans.lake import Lake
+from tideline.sinks import replace_days
 from tideline.sources import read_bronze_range, read_raw_csv
 
 HALF_HOUR = 1800
@@ -246,9 +247,12 @@ def silver_partial_overwrite(spark, sf_dir):
         .filter(F.col(schemas.SILVER_DAY) == day_literal(day))
         .filter(F.col("event_type") == "view")
     )
-    silver._replace_silver(
-        spark, lake, sessions.sessionize(views, HALF_HOUR), day, day
+    replace_days(
+        sessions.sessionize(views, HALF_HOUR).select(*schemas.SILVER.names),
+        lake.silver.path,
+        schemas.SILVER_DAY,
     )
+    silver.create_silver(spark, lake)
     rows = _rows_by(spark.table(lake.silver.name), schemas.SILVER_DAY)
     return _settled(spark, lake, rows)
 
@@ -295,7 +299,8 @@ def external_table_silver(spark, sf_dir):
 
 
 def wau_by_user(spark, sf_dir):
-    return activity.users_by_week(sessionize(spark, sf_dir))
+    # Users need no sessions: the clean rows are the Silver rows.
+    return activity.users_by_week(given.clean(spark, sf_dir))
 
 
 def wau_by_session(spark, sf_dir):

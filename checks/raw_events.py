@@ -26,7 +26,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir).select(
         "event_id",
         F.when(every(97), "not-a-time")
-        .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
+        .otherwise(F.concat(text(F.date_trunc("second", "ts")), F.lit(" UTC")))
         .alias("event_time"),
         "event_type",
         F.get_json_object("props", "$.k").alias("product_id"),
@@ -37,7 +37,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.when(every(89), "u").otherwise(""), text(F.col("user_id"))).alias(
             "user_id"
         ),
-        F.concat_ws("-", text(F.col("user_id")), F.date_format("ts", "yyyy-MM-dd")).alias(
+        F.concat_ws("-", text(F.col("user_id")), text(F.to_date("ts"))).alias(
             "user_session"
         ),
     )

@@ -30,7 +30,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_lake(spark: SparkSession) -> Lake:
-    return Lake.under(scratch_dir(spark), f"tideline_{uuid.uuid4().hex}")
+    """A lake in a fresh folder, under a database that keeps to it as well."""
+    folder, database = scratch_dir(spark), f"tideline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}/database'")
+    return Lake.under(folder, database)
 
 
 def drop_lake(spark: SparkSession, lake: Lake) -> None:

@@ -2,6 +2,8 @@
 
 import re
 import tempfile
+from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,8 +95,9 @@ def test_weekly_activity_reads_three_columns_and_combines_before_the_shuffle(spa
     assert len(re.findall(r"HashAggregate\(keys=\[.*session_id.*user_id", text)) == 2
 
 
-def test_hot_bucket_is_split_by_adaptive_execution(spark, large_scale):
-    """A third of all rows in one (user, bucket): its join partition is cut up."""
+@contextmanager
+def tiny_partitions(spark):
+    """Adaptive execution as on large data: a few kilobytes count as a full partition."""
     small = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
@@ -106,26 +109,43 @@ def test_hot_bucket_is_split_by_adaptive_execution(spark, large_scale):
     for key, value in small.items():
         spark.conf.set(key, value)
     try:
-        n = 60_000
-        hot = F.col("id") % 3 == 0
-        clean = clean_events(
-            spark.range(0, n, 1, 8).select(
-                F.col("id").alias("key"),
-                F.when(hot, 0).otherwise(F.col("id") % 500).alias("user_id"),
-                F.timestamp_seconds(
-                    F.lit(1_700_000_100) + F.when(hot, F.col("id") % 100).otherwise(F.col("id"))
-                ).alias("event_time_utc"),
-                F.sha2(F.col("id").cast("string"), 512).alias("payload"),
-            )
-        )
-        out = sessions.with_sessions(clean)
-        assert "skew=true" in final_plan(out)
-        assert out.count() == n
+        yield
     finally:
         for key, value in old.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def hot_events(spark, n):
+    """A third of all rows in one (user, bucket)."""
+    hot = F.col("id") % 3 == 0
+    return clean_events(
+        spark.range(0, n, 1, 8).select(
+            F.col("id").alias("key"),
+            F.when(hot, 0).otherwise(F.col("id") % 500).alias("user_id"),
+            F.timestamp_seconds(
+                F.lit(1_700_000_100) + F.when(hot, F.col("id") % 100).otherwise(F.col("id"))
+            ).alias("event_time_utc"),
+            F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+        )
+    )
+
+
+def test_hot_bucket_is_split_by_adaptive_execution(spark, large_scale):
+    with tiny_partitions(spark):
+        out = sessions.with_sessions(hot_events(spark, 60_000))
+        assert "skew=true" in final_plan(out)
+        assert out.count() == 60_000
+
+
+def test_big_day_is_written_by_several_tasks(spark):
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/t"
+    with tiny_partitions(spark):
+        replace_days(hot_events(spark, 60_000), path, schemas.SILVER_DAY)
+    files = list(Path(path).glob("event_date_kst=2023-11-15/*.parquet"))
+    assert len({re.match(r"part-(\d+)", f.name).group(1) for f in files}) > 3
+    assert spark.read.parquet(path).count() == 60_000
+
+
 @pytest.mark.parametrize("name", ["sessionize", "previous_event", "wau_top200"])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(queries.QUERIES[name](spark, SF_DIR))

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, SparkSession, functions as F
 
+# Fixed value: the zone whose days and weeks are counted.
 LOCAL_ZONE = "Asia/Seoul"
 
 

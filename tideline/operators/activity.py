@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tideline import schemas
 from tideline.functions import week_start
 
+# Fixed value: rows a printed report shows at most.
 REPORT_ROWS = 200
 
 

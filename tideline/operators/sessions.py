@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tideline import schemas
 from tideline.functions import epoch_seconds
 
+# Fixed value: the default silence that ends a session.
 GAP_SECONDS = 300
 
 _USER_BUCKET = ["user_id", "bucket"]

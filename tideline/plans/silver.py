@@ -29,6 +29,7 @@ from tideline.plans.lake import Lake
 from tideline.sinks import create_layer_table, register_days, replace_days
 from tideline.sources import read_bronze_range, read_silver
 
+# Fixed value: the default look-back before a range.
 BUFFER_DAYS = 2
 DAY_SECONDS = 86_400
 

@@ -1,4 +1,7 @@
-"""Fixed column sets of every layer."""
+"""Columns of every layer.
+
+All names, types and orders here are fixed values: stored files and reports use them.
+"""
 
 from pyspark.sql import types as T
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 
+# Fixed value: the default cap on rows per file.
 MAX_ROWS_PER_FILE = 1_000_000
 
 

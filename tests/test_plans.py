@@ -70,6 +70,13 @@ def test_full_rows_are_shuffled_once_and_never_windowed(large_scale, bronze):
             assert re.search(r"hashpartitioning\(user_id#\d+L, \d+\)", line)
 
 
+def test_full_rows_are_filtered_by_parsing_the_time_once(large_scale, bronze):
+    text = plan(sessions.sessionize(clean_of(bronze)))
+    filters = [line for line in text.splitlines() if "- Filter " in line and "EndsWith" in line]
+    assert len(filters) == 2
+    assert all(line.count("EndsWith") == 1 for line in filters)
+
+
 def test_look_back_days_are_not_joined(large_scale, bronze):
     text = plan(silver_range(bronze.drop(schemas.BRONZE_DAY), "2024-01-10", "2024-01-20"))
     left, right = text.split("Window", 1)[0], text.split("Window", 1)[1]

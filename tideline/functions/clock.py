@@ -16,7 +16,7 @@ LOCAL_ZONE = "Asia/Seoul"
 
 def epoch_seconds(instant_utc: Column) -> Column:
     """Whole seconds since 1970; sub-seconds are cut off before any subtraction."""
-    return F.unix_timestamp(instant_utc)
+    return F.unix_seconds(instant_utc)
 
 
 def kst_wall_clock(instant_utc: Column, zone: str = LOCAL_ZONE) -> Column:

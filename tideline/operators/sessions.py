@@ -35,9 +35,14 @@ def check_gap(gap_seconds: int) -> int:
 
 
 def bucket_of(instant_utc: Column, gap_seconds: int) -> Column:
-    """First second of the gap-wide bucket that the instant falls in."""
+    """First second of the gap-wide bucket that the instant falls in.
+
+    Clean events always have one. Saying so keeps the planner from testing this join key
+    for null, which it would do by parsing the raw time again for every row.
+    """
     epoch = epoch_seconds(instant_utc)
-    return epoch - F.pmod(epoch, F.lit(check_gap(gap_seconds)))
+    bucket = epoch - F.pmod(epoch, F.lit(check_gap(gap_seconds)))
+    return F.coalesce(bucket, F.lit(0))
 
 
 def session_id_of(user_id: Column, start_utc: Column) -> Column:

@@ -314,7 +314,9 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def piece_ids(text: str | Column, model: str) -> Column:
-    """Ids of the text in the model file `model`: array of int, empty for null."""
+    """Ids of the text in the model file `model`: array of int, empty for null.
+
+    Declared nondeterministic only so that Spark does not encode again for every use."""
 
     @F.arrow_udf("array<int>")
     def encode(column: pa.Array) -> pa.Array:
@@ -323,7 +325,7 @@ def piece_ids(text: str | Column, model: str) -> Column:
             parts.append(list_array(*vocab.encode(part)))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
-    return encode(text)
+    return encode.asNondeterministic()(text)
 
 
 def piece_text(ids: str | Column, model: str) -> Column:
@@ -337,4 +339,4 @@ def piece_text(ids: str | Column, model: str) -> Column:
         flat = column.flatten().to_numpy(zero_copy_only=False)
         return pa.array(vocab.decode(flat, lengths), pa.string())
 
-    return decode(ids)
+    return decode.asNondeterministic()(ids)

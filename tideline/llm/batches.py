@@ -11,11 +11,12 @@ CHUNK_CHARS = 4_000_000
 
 
 def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
-    """`texts` in order, in lists of about `most` characters; a longer text is alone."""
+    """`texts` in order, in lists of about `most` characters and no more than 50,000
+    texts; a longer text is alone."""
     part: list[str] = []
     size = 0
     for text in texts:
-        if part and size + len(text) > most:
+        if part and (size + len(text) > most or len(part) == 50_000):
             yield part
             part, size = [], 0
         part.append(text)

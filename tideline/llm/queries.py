@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.llm.dartminhash import near_classes
 from tideline.llm.pieces import piece_ids, piece_text
 from tideline.llm.shipping import ship
 
@@ -43,8 +44,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(table(spark, sf_dir, "documents"))
 
 
+def op5_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_dartminhash": op5_dartminhash,
 }
 
 ORACLE: dict[str, str] = {}

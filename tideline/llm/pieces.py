@@ -32,7 +32,7 @@ MARK = "▁"  # stands for a space
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN = " ⁇ "  # how the library writes the unknown id
 NONE = np.int32(2**31 - 1)
-CACHED_WORDS = 300_000  # words whose ids a worker remembers
+CACHED_WORDS = 200_000  # words whose ids a worker remembers
 
 
 class Numbered(dict):
@@ -258,12 +258,11 @@ class Vocabulary:
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
         """The text of each id list, as the library's decode gives it."""
         shown, texts, at = self.shown, [], 0
-        listed = ids.tolist()
-        controls = np.r_[0, np.cumsum(self.control[ids])].tolist()
+        control = self.control[ids]
         for end in np.cumsum(lengths).tolist():
-            part = listed[at:end]
+            part = ids[at:end].tolist()
             try:
-                whole = controls[at] == controls[end]  # bytes do not join across a control id
+                whole = not control[at:end].any()  # bytes do not join across a control id
                 text = b"".join([shown[i] for i in part]).decode() if whole else self._with_byte_runs(part)
             except UnicodeDecodeError:
                 text = self._with_byte_runs(part)
@@ -340,3 +339,20 @@ def piece_text(ids: str | Column, model: str) -> Column:
         return pa.array(vocab.decode(flat, lengths), pa.string())
 
     return decode.asNondeterministic()(ids)
+
+
+def piece_round_trip(text: str | Column, model: str) -> Column:
+    """`piece_ids` and their `piece_text` from one Python worker: struct of ids, text."""
+
+    @F.arrow_udf("struct<ids array<int>, text string>")
+    def code(column: pa.Array) -> pa.Array:
+        vocab, ids, back = vocabulary(model), [], []
+        for part in chunks(strings(column)):
+            flat, lengths = vocab.encode(part)
+            ids.append(list_array(flat, lengths))
+            back.append(pa.array(vocab.decode(flat, lengths), pa.string()))
+        if not ids:
+            return pa.array([], pa.struct({"ids": pa.list_(pa.int32()), "text": pa.string()}))
+        return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(back)], ["ids", "text"])
+
+    return code.asNondeterministic()(text)

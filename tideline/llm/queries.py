@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
-from tideline.llm.pieces import piece_ids, piece_text
+from tideline.llm.pieces import piece_round_trip
 from tideline.llm.shipping import ship
 
 
@@ -30,8 +30,9 @@ def tokenizer_file(name: str) -> str:
 def piece_rows(docs: DataFrame) -> DataFrame:
     """Piece ids of every text, decoded again: counts and digests."""
     model = tokenizer_file("piece_bpe_32k.model")
-    coded = docs.select("doc_id", piece_ids(F.col("text"), model).alias("ids"))
-    decoded = coded.withColumn("decoded", piece_text(F.col("ids"), model))
+    decoded = docs.select("doc_id", piece_round_trip(F.col("text"), model).alias("coded")).select(
+        "doc_id", "coded.ids", F.col("coded.text").alias("decoded")
+    )
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

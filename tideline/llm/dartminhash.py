@@ -13,12 +13,13 @@ Joining. Texts equal byte by byte are one class before anything is compared. Of
 others, texts that share a band of coordinates are in a bucket. First every member is
 compared with the bucket's least id. Only buckets whose members are then not all in one
 class are looked at again, in blocks of about `BLOCK` members against each other, and only
-members of different classes are compared. Pairs whose signatures agree enough are
-checked on their shingle sets; links make classes. So a bucket of any size is worked off
-in bounded groups, no bucket is skipped, and copies are never paired with each other.
+members that are in different classes by then are compared. Pairs whose signatures agree
+enough are checked on their shingle sets; links make classes. So a bucket of any size is
+worked off in bounded groups that return fewer links than they have members, no bucket is
+skipped, and copies are never paired with each other.
 
 Null and empty texts are equal to one another; texts without a word have no signature and
-only exact copies. Rows with the same id count as one document, that of their least text digest.
+only exact copies. Rows with the same id are one document, with the links of all its texts.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FloatType
 
 from tideline.llm.batches import chunks, list_array, strings
 from tideline.llm.components import components
@@ -107,74 +107,79 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(summed + turns[:bands]).view(np.int64)
 
 
-def _sketches(weighted: bool, bands: int, rows: int):
+def _signed(texts: list[str], weighted: bool):
+    """Distinct shingles, their text numbers, and the texts' signatures."""
+    element, owner, count = distinct_shingles(texts, WIDTH)
+    weight = count.astype(float) if weighted else np.ones(len(count))
+    return element, owner, signatures(element, owner, weight, len(texts), BANDS * ROWS)
+
+
+def _band_rows(weighted: bool):
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for texts in chunks(strings(batch.column("text"))):
-                element, owner, count = distinct_shingles(texts, WIDTH)
-                weight = count.astype(float) if weighted else np.ones(len(count))
-                signature = signatures(element, owner, weight, len(texts), bands * rows)
+                _, owner, signature = _signed(texts, weighted)
                 has = np.bincount(owner, minlength=len(texts)) > 0
-                keys = band_keys(signature, bands, rows)
-                short = (signature & np.uint64(255)).astype(np.uint8)
+                keys = list_array(band_keys(signature, BANDS, ROWS)[has].ravel(), has * BANDS)
+                rows = batch.slice(done, len(texts))
+                done += len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("digest"), keys], ["id", "digest", "bands"]
+                )
+
+    return make
+
+
+def _set_rows(weighted: bool):
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in chunks(strings(batch.column("text"))):
+                element, owner, signature = _signed(texts, weighted)
+                short = [s.tobytes() for s in (signature & np.uint64(255)).astype(np.uint8)]
+                sets = list_array(element.view(np.int64), np.bincount(owner, minlength=len(texts)))
                 ids = batch.column("id").slice(done, len(texts))
-                digests = batch.column("digest").slice(done, len(texts))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids,
-                        digests,
-                        pa.array([s.tobytes() for s in short], pa.binary()),
-                        list_array(keys[has].ravel(), has * bands),
-                    ],
-                    ["id", "digest", "signature", "bands"],
+                    [ids, pa.array(short, pa.binary()), sets], ["id", "signature", "shingles"]
                 )
 
     return make
 
 
-def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        done = 0
-        for texts in chunks(strings(batch.column("text"))):
-            element, owner, _ = distinct_shingles(texts, WIDTH)
-            sizes = np.bincount(owner, minlength=len(texts))
-            ids = batch.column("id").slice(done, len(texts))
-            done += len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [ids, list_array(element.view(np.int64), sizes)], ["id", "shingles"]
-            )
-
-
-@F.arrow_udf(FloatType())
-def _agreement(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Share of equal bytes of two signatures."""
-    a = np.frombuffer(b"".join(left.to_pylist()), np.uint8).reshape(len(left), -1)
-    b = np.frombuffer(b"".join(right.to_pylist()), np.uint8).reshape(len(right), -1)
-    return pa.array((a == b).mean(axis=1), pa.float32())
-
-
-def _compare_block(key: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of members of two blocks (or of one) that are in different classes and
-    whose signatures agree enough."""
-    ids = table.column("id").to_numpy()
-    classes = table.column("class").to_numpy()
-    block = table.column("own").to_numpy()
-    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8)
-    signature = signature.reshape(len(ids), -1)
-    first, second = key[1].as_py(), key[2].as_py()
-    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-    found_a, found_b = [], []
-    for i in left.tolist():
-        against = right[ids[right] > ids[i]] if first == second else right
-        against = against[classes[against] != classes[i]]
-        agree = (signature[against] == signature[i]).mean(axis=1) if len(against) else np.zeros(0)
-        near = against[agree >= AGREE]
-        found_a += [ids[i]] * len(near)
-        found_b += ids[near].tolist()
-    a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _block_links(similarity: float):
+    """Links between two blocks of a bucket (or inside one) that join different classes;
+    a pair that earlier links of the group have joined already is not needed."""
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_numpy()
+        block = table.column("own").to_numpy()
+        joined = np.unique(table.column("class").to_numpy(), return_inverse=True)[1]
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8)
+        signature = signature.reshape(len(ids), -1)
+        sets = table.column("shingles").combine_chunks()
+        flat, ends = sets.values.to_numpy(), sets.offsets.to_numpy()
+        first, second = key[1].as_py(), key[2].as_py()
+        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        links = []
+        for i in left.tolist():
+            against = right[right > i] if first == second else right
+            against = against[joined[against] != joined[i]]
+            agree = (signature[against] == signature[i]).mean(axis=1) if len(against) else np.zeros(0)
+            order = np.argsort(-agree, kind="stable")
+            for j in against[order[: int((agree >= AGREE).sum())]].tolist():
+                if joined[i] == joined[j]:
+                    continue
+                mine, other = flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]
+                common = len(np.intersect1d(mine, other, assume_unique=True))
+                if common >= similarity * (len(mine) + len(other) - common):
+                    links.append((ids[i], ids[j]))
+                    joined[joined == joined[j]] = joined[i]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return compare
 
 
 def near_classes(
@@ -188,23 +193,18 @@ def near_classes(
     linked directly or through others, `copy_of` the least id with exactly this text."""
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     digested = rows.withColumn("digest", F.unhex(F.md5("text")))
-    made = _sketches(weighted, BANDS, ROWS)
     sketched = stored(
-        digested.mapInArrow(made, "id long, digest binary, signature binary, bands array<long>"),
-        "sketches",
+        digested.mapInArrow(_band_rows(weighted), "id long, digest binary, bands array<long>"), "sketches"
     )
     copies = stored(
         sketched.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "copies",
     )
     texts = stored(
-        sketched.join(copies, "digest", "left").select(
-            "id", F.coalesce("first", "id").alias("copy_of"), "signature", "bands"
-        ),
+        sketched.join(copies, "digest", "left").select("id", F.coalesce("first", "id").alias("copy_of"), "bands"),
         "texts",
     )
-    kept = texts.where("id = copy_of")
-    banded = kept.select("id", F.explode("bands").alias("bucket"))
+    banded = texts.where("id = copy_of").select("id", F.explode("bands").alias("bucket"))
     hubs = stored(
         banded.groupBy("bucket")
         .agg(F.min("id").alias("hub"), F.max("id").alias("other"))
@@ -213,34 +213,23 @@ def near_classes(
         "hubs",
     )
     members = stored(banded.join(hubs, "bucket").select("bucket", "id", "hub"), "members")
-    signed = kept.select("id", "signature")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose shingle sets are similar enough, as written rows."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = stored(
-            rows.join(wanted, "id", "left_semi").mapInArrow(_shingle_sets, "id long, shingles array<long>"),
-            "shingles",
-        )
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        every = F.size("sa") + F.size("sb") - common
-        checked = pairs.join(left, "a").join(right, "b").where(common >= similarity * every)
-        return stored(checked.select("a", "b"), "links")
-
+    sets = stored(
+        rows.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(
+            _set_rows(weighted), "id long, signature binary, shingles array<long>"
+        ),
+        "sets",
+    )
     spokes = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    left = signed.select(F.col("id").alias("a"), F.col("signature").alias("x"))
-    right = signed.select(F.col("id").alias("b"), F.col("signature").alias("y"))
-    agreeing = stored(
-        spokes.join(left, "a").join(right, "b").where(_agreement("x", "y") >= AGREE).select("a", "b"), "pairs"
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    alike = common >= similarity * (F.size("x") + F.size("y") - common)
+    links = stored(
+        stored(spokes, "pairs").join(left, "a").join(right, "b").where(alike).select("a", "b"), "links"
     )
-    links = verified(agreeing)
     found = components(links)
     classed = stored(
-        members.join(found, "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("class")
-        ),
+        members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("class")),
         "classed",
     )
     mixed = stored(
@@ -250,26 +239,23 @@ def near_classes(
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
         "mixed",
     )
-    own = F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int")
     blocked = (
         classed.join(mixed, "bucket")
-        .join(signed, "id")
-        .withColumn("own", own)
+        .join(sets, "id")
+        .withColumn("own", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket",
-            F.least("own", "other").alias("first"),
-            F.greatest("own", "other").alias("second"),
-            "own", "id", "class", "signature",
-        )
+        .withColumn("first", F.least("own", "other"))
+        .withColumn("second", F.greatest("own", "other"))
+        .select("bucket", "first", "second", "own", "id", "class", "signature", "shingles")
     )
     more = stored(
-        blocked.groupBy("bucket", "first", "second").applyInArrow(_compare_block, "a long, b long").distinct(),
-        "pairs",
+        blocked.groupBy("bucket", "first", "second")
+        .applyInArrow(_block_links(similarity), "a long, b long")
+        .distinct(),
+        "links",
     )
-    more = more.join(agreeing, ["a", "b"], "left_anti")
     if not more.isEmpty():
-        found = components(links.union(verified(stored(more, "pairs"))))
+        found = components(links.union(more))
     return (
         texts.select("id", "copy_of")
         .join(found.withColumnRenamed("id", "copy_of"), "copy_of", "left")

@@ -13,6 +13,9 @@ BASE = np.uint64(0x100000001B3)
 #: Bytes that belong to words: ASCII letters, digits, underscore, all of non-ASCII characters.
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
+#: ASCII letters in lower case, other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def step(n: int) -> np.uint64:
@@ -39,18 +42,48 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return mix(np.add.reduceat(terms, np.cumsum(lengths) - lengths))
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of each word of the texts, in order. Words are runs of ASCII
-    letters, digits, underscores and non-ASCII characters, in lower case."""
-    coded = [t.lower().encode("utf-8", "replace") for t in texts]
+def word_places(
+    texts: list[str], full_lower: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word of the texts, in order: hash, text number, first byte and length in
+    the text's UTF-8, and the number of its line, counted through all texts.
+
+    Words are runs of ASCII letters, digits, underscores and non-ASCII characters; ASCII
+    letters count as lower case. `full_lower` lowers other letters too; then the bytes
+    are those of the lowered text."""
+    coded = [(t.lower() if full_lower else t).encode("utf-8", "replace") for t in texts]
     sizes = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
-    data = np.frombuffer(b"\n".join(coded) + b"\n", np.uint8)
-    inside = IN_WORD[data].astype(np.int8)
-    edge = np.diff(inside, prepend=0)
+    data = LOWER[np.frombuffer(b"\n".join(coded) + b"\n", np.uint8)]
+    edge = np.diff(IN_WORD[data].astype(np.int8), prepend=0)
     starts = np.flatnonzero(edge == 1)
     lengths = np.flatnonzero(edge == -1) - starts
-    owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
-    return run_hashes(data, starts, lengths), owner
+    ends = np.cumsum(sizes)
+    owner = np.searchsorted(ends, starts, side="right")
+    line = np.searchsorted(np.flatnonzero(data == 10), starts)
+    return run_hashes(data, starts, lengths), owner, starts - (ends - sizes)[owner], lengths, line
+
+
+def word_beginnings(texts: list[str], chars: tuple[int, ...]) -> list[np.ndarray]:
+    """For each number of characters, a hash of that beginning of each word as found by
+    `word_places`; 0 for words that are not longer than that."""
+    data = LOWER[np.frombuffer("\n".join([*texts, ""]).encode("utf-8", "replace"), np.uint8)]
+    edge = np.diff(IN_WORD[data].astype(np.int8), prepend=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    heads = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
+    first = np.searchsorted(heads, starts)
+    out = []
+    for n in chars:
+        cut = heads[np.minimum(first + n, max(0, len(heads) - 1))]
+        long = cut < ends
+        found = np.zeros(len(starts), np.uint64)
+        found[long] = run_hashes(data, starts[long], (cut - starts)[long])
+        out.append(found)
+    return out
+
+
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of each word of the texts, in order, in lower case."""
+    return word_places(texts, full_lower=True)[:2]
 
 
 def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.shipping import ship
+from tideline.llm.toxicity import Field, toxicity, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,12 +46,35 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(table(spark, sf_dir, "documents"))
 
 
+def held_out(id: str = "doc_id") -> Column:
+    """Rows kept from training: the checksum of the id as text is divisible by 5."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_field(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Field:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return train(docs, labels)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagged = docs.select("doc_id", toxicity("text", toxicity_field(spark, sf_dir, docs)).alias("found"))
+    return tagged.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        F.col("found.score").alias("score"),
+        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+        F.col("found.spans").alias("spans"),
+    )
+
+
 def op5_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
 }
 

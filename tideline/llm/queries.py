@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
+from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.shipping import ship
 from tideline.llm.toxicity import Field, toxicity, train
@@ -72,10 +73,25 @@ def op5_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every place of a benchmark item in a document."""
+    docs = table(spark, sf_dir, "documents")
+    found = leaks("text", blocks(table(spark, sf_dir, "benchmark")))
+    matches = docs.select("doc_id", F.explode(found).alias("match"))
+    return matches.select(
+        "doc_id",
+        F.col("match.item").alias("item_id"),
+        F.col("match.start").alias("start"),
+        F.col("match.end").alias("end"),
+        F.col("match.edits").alias("edits"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}

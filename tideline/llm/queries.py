@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
+from tideline.llm import personal
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.shipping import ship
@@ -29,8 +30,8 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def piece_rows(docs: DataFrame) -> DataFrame:
-    """Piece ids of every text, decoded again: counts and digests."""
+def piece_ids_and_digests(docs: DataFrame) -> DataFrame:
+    """Piece ids of every text, decoded again: counts, digests and the ids."""
     model = tokenizer_file("piece_bpe_32k.model")
     decoded = docs.select("doc_id", piece_round_trip(F.col("text"), model).alias("coded")).select(
         "doc_id", "coded.ids", F.col("coded.text").alias("decoded")
@@ -40,11 +41,25 @@ def piece_rows(docs: DataFrame) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
     )
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_rows(table(spark, sf_dir, "documents"))
+    return piece_ids_and_digests(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, base, added = personal.with_spans(docs, personal.train(docs))
+    counts = [personal.count_of(kind, base).alias(f"n_{kind}") for kind in personal.KINDS]
+    every = F.array_sort(F.concat(base, added))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal.written(F.col(base)), 256).alias("base_sha256"),
+        personal.written(every).alias("spans"),
+    )
 
 
 def held_out(id: str = "doc_id") -> Column:
@@ -89,6 +104,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_personal": op2_personal,
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
     "op9_decontaminate": op9_decontaminate,

@@ -16,6 +16,7 @@ from tideline.llm import personal
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.shipping import ship
+from tideline.llm.tokenfiles import read_tokens, write_tokens
 from tideline.llm.toxicity import Field, toxicity, train
 
 
@@ -102,12 +103,24 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = write_tokens(docs, tokenizer_file("word_bpe_49k.json"), end=1)
+    return read_tokens(spark, files).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
+        F.crc32("tokens").alias("ids_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_personal": op2_personal,
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
     "op9_decontaminate": op9_decontaminate,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}

@@ -15,6 +15,7 @@ from tideline.llm.dartminhash import near_classes
 from tideline.llm import personal
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
+from tideline.llm.sentences import without_repeats
 from tideline.llm.shipping import ship
 from tideline.llm.tokenfiles import read_tokens, write_tokens
 from tideline.llm.toxicity import Field, toxicity, train
@@ -63,6 +64,11 @@ def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated sentences, and what was removed."""
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def held_out(id: str = "doc_id") -> Column:
     """Rows kept from training: the checksum of the id as text is divisible by 5."""
     return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
@@ -117,6 +123,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_personal": op2_personal,
+    "op3_sentence_spans": op3_sentence_spans,
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
     "op9_decontaminate": op9_decontaminate,

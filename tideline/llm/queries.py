@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
 from tideline.llm import personal
+from tideline.llm import quality as quality_rules
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.sentences import without_repeats
@@ -95,6 +96,20 @@ def op5_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    measured = docs.select("doc_id", quality_rules.quality("text", forest).alias("found")).select("doc_id", "found.*")
+    failed = quality_rules.base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    return measured.select(
+        "doc_id",
+        *quality_rules.COUNTS,
+        failed.alias("base_failed"),
+        (~failed & (F.col("score") >= 0.5)).alias("kept"),
+        "score",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for every place of a benchmark item in a document."""
     docs = table(spark, sf_dir, "documents")
@@ -126,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentence_spans": op3_sentence_spans,
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
+    "op6_quality": op6_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
 }

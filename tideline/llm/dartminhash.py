@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tideline.llm.batches import chunks, list_array, strings
 from tideline.llm.components import components
 from tideline.llm.hashing import GOLDEN, MIX_A, distinct_shingles, mix, step
-from tideline.llm.storage import stored
+from tideline.llm.storage import sized, stored
 
 WIDTH = 5  # words in a shingle
 SIMILARITY = 0.8
@@ -201,7 +201,7 @@ def near_classes(
         "copies",
     )
     texts = stored(
-        sketched.join(copies, "digest", "left").select("id", F.coalesce("first", "id").alias("copy_of"), "bands"),
+        sketched.join(sized(copies), "digest", "left").select("id", F.coalesce("first", "id").alias("copy_of"), "bands"),
         "texts",
     )
     banded = texts.where("id = copy_of").select("id", F.explode("bands").alias("bucket"))
@@ -212,9 +212,10 @@ def near_classes(
         .drop("other"),
         "hubs",
     )
-    members = stored(banded.join(hubs, "bucket").select("bucket", "id", "hub"), "members")
+    members = stored(banded.join(sized(hubs), "bucket").select("bucket", "id", "hub"), "members")
+    wanted = stored(members.select("id").distinct(), "wanted")
     sets = stored(
-        rows.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(
+        rows.join(sized(wanted), "id", "left_semi").mapInArrow(
             _set_rows(weighted), "id long, signature binary, shingles array<long>"
         ),
         "sets",

@@ -26,5 +26,5 @@ def new_file(folder: str, name: str):
     in no list of files and never read."""
     system, path = _located(folder)
     system.create_dir(path, recursive=True)
-    with system.open_output_stream(f"{path}/{name}") as out:
+    with system.open_output_stream(f"{path}/{name}", compression=None) as out:
         yield out

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -25,3 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Most rows, of a few numbers each, that are sent whole to every task.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """A written table of narrow rows for the small side of a join: marked for broadcast
+    if counting shows no more than `BROADCAST_ROWS`, else left for a join by shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

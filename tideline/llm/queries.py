@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.dartminhash import near_classes
-from tideline.llm import personal
+from tideline.llm import personal, secretscan, warc
 from tideline.llm import quality as quality_rules
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
@@ -110,6 +110,31 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secretscan.secrets("text", secretscan.train(docs)).alias("found"))
+    base = F.filter("found", lambda s: s["kind"] < secretscan.KINDS.index("random"))
+    return found.select(
+        "doc_id",
+        *[secretscan.count_of(k, "found").alias(f"n_{k}") for k in secretscan.KINDS[:3]],
+        F.sha2(secretscan.written(base), 256).alias("base_sha256"),
+        secretscan.written(F.col("found")).alias("spans"),
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = warc.write_warc(table(spark, sf_dir, "pages"))
+    found = warc.captures(warc.read_records(spark, folder, files, with_payload=False))
+    return found.select(
+        warc.page_of("main.record_id").alias("page_id"),
+        F.col("main.payload_bytes").alias("payload_bytes"),
+        F.col("main.digest").alias("payload_digest"),
+        F.col("main.kind").alias("record_type"),
+        warc.page_of("main.refers_to").alias("refers_to"),
+        F.col("request.target").alias("requested"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for every place of a benchmark item in a document."""
     docs = table(spark, sf_dir, "documents")
@@ -142,6 +167,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_dartminhash": op5_dartminhash,
     "op6_quality": op6_quality,
+    "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
 }

@@ -77,6 +77,13 @@ def test_full_rows_are_filtered_by_parsing_the_time_once(large_scale, bronze):
     assert all(line.count("EndsWith") == 1 for line in filters)
 
 
+def test_previous_event_shuffles_full_rows_once(large_scale, spark):
+    text = plan(queries.previous_event(spark, SF_DIR))
+    assert text.count("Exchange hashpartitioning") <= 7
+    assert text.count("FileScan parquet") <= 3
+    assert not re.search(r"Window .*first_row.*props", text)
+
+
 def test_look_back_days_are_not_joined(large_scale, bronze):
     text = plan(silver_range(bronze.drop(schemas.BRONZE_DAY), "2024-01-10", "2024-01-20"))
     left, right = text.split("Window", 1)[0], text.split("Window", 1)[1]

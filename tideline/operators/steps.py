@@ -7,8 +7,6 @@ has to be unique so that equal rows have an order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions import epoch_seconds
@@ -18,75 +16,55 @@ from tideline.operators.sessions import (
     with_sessions,
 )
 
-SECOND_US = 1_000_000
-HOUR_US = 3600 * SECOND_US
-
+MINUTE_US = 60 * 1_000_000
 
-def _with_previous(marks: DataFrame, widths: Sequence[int]) -> DataFrame:
-    """Adds ``previous_us``, the user's mark before this one.
 
-    ``marks`` holds distinct (user_id, at_us, until_us), where ``until_us`` is what a
-    later mark sees as its previous. Marks are looked up inside cells of the first
-    width; the first mark of a cell looks to the cell before it, found the same way
-    with the wider cells. So no window group exceeds the number of marks that fit
-    into one cell, and the group per user holds one row per widest cell.
-    """
-    if not widths:
-        per_user = Window.partitionBy("user_id").orderBy("at_us")
-        return marks.withColumn("previous_us", F.lag("until_us").over(per_user))
-
-    cell = F.col("at_us") - F.pmod(F.col("at_us"), F.lit(widths[0]))
-    in_cell = Window.partitionBy("user_id", "cell_us").orderBy("at_us")
-    inner = marks.withColumn("cell_us", cell).withColumn(
-        "inner_us", F.lag("until_us").over(in_cell)
-    )
-    cells = marks.groupBy("user_id", cell.alias("at_us")).agg(
-        F.max("until_us").alias("until_us")
-    )
-    outer = _with_previous(cells, widths[1:]).select(
-        "user_id",
-        F.col("at_us").alias("cell_us"),
-        F.col("previous_us").alias("outer_us"),
-    )
-    return (
-        inner.join(outer, ["user_id", "cell_us"])
-        .withColumn("previous_us", F.coalesce("inner_us", "outer_us"))
-        .drop("cell_us", "inner_us", "outer_us")
-    )
+def _minute(instant_utc: Column) -> Column:
+    """The instant's minute. Clean events always have one; saying so keeps the planner
+    from testing this join key for null by computing it again."""
+    micros = F.unix_micros(instant_utc)
+    return F.coalesce(micros - F.pmod(micros, F.lit(MINUTE_US)), F.lit(0))
 
 
 def with_previous_event(clean: DataFrame, row_key: str) -> DataFrame:
     """Adds ``prev_event_time_utc``: time of the user's event before this one.
 
-    Equal to ``lag`` over the user's rows, but windows run over the distinct instants
-    of a second (a million at most), the seconds of an hour and the hours of a user.
-    Only the first row of an instant has to look further back than the instant.
+    Equal to ``lag`` over the user's rows, without a window over full rows:
+
+    1. (user, instant) groups, combined before the shuffle, with the first row of each;
+    2. ``lag`` over a minute's distinct instants, and for the first one of a minute the last
+       instant of the user's minute before, by a window over one row a minute (525,600
+       a year and user at most);
+    3. one equi-join of full rows on (user, instant), which adaptive execution can split.
+
+    Rows that share an instant follow each other, so only its first row looks further back.
     """
     among_ties = F.struct("event_type", "product_id", row_key)
-    instants = clean.groupBy("user_id", "event_time_utc").agg(
-        F.min(among_ties).alias("first_row")
+    minute = _minute(F.col("event_time_utc"))
+    in_minute = Window.partitionBy("user_id", "minute").orderBy("event_time_utc")
+    instants = (
+        clean.groupBy("user_id", "event_time_utc")
+        .agg(F.min(among_ties).alias("first_row"))
+        .withColumn("minute", minute)
+        .withColumn("near_utc", F.lag("event_time_utc").over(in_minute))
     )
-    marks = instants.select(
-        "user_id",
-        F.unix_micros("event_time_utc").alias("at_us"),
-        F.unix_micros("event_time_utc").alias("until_us"),
+    per_user = Window.partitionBy("user_id").orderBy("minute")
+    minutes = (
+        clean.groupBy("user_id", minute.alias("minute"))
+        .agg(F.max("event_time_utc").alias("last_utc"))
+        .select("user_id", "minute", F.lag("last_utc").over(per_user).alias("far_utc"))
     )
-    earlier = _with_previous(marks, (SECOND_US, HOUR_US)).select(
-        "user_id",
-        F.timestamp_micros("at_us").alias("event_time_utc"),
-        F.timestamp_micros("previous_us").alias("earlier_utc"),
+    earlier = instants.join(minutes, ["user_id", "minute"]).select(
+        "user_id", "event_time_utc", "first_row", F.coalesce("near_utc", "far_utc").alias("earlier_utc")
     )
-    by_instant = ["user_id", "event_time_utc"]
+    opens = among_ties == F.col("first_row")
     return (
-        clean.join(instants.join(earlier, by_instant), by_instant)
-        .withColumn("opens_instant", among_ties == F.col("first_row"))
+        clean.join(earlier, ["user_id", "event_time_utc"])
         .withColumn(
             "prev_event_time_utc",
-            F.when(F.col("opens_instant"), F.col("earlier_utc")).otherwise(
-                F.col("event_time_utc")
-            ),
+            F.when(opens, F.col("earlier_utc")).otherwise(F.col("event_time_utc")),
         )
-        .drop("first_row", "earlier_utc", "opens_instant")
+        .drop("first_row", "earlier_utc")
     )
 
 

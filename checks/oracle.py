@@ -87,14 +87,18 @@ _SILVER = (
     "session_start_utc, event_date_kst"
 )
 _KEYED = "event_id, user_id, session_id, session_start_utc, event_date_kst"
-_DAY_ROWS = (
-    f"WITH {CLEAN_SQL} SELECT event_date_kst, count(*) AS rows FROM clean GROUP BY ALL"
-)
+_STORED = _SILVER.removeprefix("event_id, ")
+_ALL_SILVER = f"WITH {_cut(CLEAN_SQL, HALF_HOUR)} SELECT {_STORED} FROM named"
 _UTC_DAY = "CAST(TRY_CAST(replace(event_time, ' UTC', '') AS TIMESTAMP) AS DATE)"
 _BRONZE_ROWS = (
     f"WITH {RAW_SQL} SELECT {_UTC_DAY} AS event_date_utc, count(*) AS rows "
     "FROM raw GROUP BY ALL"
 )
+_STORED_BRONZE = (
+    f"WITH {RAW_SQL} SELECT event_time, event_type, product_id, "
+    "nullif(category_id, '') AS category_id, category_code, brand, price, user_id, "
+    f"user_session, {_UTC_DAY} AS event_date_utc FROM raw"
+)
 _WEEK = "date_trunc('week', event_date_kst)"
 
 
@@ -121,11 +125,12 @@ SELECT event_id, event_time, event_type, product_id,
 SELECT event_type, brand, count(*) AS rows FROM raw GROUP BY ALL""",
     "bronze_partition_date": f"""WITH {RAW_SQL}
 SELECT event_id, event_time, {_UTC_DAY} AS event_date_utc FROM raw""",
-    "bronze_roundtrip": _BRONZE_ROWS,
-    "bronze_incremental": _BRONZE_ROWS,
+    "bronze_roundtrip": _STORED_BRONZE,
+    "bronze_incremental": _STORED_BRONZE,
     "bronze_range_scan": f"""SELECT * FROM ({_BRONZE_ROWS})
 WHERE event_date_utc BETWEEN DATE '2024-01-08' AND DATE '2024-01-20'""",
     "typed_events": f"WITH {TYPED_SQL} SELECT * FROM typed",
+    "typed_events_strict": f"WITH {TYPED_SQL} SELECT * FROM typed",
     "clean_events_kst": f"""WITH {CLEAN_SQL}
 SELECT event_id, event_time_utc, event_time_kst, event_date_kst FROM clean""",
     "previous_event": f"""WITH {_cut(EXACT_SQL, HALF_HOUR)}
@@ -155,15 +160,25 @@ SELECT {_SILVER} FROM named
 WHERE event_date_kst BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "sessionize_carry": f"""WITH {_cut(CLEAN_SQL, DAY)}
 SELECT {_SILVER} FROM named WHERE event_date_kst >= DATE '2024-01-16'""",
-    "silver_rerun_idempotent": _DAY_ROWS,
-    "silver_partial_overwrite": f"""WITH {CLEAN_SQL}
-SELECT event_date_kst, count(*) AS rows FROM clean
-WHERE event_date_kst <> DATE '2024-01-10' OR event_type = 'view' GROUP BY ALL""",
-    "silver_empty_batch": _DAY_ROWS,
+    "silver_rerun_idempotent": _ALL_SILVER,
+    "silver_no_buffer": f"""WITH {_cut(
+        CLEAN_SQL, HALF_HOUR,
+        "CAST(event_time_utc AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-20'"
+    )}
+SELECT {_STORED} FROM named
+WHERE event_date_kst BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
+    "silver_partial_overwrite": f"""
+SELECT * FROM ({_ALL_SILVER}) WHERE event_date_kst <> DATE '2024-01-10'
+UNION ALL
+SELECT * FROM (WITH {_cut(
+        CLEAN_SQL, HALF_HOUR, "event_date_kst = DATE '2024-01-10' AND event_type = 'view'"
+    )}
+SELECT {_STORED} FROM named)""",
+    "silver_empty_batch": _ALL_SILVER,
     "silver_onward_weekly": f"""WITH {_cut(CLEAN_SQL, DAY)}
 SELECT user_id, event_time_utc, event_type, session_id, session_start_utc,
        event_date_kst FROM named""",
-    "external_table_silver": _DAY_ROWS,
+    "external_table_silver": _ALL_SILVER,
     "wau_by_user": _weekly(300, _TS_WEEK, "u"),
     "wau_by_session": _weekly(300, _TS_WEEK, "s"),
     "wau_across_weeks": _weekly(DAY, _TS_WEEK, "s"),

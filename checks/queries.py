@@ -12,12 +12,13 @@ from checks.scratch import drop_lake, scratch_dir, scratch_lake, stored
 from tideline import schemas
 from tideline.functions.clock import day_literal
 from tideline.operators import activity, sessions, steps
+from tideline.operators import cleaning
 from tideline.operators.cleaning import with_utc_day
 from tideline.operators.ranges import days_between
 from tideline.plans import audit, bronze, gold, silver
 from tideline.plans.lake import Lake
-from tideline.sinks import replace_days
-from tideline.sources import read_bronze_range, read_raw_csv
+from tideline.sinks import known_days, repair_partitions, replace_days
+from tideline.sources import read_bronze, read_bronze_range, read_raw_csv
 
 HALF_HOUR = 1800
 DAY = 86_400
@@ -49,10 +50,12 @@ def csv_scan(spark, sf_dir):
 
 def raw_events_view(spark, sf_dir):
     given.raw_events(spark, sf_dir).createOrReplaceTempView("raw_events")
-    return spark.sql(
+    counted = spark.sql(
         "SELECT event_type, brand, count(*) AS rows FROM raw_events "
         "GROUP BY event_type, brand"
     )
+    spark.catalog.dropTempView("raw_events")
+    return counted
 
 
 def bronze_partition_date(spark, sf_dir):
@@ -82,26 +85,33 @@ def bronze_roundtrip(spark, sf_dir):
     lake = scratch_lake(spark)
     raw = given.raw_events(spark, sf_dir).select(*schemas.RAW.names)
     bronze.build_bronze(spark, lake, _as_csv(raw, f"{scratch_dir(spark)}/csv"))
-    stored_rows = spark.table(lake.bronze.name)
-    return _settled(spark, lake, _rows_by(stored_rows, schemas.BRONZE_DAY))
+    return _settled(spark, lake, _priced(spark.table(lake.bronze.name)))
+
+
+def _priced(bronze_rows: DataFrame) -> DataFrame:
+    """Prices as numbers, since engines write the same number differently."""
+    return bronze_rows.withColumn("price", F.col("price").cast("double"))
 
 
 def bronze_incremental(spark, sf_dir):
-    """Day-wise CSV folders, loaded in two increments."""
-    lake, folder = scratch_lake(spark), f"{scratch_dir(spark)}/csv"
-    raw = given.raw_events(spark, sf_dir).select(*schemas.RAW.names)
-    (
-        with_utc_day(raw)
-        .withColumnRenamed(schemas.BRONZE_DAY, "day")
-        .write.partitionBy("day")
-        .option("header", True)
-        .csv(folder)
+    """Two loads that both hold bad times and share a day; the second one comes twice."""
+    lake, folder = scratch_lake(spark), scratch_dir(spark)
+    raw, time = given.raw_events(spark, sf_dir), F.col("event_time")
+    early = F.when(time == "not-a-time", F.col("event_id") % 2 == 0).otherwise(
+        time < "2024-01-10 12"
     )
-    early = [f"{folder}/day=????-??-0?", f"{folder}/day=__HIVE_DEFAULT_PARTITION__"]
-    bronze.build_bronze(spark, lake, early)
-    bronze.build_bronze(spark, lake, [f"{folder}/day=????-??-[123]?"])
-    stored_rows = spark.table(lake.bronze.name)
-    return _settled(spark, lake, _rows_by(stored_rows, schemas.BRONZE_DAY))
+    for key, part in (("early", early), ("late", ~early), ("late", ~early)):
+        csv = f"{folder}/{key}"
+        if key == "early" or not _holds(spark, csv):
+            _as_csv(raw.filter(part).select(*schemas.RAW.names), csv)
+        bronze.add_csv_load(spark, lake, csv, key)
+    stored_rows = read_bronze(spark, lake.bronze_loads.name)
+    return _settled(spark, lake, _priced(stored_rows))
+
+
+def _holds(spark, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def bronze_range_scan(spark, sf_dir):
@@ -117,6 +127,11 @@ def typed_events(spark, sf_dir):
     return given.typed(spark, sf_dir)
 
 
+def typed_events_strict(spark, sf_dir):
+    """Only one form of time is read."""
+    return cleaning.typed_events(given.raw_events(spark, sf_dir), "yyyy-MM-dd HH:mm:ss")
+
+
 def clean_events_kst(spark, sf_dir):
     return given.clean(spark, sf_dir).select(
         "event_id", "event_time_utc", "event_time_kst", schemas.SILVER_DAY
@@ -220,9 +235,8 @@ def sessionize_carry(spark, sf_dir):
 
 def _local_days(spark, lake: Lake) -> tuple[dt.date, dt.date]:
     """First and last local day that stored Bronze rows can fall on."""
-    day = F.col(schemas.BRONZE_DAY)
-    row = spark.table(lake.bronze.name).agg(F.min(day), F.max(day)).first()
-    return row[0], row[1] + dt.timedelta(days=1)
+    days = known_days(spark, lake.bronze, schemas.BRONZE_DAY)
+    return min(days), max(days) + dt.timedelta(days=1)
 
 
 def _silver_lake(spark, sf_dir, gap: int = HALF_HOUR) -> Lake:
@@ -234,8 +248,14 @@ def _silver_lake(spark, sf_dir, gap: int = HALF_HOUR) -> Lake:
 def silver_rerun_idempotent(spark, sf_dir):
     lake = _silver_lake(spark, sf_dir)
     silver.ingest(spark, lake, *_local_days(spark, lake), gap_seconds=HALF_HOUR)
-    rows = _rows_by(spark.table(lake.silver.name), schemas.SILVER_DAY)
-    return _settled(spark, lake, rows)
+    return _settled(spark, lake, spark.table(lake.silver.name))
+
+
+def silver_no_buffer(spark, sf_dir):
+    """No look-back asked for: all rows of the local days are there all the same."""
+    lake = _bronze_lake(spark, sf_dir)
+    silver.ingest(spark, lake, *RANGE, gap_seconds=HALF_HOUR, buffer_days=0)
+    return _settled(spark, lake, spark.table(lake.silver.name))
 
 
 def silver_partial_overwrite(spark, sf_dir):
@@ -252,9 +272,8 @@ def silver_partial_overwrite(spark, sf_dir):
         lake.silver.path,
         schemas.SILVER_DAY,
     )
-    silver.create_silver(spark, lake)
-    rows = _rows_by(spark.table(lake.silver.name), schemas.SILVER_DAY)
-    return _settled(spark, lake, rows)
+    repair_partitions(spark, lake.silver)
+    return _settled(spark, lake, spark.table(lake.silver.name))
 
 
 def silver_empty_batch(spark, sf_dir):
@@ -263,8 +282,7 @@ def silver_empty_batch(spark, sf_dir):
     _, last = _local_days(spark, lake)
     later = last + dt.timedelta(days=30)
     silver.ingest(spark, lake, later, later, gap_seconds=HALF_HOUR)
-    rows = _rows_by(spark.table(lake.silver.name), schemas.SILVER_DAY)
-    return _settled(spark, lake, rows)
+    return _settled(spark, lake, spark.table(lake.silver.name))
 
 
 def silver_onward_weekly(spark, sf_dir):
@@ -291,8 +309,7 @@ def external_table_silver(spark, sf_dir):
     lake = _silver_lake(spark, sf_dir)
     spark.sql(f"DROP TABLE {lake.silver.name}")
     silver.create_silver(spark, lake)
-    rows = _rows_by(spark.table(lake.silver.name), schemas.SILVER_DAY)
-    return _settled(spark, lake, rows)
+    return _settled(spark, lake, spark.table(lake.silver.name))
 
 
 # --- weekly activity --------------------------------------------------------------
@@ -315,7 +332,7 @@ def wau_across_weeks(spark, sf_dir):
 
 
 def wau_top200(spark, sf_dir):
-    return activity.top_weeks(activity.weekly_activity(sessionize(spark, sf_dir)))
+    return activity.top_weeks(activity.weekly_activity(sessionize(spark, sf_dir)), 200)
 
 
 def wau_gold(spark, sf_dir):
@@ -331,12 +348,17 @@ def wau_report(spark, sf_dir):
 
 
 def wau_incremental(spark, sf_dir):
-    """Silver grows in two ingests; each refreshes only the weeks it touched."""
+    """A full build over half of the days; then the other half, whose weeks alone are
+    recounted, and a range without events, which changes nothing."""
     lake = _bronze_lake(spark, sf_dir)
     first, last = _local_days(spark, lake)
     middle = first + (last - first) // 2
-    for start, end in ((first, middle), (middle + dt.timedelta(days=1), last)):
-        done = silver.ingest(spark, lake, start, end, gap_seconds=HALF_HOUR)
+    silver.ingest(spark, lake, first, middle, gap_seconds=HALF_HOUR)
+    gold.build_gold(spark, lake)
+    for start, end in ((middle, last), (last + dt.timedelta(days=40),) * 2):
+        done = silver.ingest(
+            spark, lake, start + dt.timedelta(days=1), end + dt.timedelta(days=1), HALF_HOUR
+        )
         weekly = gold.refresh_gold_weeks(spark, lake, done.written_days)
     return _settled(spark, lake, weekly)
 
@@ -365,6 +387,7 @@ QUERIES: dict[str, Query] = {
         bronze_incremental,
         bronze_range_scan,
         typed_events,
+        typed_events_strict,
         clean_events_kst,
         previous_event,
         previous_event_heavy,
@@ -380,6 +403,7 @@ QUERIES: dict[str, Query] = {
         sessionize_range,
         sessionize_carry,
         silver_rerun_idempotent,
+        silver_no_buffer,
         silver_partial_overwrite,
         silver_empty_batch,
         silver_onward_weekly,

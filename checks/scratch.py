@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,10 @@ from tideline.plans.lake import Lake
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the shared one that ``spark.checkpoint.dir`` names.
-
-    A folder of this machine is taken only in local mode, where it is unset. The folder
-    is removed when the driver JVM ends.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    folder = f"{shared.rstrip('/')}/tideline-{uuid.uuid4().hex}"
+    """A new folder in the session's warehouse, which all executors share. It is removed
+    when the driver JVM ends."""
+    warehouse = spark.catalog.getDatabase("default").locationUri
+    folder = f"{warehouse.rstrip('/')}/scratch-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
@@ -30,10 +22,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_lake(spark: SparkSession) -> Lake:
-    """A lake in a fresh folder, under a database that keeps to it as well."""
-    folder, database = scratch_dir(spark), f"tideline_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}/database'")
-    return Lake.under(folder, database)
+    """A lake of its own, in the folder that the warehouse gives its database."""
+    database = f"tideline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}`")
+    return Lake.under(f"{spark.catalog.getDatabase(database).locationUri}/lake", database)
 
 
 def drop_lake(spark: SparkSession, lake: Lake) -> None:

@@ -43,10 +43,8 @@ def raw_rows(spark, rows):
     return spark.createDataFrame(full, schemas.RAW)
 
 
-def raw_day(spark, rows, user="564068124"):
-    return raw_rows(
-        spark, [(f"2019-10-25 {t} UTC", e, "1", "1.0", user, s) for t, e, s in rows]
-    )
+def raw_day(spark, times, user):
+    return raw_rows(spark, [(f"2021-03-14 {t} UTC", "view", "3", "2.0", user, None) for t in times])
 
 
 def ids(raw, gap=300):
@@ -55,30 +53,28 @@ def ids(raw, gap=300):
     return out.groupBy("session_id").count().rdd.collectAsMap()
 
 
-def test_three_sessions_by_gap(spark):
-    raw = raw_day(spark, [
-        ("14:17:08", "view", "a"), ("15:16:02", "view", "a"),
-        ("15:17:14", "purchase", "a"), ("15:18:08", "view", "a"),
-        ("17:40:13", "view", "b"),
-    ])
-    assert ids(raw) == {
-        "564068124_1572013028": 1, "564068124_1572016562": 3, "564068124_1572025213": 1
-    }
+def test_long_silences_cut_and_short_ones_do_not(spark):
+    raw = raw_day(spark, ("09:00:00", "09:03:20", "09:07:10", "11:30:00", "23:59:59"), "41")
+    assert ids(raw) == {"41_1615712400": 3, "41_1615721400": 1, "41_1615766399": 1}
 
 
-def test_same_source_session_splits(spark):
-    assert len(ids(raw_day(spark, [("14:17:08", "view", "a"), ("15:16:02", "view", "a")]))) == 2
+def test_the_source_session_plays_no_part(spark):
+    rows = [("2021-03-14 06:00:00 UTC", "same"), ("2021-03-14 08:00:00 UTC", "same"),
+            ("2021-03-14 08:01:00 UTC", "other")]
+    raw = raw_rows(spark, [(t, "cart", "3", "2.0", "41", s) for t, s in rows])
+    assert ids(raw) == {"41_1615701600": 1, "41_1615708800": 2}
 
 
-def test_kst_day_boundary(spark):
-    raw = raw_day(spark, [("14:17:08", "view", "a"), ("15:16:02", "view", "a")])
-    days = sessions.sessionize(clean_events(typed_events(raw))).select(schemas.SILVER_DAY)
-    assert sorted(r[0] for r in days.collect()) == [dt.date(2019, 10, 25), dt.date(2019, 10, 26)]
+def test_local_midnight_is_at_15_utc(spark):
+    raw = raw_day(spark, ("14:59:59", "15:00:00"), "41")
+    rows = sessions.sessionize(clean_events(typed_events(raw))).collect()
+    assert sorted(r.event_date_kst for r in rows) == [dt.date(2021, 3, 14), dt.date(2021, 3, 15)]
+    assert {r.session_id for r in rows} == {"41_1615733999"}
 
 
 def test_gap_of_exactly_300_seconds_splits(spark):
-    raw = raw_day(spark, [(t, "view", "a") for t in ("14:00:00", "14:04:59", "14:09:59", "14:15:00")], "1")
-    assert ids(raw) == {"1_1572012000": 2, "1_1572012599": 1, "1_1572012900": 1}
+    raw = raw_day(spark, ("14:00:00", "14:04:59", "14:09:59", "14:15:00"), "1")
+    assert ids(raw) == {"1_1615730400": 2, "1_1615730999": 1, "1_1615731300": 1}
 
 
 def test_seconds_are_cut_off_before_subtracting(spark):

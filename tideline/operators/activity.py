@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from tideline import schemas
 from tideline.functions import week_start
 
-# Fixed value: rows a printed report shows at most.
-REPORT_ROWS = 200
-
-
 def users_by_week(silver: DataFrame) -> DataFrame:
     """Distinct users per Monday week; ``week_start_date`` is a TIMESTAMP."""
     return _distinct_by_week(silver, "user_id", "wau_by_user")
@@ -43,6 +39,6 @@ def weekly_activity(silver: DataFrame) -> DataFrame:
     )
 
 
-def top_weeks(weekly: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
-    """The first weeks, as a report shows them."""
+def top_weeks(weekly: DataFrame, rows: int) -> DataFrame:
+    """The first ``rows`` weeks."""
     return weekly.orderBy(schemas.GOLD_WEEK).limit(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
@@ -24,6 +25,7 @@ def new_run_id(zone: str = LOCAL_ZONE) -> str:
 
 @dataclass
 class RunRecord:
+    # The names of the stored fields.
     run_id: str
     status: str
     input_path: str
@@ -39,7 +41,9 @@ class RunRecord:
 def append_record(spark: SparkSession, path: str, record: RunRecord) -> None:
     values = asdict(record)
     row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.AUDIT]
-    spark.range(1).coalesce(1).select(*row).write.mode("append").json(path)
+    # A folder for each record: runs at the same time never share a commit.
+    folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    spark.range(1).coalesce(1).select(*row).write.json(folder)
 
 
 @contextmanager
@@ -89,7 +93,7 @@ def recorded_run(
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.AUDIT).json(path)
+    return spark.read.schema(schemas.AUDIT).option("recursiveFileLookup", True).json(path)
 
 
 def latest_status(audit: DataFrame) -> DataFrame:

@@ -1,7 +1,14 @@
-"""CSV -> Bronze: raw text rows, stored by UTC day."""
+"""CSV -> Bronze: raw text rows, stored by UTC day.
+
+A full build replaces the days it holds. Increments go to a table of their own, by the
+caller's load key and then by day: a load replaces what was stored under its key and
+nothing else, so rows without a readable time and days that two loads share are kept.
+Silver reads both tables.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -11,7 +18,14 @@ from tideline.functions.clock import require_utc_session
 from tideline.operators.cleaning import with_utc_day
 from tideline.plans.audit import recorded_run
 from tideline.plans.lake import Lake
-from tideline.sinks import create_layer_table, register_days, replace_days
+from tideline.sinks import (
+    create_layer_table,
+    forget_partitions,
+    register_days,
+    register_partitions,
+    replace_days,
+    replace_load,
+)
 from tideline.sources import read_raw_csv
 
 
@@ -42,7 +56,7 @@ def build_bronze(
     run_id: str | None = None,
     time_format: str | None = None,
 ) -> int:
-    """Stores a CSV directory, or just the paths of the days that are new."""
+    """Stores the whole of a CSV directory; ``add_load`` is for parts that come one by one."""
     require_utc_session(spark)
     paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
     with recorded_run(
@@ -56,14 +70,85 @@ def build_bronze(
 def _replace_bronze(
     spark: SparkSession, lake: Lake, raw: DataFrame, time_format: str | None
 ) -> int:
+    create_layer_table(spark, lake.bronze, schemas.BRONZE, schemas.BRONZE_DAY)
     seen = Observation("bronze")
     replace_days(
         with_utc_day(raw, time_format),
         lake.bronze.path,
         schemas.BRONZE_DAY,
         observation=seen,
-        metrics=(F.count(F.lit(1)).alias("rows"),),
+        metrics=_metrics(),
     )
-    create_layer_table(spark, lake.bronze, schemas.BRONZE, schemas.BRONZE_DAY)
-    register_days(spark, lake.bronze)
+    register_days(spark, lake.bronze, schemas.BRONZE_DAY, _days(seen))
     return seen.get.get("rows", 0)
+
+
+def _metrics() -> tuple:
+    """Rows, days (one entry each, however many rows they have), rows without a day."""
+    day = F.col(schemas.BRONZE_DAY)
+    return (
+        F.count(F.lit(1)).alias("rows"),
+        F.sort_array(F.collect_set(day)).alias("days"),
+        F.count_if(day.isNull()).alias("without_day"),
+    )
+
+
+def _days(seen: Observation) -> list:
+    found = list(seen.get.get("days") or [])
+    return found + [None] * bool(seen.get.get("without_day"))
+
+
+def add_load(
+    spark: SparkSession,
+    lake: Lake,
+    raw: DataFrame,
+    load_key: str,
+    source: str = "",
+    run_id: str | None = None,
+    time_format: str | None = None,
+) -> int:
+    """Stores raw rows under a load key, replacing what the key held, and returns their
+    number. Letters, digits and ``_ . -`` make a key, such as the name of a file's day."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_key):
+        raise ValueError(f"not a load key: {load_key!r}")
+    require_utc_session(spark)
+    table = lake.bronze_loads
+    place = f"{table.path}/{schemas.LOAD_KEY}={load_key}"
+    with recorded_run(spark, lake.audit_path, run_id, source, place) as run:
+        create_layer_table(spark, table, schemas.BRONZE_LOADS, (schemas.LOAD_KEY, schemas.BRONZE_DAY))
+        seen = Observation("load")
+        replace_load(
+            with_utc_day(raw, time_format), place, schemas.BRONZE_DAY, observation=seen, metrics=_metrics()
+        )
+        old = spark.sql(f"SHOW PARTITIONS {table.name} PARTITION ({schemas.LOAD_KEY} = '{load_key}')")
+        texts = {r[0].rpartition("=")[2] for r in old.collect()}
+        stale = texts - {str(d) for d in _days(seen)}
+        forget_partitions(
+            spark,
+            table,
+            [
+                {schemas.LOAD_KEY: load_key, schemas.BRONZE_DAY: t if t[:1].isdigit() else None}
+                for t in stale
+                if t[:1].isdigit() or None not in _days(seen)
+            ],
+        )
+        register_partitions(
+            spark, table, [{schemas.LOAD_KEY: load_key, schemas.BRONZE_DAY: d} for d in _days(seen)]
+        )
+        run.row_count = seen.get.get("rows", 0)
+    return run.row_count
+
+
+def add_csv_load(
+    spark: SparkSession,
+    lake: Lake,
+    csv_paths: str | Sequence[str],
+    load_key: str,
+    header: bool = True,
+    run_id: str | None = None,
+    time_format: str | None = None,
+) -> int:
+    """``add_load`` of CSV files."""
+    paths = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
+    raw = read_raw_csv(spark, paths, header)
+    return add_load(spark, lake, raw, load_key, ",".join(paths), run_id, time_format)

@@ -11,30 +11,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tideline import schemas
 from tideline.functions.clock import day_literal, require_utc_session
 from tideline.operators.activity import (
-    REPORT_ROWS,
     sessions_by_week,
-    top_weeks,
     users_by_week,
     weekly_activity,
 )
 from tideline.plans.audit import recorded_run
 from tideline.plans.lake import Lake
 from tideline.plans.silver import create_silver
-from tideline.sinks import (
-    create_layer_table,
-    register_days,
-    replace_days,
-    replace_table,
-)
+from tideline.sinks import create_layer_table, replace_table
 from tideline.sources import read_gold, read_silver
 
+# Fixed value: rows a printed report shows at most.
+REPORT_ROWS = 200
+
 
 def activity_report(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Weekly users and weekly sessions straight from Silver, first weeks first."""
     require_utc_session(spark)
     create_silver(spark, lake)
     silver = read_silver(spark, lake.silver.name)
-    return top_weeks(users_by_week(silver)), top_weeks(sessions_by_week(silver))
+    return users_by_week(silver), sessions_by_week(silver)
 
 
 def build_gold(spark: SparkSession, lake: Lake, run_id: str | None = None) -> DataFrame:
@@ -46,13 +42,17 @@ def build_gold(spark: SparkSession, lake: Lake, run_id: str | None = None) -> Da
         create_silver(spark, lake)
         create_layer_table(spark, lake.gold, schemas.GOLD)
         weekly = weekly_activity(read_silver(spark, lake.silver.name))
-        replace_table(weekly, lake.gold.name)
-        spark.catalog.refreshTable(lake.gold.name)
-        gold = read_gold(spark, lake.gold.name)
+        gold = _replace_gold(spark, lake, weekly)
         run.row_count = gold.count()
     return gold
 
 
+def _replace_gold(spark: SparkSession, lake: Lake, weekly: DataFrame) -> DataFrame:
+    replace_table(weekly, lake.gold.name)
+    spark.catalog.refreshTable(lake.gold.name)
+    return read_gold(spark, lake.gold.name)
+
+
 def monday_of(day: dt.date) -> dt.date:
     return day - dt.timedelta(days=day.weekday())
 
@@ -61,7 +61,7 @@ def whole_weeks(silver: DataFrame, days: Iterable[dt.date]) -> DataFrame:
     """All Silver rows of the weeks that the days fall in; other days are not read."""
     weeks = sorted({monday_of(day) for day in days})
     if not weeks:
-        raise ValueError("no days given")
+        return silver.limit(0)
     day = F.col(schemas.SILVER_DAY)
     return silver.filter(
         reduce(
@@ -80,27 +80,34 @@ def refresh_gold_weeks(
     days: Iterable[dt.date],
     run_id: str | None = None,
 ) -> DataFrame:
-    """Recounts only the weeks of the given days, in a Gold table stored by week.
+    """Recounts only the weeks of the given days in Gold and returns all weeks.
 
     Each of these weeks is counted over all its days, so the result equals a full
-    recount. Pass the days an ingest wrote.
+    recount. Pass the days an ingest wrote, or dropped; no days change nothing. The other
+    weeks' rows, of which there is one a week, are taken over as they are.
     """
+    days = list(days)
     require_utc_session(spark)
     with recorded_run(
-        spark, lake.audit_path, run_id, lake.silver.path, lake.gold_by_week.path
+        spark, lake.audit_path, run_id, lake.silver.path, lake.gold.path
     ) as run:
         create_silver(spark, lake)
-        touched = whole_weeks(read_silver(spark, lake.silver.name), days)
-        replace_days(
-            weekly_activity(touched), lake.gold_by_week.path, schemas.GOLD_WEEK
-        )
-        create_layer_table(spark, lake.gold_by_week, schemas.GOLD, schemas.GOLD_WEEK)
-        register_days(spark, lake.gold_by_week)
-        gold = read_gold(spark, lake.gold_by_week.name).select(*schemas.GOLD.names)
+        create_layer_table(spark, lake.gold, schemas.GOLD)
+        gold = read_gold(spark, lake.gold.name)
+        if days:
+            weeks = {monday_of(day) for day in days}
+            kept = [row for row in gold.collect() if row[schemas.GOLD_WEEK] not in weeks]
+            touched = whole_weeks(read_silver(spark, lake.silver.name), days)
+            gold = _replace_gold(
+                spark,
+                lake,
+                weekly_activity(touched).unionByName(spark.createDataFrame(kept, schemas.GOLD)),
+            )
         run.row_count = gold.count()
     return gold
 
 
 def show_report(report: DataFrame, title: str, rows: int = REPORT_ROWS) -> None:
-    print(f"=== {title} ===")
+    """Prints the first rows; only the printing is bounded."""
+    print(title)
     report.show(rows, truncate=False)

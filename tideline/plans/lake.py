@@ -7,12 +7,15 @@ from tideline.sinks.catalog import LayerTable
 
 @dataclass(frozen=True)
 class Lake:
-    """Names and places of the layers. ``audit_path`` may be None: no run records."""
+    """Names and places of the layers. ``audit_path`` may be None: no run records.
+
+    Bronze has two tables: one that full builds replace, and one of increments by load key.
+    """
 
     bronze: LayerTable
+    bronze_loads: LayerTable
     silver: LayerTable
     gold: LayerTable
-    gold_by_week: LayerTable
     audit_path: str | None = None
 
     @classmethod
@@ -24,8 +27,8 @@ class Lake:
 
         return cls(
             bronze=layer("bronze_events"),
+            bronze_loads=layer("bronze_event_loads"),
             silver=layer("silver_events"),
             gold=layer("gold_weekly_activity"),
-            gold_by_week=layer("gold_activity_by_week"),
             audit_path=f"{root}/run_audit",
         )

@@ -26,7 +26,13 @@ from tideline.operators.sessions import (
 )
 from tideline.plans.audit import recorded_run
 from tideline.plans.lake import Lake
-from tideline.sinks import create_layer_table, register_days, replace_days
+from tideline.sinks import (
+    create_layer_table,
+    forget_partitions,
+    known_days,
+    register_days,
+    replace_days,
+)
 from tideline.sources import read_bronze_range, read_silver
 
 # Fixed value: the default look-back before a range.
@@ -49,13 +55,14 @@ def silver_range(
     end: str | dt.date,
     gap_seconds: int = GAP_SECONDS,
     zone: str = LOCAL_ZONE,
+    time_format: str | None = None,
 ) -> DataFrame:
     """Silver rows of local days ``start`` to ``end`` from Bronze rows with look-back.
 
     Sessions are cut over all rows given. The day filter reaches below the join, so
     full rows of the look-back days are not shuffled.
     """
-    silver = sessionize(clean_events(typed_events(bronze), zone), gap_seconds)
+    silver = sessionize(clean_events(typed_events(bronze, time_format), zone), gap_seconds)
     return days_between(silver, schemas.SILVER_DAY, start, end)
 
 
@@ -67,26 +74,47 @@ def ingest(
     gap_seconds: int = GAP_SECONDS,
     buffer_days: int = BUFFER_DAYS,
     run_id: str | None = None,
+    zone: str = LOCAL_ZONE,
+    time_format: str | None = None,
+    drop_empty_days: bool = False,
 ) -> Ingested:
     """Sessionizes local days ``start`` to ``end`` and replaces them in Silver.
 
-    Reads Bronze from ``buffer_days`` before the range. A session that runs on through
-    the whole look-back gets its start there; the buffer must be long against sessions
-    (``ingest_onward`` has no such limit). The day after ``end`` is not refreshed, even
-    where one of its sessions began within the range.
+    Reads Bronze from ``buffer_days`` before the range, and always all UTC days that hold
+    its local days. A session that runs on through the whole look-back gets its start
+    there; the buffer must be long against sessions (``ingest_onward`` has no such limit).
+    The day after ``end`` is not refreshed, even where one of its sessions began within
+    the range. ``drop_empty_days`` also takes days of the range that have no rows any
+    more out of the table.
     """
     first, last = checked_range(start, end)
     require_utc_session(spark)
     with recorded_run(
         spark, lake.audit_path, run_id, lake.bronze.path, lake.silver.path, first, last
     ) as run:
-        bronze = read_bronze_range(spark, lake.bronze.name, first, last, buffer_days)
-        silver = silver_range(bronze, first, last, gap_seconds)
-        done = _replace_silver(spark, lake, silver, first, last)
+        utc_first, utc_last = _utc_days(first, last, zone)
+        bronze = read_bronze_range(
+            spark,
+            bronze_names(lake),
+            min(utc_first, first - dt.timedelta(days=check_buffer(buffer_days))),
+            max(utc_last, last),
+        )
+        silver = silver_range(bronze, first, last, gap_seconds, zone, time_format)
+        done = _replace_silver(spark, lake, silver, first, last, drop_empty_days)
         run.row_count = done.rows
     return done
 
 
+def check_buffer(buffer_days: int) -> int:
+    if buffer_days < 0:
+        raise ValueError("buffer_days must not be negative")
+    return buffer_days
+
+
+def bronze_names(lake: Lake) -> list[str]:
+    return [lake.bronze.name, lake.bronze_loads.name]
+
+
 def onward_range(
     bronze: DataFrame,
     silver: DataFrame,
@@ -94,28 +122,46 @@ def onward_range(
     end: str | dt.date,
     gap_seconds: int = GAP_SECONDS,
     zone: str = LOCAL_ZONE,
+    time_format: str | None = None,
 ) -> DataFrame:
     """Silver rows of ``start`` to ``end``, continuing the sessions of earlier Silver.
 
     Equal to a run over all history if Silver is right up to the day before ``start``.
     """
     first, last = checked_range(start, end)
-    look_back = 1 + check_gap(gap_seconds) // DAY_SECONDS
-    earlier = days_between(
-        silver,
-        schemas.SILVER_DAY,
-        first - dt.timedelta(days=look_back),
-        first - dt.timedelta(days=1),
-    )
+    earlier = days_between(silver, schemas.SILVER_DAY, *_look_back(first, gap_seconds))
     midnight_utc = F.to_utc_timestamp(day_literal(first).cast("timestamp"), zone)
     new = days_between(
-        clean_events(typed_events(bronze), zone), schemas.SILVER_DAY, first, last
+        clean_events(typed_events(bronze, time_format), zone),
+        schemas.SILVER_DAY,
+        first,
+        last,
     )
     return sessionize_from(
         new, open_sessions(earlier, midnight_utc, gap_seconds), gap_seconds
     )
 
 
+def _look_back(first: dt.date, gap_seconds: int) -> tuple[dt.date, dt.date]:
+    """Local days in which a session that is still open at ``first`` was last active."""
+    days = 1 + check_gap(gap_seconds) // DAY_SECONDS
+    return first - dt.timedelta(days=days), first - dt.timedelta(days=1)
+
+
+def _check_look_back(
+    spark: SparkSession, lake: Lake, first: dt.date, gap_seconds: int, zone: str, time_format: str | None
+) -> None:
+    """Raises if Bronze has events on look-back days that Silver has no partition for."""
+    begin, end = _look_back(first, gap_seconds)
+    bronze = read_bronze_range(spark, bronze_names(lake), *_utc_days(begin, end, zone))
+    clean = clean_events(typed_events(bronze, time_format), zone)
+    days = days_between(clean, schemas.SILVER_DAY, begin, end).select(schemas.SILVER_DAY).distinct()
+    needed = {row[0] for row in days.collect()}  # a row for each look-back day at most
+    missing = sorted(needed - known_days(spark, lake.silver, schemas.SILVER_DAY))
+    if missing:
+        raise ValueError(f"Silver lacks days to go on from: {', '.join(map(str, missing))}")
+
+
 def ingest_onward(
     spark: SparkSession,
     lake: Lake,
@@ -123,17 +169,26 @@ def ingest_onward(
     end: str | dt.date,
     gap_seconds: int = GAP_SECONDS,
     run_id: str | None = None,
+    zone: str = LOCAL_ZONE,
+    time_format: str | None = None,
+    from_nothing: bool = False,
 ) -> Ingested:
-    """Like ``ingest``, but exact without a look-back: Silver itself is carried on."""
+    """Like ``ingest``, but exact without a look-back: Silver itself is carried on.
+
+    Raises if Silver lacks a day just before ``start`` that Bronze has events on;
+    ``from_nothing`` lets sessions start anew there, as for the first range of all.
+    """
     first, last = checked_range(start, end)
     require_utc_session(spark)
     with recorded_run(
         spark, lake.audit_path, run_id, lake.bronze.path, lake.silver.path, first, last
     ) as run:
         create_silver(spark, lake)
-        bronze = read_bronze_range(spark, lake.bronze.name, *_utc_days(first, last))
+        if not from_nothing:
+            _check_look_back(spark, lake, first, gap_seconds, zone, time_format)
+        bronze = read_bronze_range(spark, bronze_names(lake), *_utc_days(first, last, zone))
         silver = read_silver(spark, lake.silver.name)
-        onward = onward_range(bronze, silver, first, last, gap_seconds)
+        onward = onward_range(bronze, silver, first, last, gap_seconds, zone, time_format)
         done = _replace_silver(spark, lake, onward, first, last)
         run.row_count = done.rows
     return done
@@ -141,7 +196,6 @@ def ingest_onward(
 
 def create_silver(spark: SparkSession, lake: Lake) -> None:
     create_layer_table(spark, lake.silver, schemas.SILVER, schemas.SILVER_DAY)
-    register_days(spark, lake.silver)
 
 
 def _utc_days(
@@ -155,8 +209,14 @@ def _utc_days(
 
 
 def _replace_silver(
-    spark: SparkSession, lake: Lake, silver: DataFrame, first: dt.date, last: dt.date
+    spark: SparkSession,
+    lake: Lake,
+    silver: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    drop_empty_days: bool = False,
 ) -> Ingested:
+    create_silver(spark, lake)
     seen = Observation("silver")
     replace_days(
         silver.select(*schemas.SILVER.names),
@@ -169,8 +229,11 @@ def _replace_silver(
             F.sort_array(F.collect_set(schemas.SILVER_DAY)).alias("days"),
         ),
     )
-    create_silver(spark, lake)
     written = list(seen.get.get("days") or [])
+    register_days(spark, lake.silver, schemas.SILVER_DAY, written)
     span = (last - first).days + 1
     empty = sorted({first + dt.timedelta(days=n) for n in range(span)} - set(written))
+    if drop_empty_days:
+        stale = known_days(spark, lake.silver, schemas.SILVER_DAY) & set(empty)
+        forget_partitions(spark, lake.silver, [{schemas.SILVER_DAY: day} for day in sorted(stale)])
     return Ingested(seen.get.get("rows", 0), written, empty)

@@ -25,6 +25,13 @@ RAW = T.StructType(
 BRONZE_DAY = "event_date_utc"
 BRONZE = T.StructType(RAW.fields + [T.StructField(BRONZE_DAY, T.DateType(), True)])
 
+# Increments: the caller's key of a load, then the day.
+LOAD_KEY = "load_key"
+BRONZE_LOADS = T.StructType(
+    RAW.fields
+    + [T.StructField(LOAD_KEY, T.StringType(), True), T.StructField(BRONZE_DAY, T.DateType(), True)]
+)
+
 SILVER_DAY = "event_date_kst"
 SILVER = T.StructType(
     [

@@ -1,10 +1,25 @@
-from tideline.sinks.catalog import LayerTable, create_layer_table, register_days
-from tideline.sinks.parquet import replace_days, replace_table
+from tideline.sinks.catalog import (
+    LayerTable,
+    check_place,
+    create_layer_table,
+    forget_partitions,
+    known_days,
+    register_days,
+    register_partitions,
+    repair_partitions,
+)
+from tideline.sinks.parquet import replace_days, replace_load, replace_table
 
 __all__ = [
     "LayerTable",
+    "check_place",
     "create_layer_table",
+    "forget_partitions",
+    "known_days",
     "register_days",
+    "register_partitions",
+    "repair_partitions",
     "replace_days",
+    "replace_load",
     "replace_table",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
@@ -29,29 +31,93 @@ def create_layer_table(
     spark: SparkSession,
     table: LayerTable,
     schema: StructType,
-    partition_column: str | None = None,
+    partition_columns: str | tuple[str, ...] = (),
 ) -> None:
-    """Creates the database and an external Parquet table, if they are missing."""
+    """Creates the database and an external Parquet table, if they are missing.
+
+    A table that is new to the catalog gets the partitions its folder already has, which
+    is the only time that the folder is listed. A table of this name with files in another
+    place is refused.
+    """
     create_database(spark, table.database)
     if spark.catalog.tableExists(table.name):
+        check_place(spark, table)
         return
-    if partition_column:
+    parts = (partition_columns,) if isinstance(partition_columns, str) else partition_columns
+    if parts:
         # Partitions can only be looked for in a folder that exists; this adds no rows.
         no_rows = spark.range(0).select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         )
-        no_rows.write.mode("append").partitionBy(partition_column).parquet(table.path)
+        no_rows.write.mode("append").partitionBy(*parts).parquet(table.path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    partitioning = f"PARTITIONED BY (`{partition_column}`)" if partition_column else ""
+    names = ", ".join(f"`{p}`" for p in parts)
+    partitioning = f"PARTITIONED BY ({names})" if parts else ""
     location = table.path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet "
         f"{partitioning} LOCATION '{location}' "
         "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
     )
+    if parts:
+        repair_partitions(spark, table)
+
+
+def _plain(location: str) -> str:
+    """A path without its scheme's empty authority and without a last slash."""
+    return location.replace(":///", ":/").removeprefix("file:").rstrip("/")
+
+
+def check_place(spark: SparkSession, table: LayerTable) -> None:
+    """Raises if the catalog's table of this name has its files elsewhere."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").filter("col_name = 'Location'")
+    found = rows.first()["data_type"]
+    if _plain(found) != _plain(table.path):
+        raise ValueError(f"{table.name} has its files in {found}, not in {table.path}")
 
 
-def register_days(spark: SparkSession, table: LayerTable) -> None:
-    """Makes day directories known to the catalog and drops stale file listings."""
+def repair_partitions(spark: SparkSession, table: LayerTable) -> None:
+    """Lists the whole folder and makes its partitions known: for files that came from
+    elsewhere. Runs register what they wrote instead."""
     spark.sql(f"MSCK REPAIR TABLE {table.name}")
     spark.catalog.refreshTable(table.name)
+
+
+def _spec(partition: dict[str, str | dt.date | None]) -> str:
+    values = [
+        f"`{k}` = " + ("null" if v is None else "'" + str(v).replace("'", "\\'") + "'")
+        for k, v in partition.items()
+    ]
+    return f"PARTITION ({', '.join(values)})"
+
+
+def register_partitions(
+    spark: SparkSession, table: LayerTable, partitions: Iterable[dict[str, str | dt.date | None]]
+) -> None:
+    """Makes written partitions known to the catalog and drops stale file listings."""
+    specs = [_spec(p) for p in partitions]
+    for at in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {' '.join(specs[at : at + 100])}")
+    spark.catalog.refreshTable(table.name)
+
+
+def register_days(
+    spark: SparkSession, table: LayerTable, day_column: str, days: Iterable[dt.date | None]
+) -> None:
+    """The same for days; None is the partition of rows without a day."""
+    register_partitions(spark, table, [{day_column: day} for day in days])
+
+
+def forget_partitions(
+    spark: SparkSession, table: LayerTable, partitions: Iterable[dict[str, str | dt.date | None]]
+) -> None:
+    """Takes partitions out of the catalog; their files are not looked at."""
+    for partition in partitions:
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {_spec(partition)}")
+
+
+def known_days(spark: SparkSession, table: LayerTable, day_column: str) -> set[dt.date]:
+    """Days that have a partition, from the catalog alone."""
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table.name}").collect()]
+    texts = {part.partition("=")[2] for n in names for part in n.split("/") if part.startswith(f"{day_column}=")}
+    return {dt.date.fromisoformat(t) for t in texts if t[:1].isdigit()}

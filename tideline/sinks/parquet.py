@@ -22,12 +22,28 @@ def replace_days(
     that shuffle, in the writing stage, so a map task run again for a lost executor
     is not counted twice.
     """
+    _write_days(df, path, day_column, "dynamic", max_rows_per_file, observation, metrics)
+
+
+def replace_load(
+    df: DataFrame,
+    path: str,
+    day_column: str,
+    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    observation: Observation | None = None,
+    metrics: tuple[Column, ...] = (),
+) -> None:
+    """The same, but everything under ``path`` is replaced, days that ``df`` lacks too."""
+    _write_days(df, path, day_column, "static", max_rows_per_file, observation, metrics)
+
+
+def _write_days(df, path, day_column, overwrite, max_rows_per_file, observation, metrics):
     gathered = df.hint("rebalance", day_column)
     if observation is not None:
         gathered = gathered.observe(observation, *metrics)
     (
         gathered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_rows_per_file)
         .partitionBy(day_column)

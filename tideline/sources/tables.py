@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +12,17 @@ from tideline import schemas
 from tideline.operators.ranges import days_between
 
 
+def read_bronze(spark: SparkSession, *tables: str) -> DataFrame:
+    """All Bronze rows of those of the tables that exist."""
+    found = [spark.table(t).select(*schemas.BRONZE.names) for t in tables if spark.catalog.tableExists(t)]
+    if not found:
+        raise ValueError(f"none of these tables exists: {', '.join(tables)}")
+    return reduce(DataFrame.union, found)
+
+
 def read_bronze_range(
     spark: SparkSession,
-    table: str,
+    tables: str | Sequence[str],
     start: str | dt.date,
     end: str | dt.date,
     buffer_days: int = 0,
@@ -22,9 +32,8 @@ def read_bronze_range(
     The bounds are plain date literals on the partition column, so only those
     directories are listed and read. Rows without a readable time are never in range.
     """
-    return days_between(
-        spark.table(table), schemas.BRONZE_DAY, start, end, buffer_days
-    )
+    names = [tables] if isinstance(tables, str) else tables
+    return days_between(read_bronze(spark, *names), schemas.BRONZE_DAY, start, end, buffer_days)
 
 
 def read_silver(spark: SparkSession, table: str) -> DataFrame:

@@ -1,0 +1,66 @@
+import random
+import re
+from collections import defaultdict
+
+from tideline.llm.sentences import LEAST, cuts, without_repeats
+
+
+def word_list(text):
+    return re.findall("[0-9A-Za-z_\x80-\U0010ffff]+", text.lower())
+
+
+def brute(rows):
+    """rows: (id, text) with distinct ids; the text that stays of each."""
+    places = defaultdict(list)
+    for i, text in rows:
+        at = cuts(text) if text else [0]
+        sentences = [word_list(text[a:b]) for a, b in zip(at, at[1:])]
+        for first, own in enumerate(sentences):
+            if not own:
+                continue
+            held, last = [], first
+            while last < len(sentences) and (len(held) < LEAST or (last < first + 2 and len(own) < 2 * LEAST)):
+                held += sentences[last]
+                last += 1
+            if len(held) >= LEAST and (last >= first + 2 or len(own) >= 2 * LEAST):
+                places[tuple(held)].append((i, first, last))
+    gone = defaultdict(set)
+    for found in places.values():
+        for i, first, last in found:
+            if (i, first, last) != min(found):
+                gone[i].update(range(first, last))
+    out = {}
+    for i, text in rows:
+        at = cuts(text) if text else [0]
+        out[i] = text if not text else "".join(text[a:b] for n, (a, b) in enumerate(zip(at, at[1:])) if n not in gone[i])
+    return out
+
+
+def test_equals_brute_force(docs_of):
+    draw = random.Random(6)
+    pool = [" ".join("".join(draw.choices("abcdeé", k=4)) for _ in range(draw.randint(1, 30))) + draw.choice([". ", "! ", "\n", '." ']) for _ in range(40)]
+    texts = ["".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(150)]
+    passage = "".join(pool[:6])
+    texts += [t + passage + t for t in texts[:30]] + ["", texts[0], passage]
+    out = {r.doc_id: r for r in without_repeats(docs_of(texts)).collect()}
+    want = brute(list(enumerate(texts)))
+    for i, text in enumerate(texts):
+        assert out[i].text == want[i]
+        kept = text
+        for span in reversed(out[i].removed):
+            kept = kept[: span.start] + kept[span.end :]
+        assert kept == want[i]
+
+
+def test_first_copy_stays_and_later_ones_go(docs_of):
+    passage = "One sentence here has ten words in it right now. " * 1 + "And a second sentence also has its ten words here. " + "So the third one makes the passage longer than fifty words in all. "
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(["First. " + passage + "End.", "Other. " + passage + "Stop.", passage])).collect()}
+    assert rows == {0: "First. " + passage + "End.", 1: "Other. Stop.", 2: ""}
+
+
+def test_odd_rows(odd_docs):
+    rows = without_repeats(odd_docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows) == sorted(
+        (r.doc_id is None, r.doc_id or 0, r.text or "") for r in odd_docs.collect()
+    )
+    assert without_repeats(odd_docs.limit(0)).collect() == []

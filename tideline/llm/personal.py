@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 TREES, DEPTH, RATE, PRECISION = 12, 3, 0.5, 0.9
 
-#: What a text must hold for its kind to be looked for: cheap tests before the patterns.
+#: What every match of a kind has in it: cheap tests before the patterns.
 GATES = {
     "email": lambda text: F.contains(text, F.lit("@")) | text.rlike(r"(?i)[(\[{ ]at[)\]} ]"),
     "ip": lambda text: text.rlike(r"[0-9]\.[0-9]"),
     "card": lambda text: text.rlike(r"[0-9](?:[ -]?[0-9]){12}"),
-    "phone": lambda text: text.rlike(r"[0-9][ ().-]{0,2}[0-9]{3}"),
+    "phone": lambda text: text.rlike(r"\+[0-9]|[0-9][ ().-]{0,2}[0-9]{3}"),
 }
 
 #: The base patterns. Possessive loops and the look-behinds (a match may
@@ -48,7 +48,7 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 CANDIDATES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@| ?[(\[{]at[)\]}] ?| at )[A-Za-z0-9-]{1,63}+"
     r"(?:(?:\.| ?[(\[{]dot[)\]}] ?| dot )[A-Za-z0-9-]{1,63}+){1,8}+",

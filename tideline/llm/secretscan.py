@@ -8,7 +8,8 @@ meets no base span is added as kind `random`.
 
 Training. The random models start from strings drawn with a fixed seed over usual alphabets
 and learn from the values of base spans, each by the model that fits it best; the
-identifier model learns from the other runs of four characters or more. Both samples come
+identifier model learns from the other runs of four characters or more, but not from those that
+would be scored. Both samples come
 from at most `SAMPLE` texts, those with base spans and others, chosen by a hash of
 the text. The threshold is the least that no more than one in `FALSE` of
 the sampled ordinary runs would pass, and not under `FLOOR`.
@@ -94,12 +95,16 @@ def _likelihoods(logs: np.ndarray, runs: list[str]) -> np.ndarray:
 
 
 def _fitted(runs: list[str], smooth: float) -> np.ndarray:
+    """Log chances of each sign after each; what was seldom seen leans on how common the
+    sign is anywhere, as if `smooth` times the number of signs had been seen so."""
     size = len(SIGNS) + 1
-    counts = np.full((size, size), smooth)
+    counts, alone = np.zeros((size, size)), np.full(size, 0.5)
     if runs:
         before, sign, _ = _pairs(runs)
         np.add.at(counts, (before, sign), 1.0)
-    counts[:, 0] = 0
+        alone += np.bincount(sign, minlength=size)
+    alone[0] = 0
+    counts += smooth * len(SIGNS) * alone / alone.sum()
     with np.errstate(divide="ignore"):
         return np.log(counts / counts.sum(axis=1, keepdims=True))
 
@@ -112,11 +117,12 @@ def fit(secrets: list[str], ordinary: list[str]) -> Chains:
     if secrets:
         best = _likelihoods(logs, secrets).argmax(axis=0)
         logs = np.stack([_fitted(g + [s for s, b in zip(secrets, best) if b == n], 0.05) for n, g in enumerate(drawn)])
-    chains = Chains(np.concatenate([logs, _fitted(ordinary, 0.5)[None]]), FLOOR)
-    long = [o for o in ordinary if len(o) >= SHORTEST and DIGIT.search(o)]
+    judged = [len(o) >= SHORTEST and bool(DIGIT.search(o)) for o in ordinary]
+    plain = [o for o, later in zip(ordinary, judged) if not later]
+    chains = Chains(np.concatenate([logs, _fitted(plain, 0.5)[None]]), FLOOR)
+    long = [o for o, later in zip(ordinary, judged) if later]
     if long:
-        # Between the ordinary runs with digits and random strings none may be left: the
-        # least ratio of drawn strings bounds the threshold from above.
+        # Some of these may be random themselves: drawn strings bound the threshold from above.
         ratios = np.sort(chains.ratios(long))
         high = ratios[max(0, len(ratios) - 1 - len(ratios) // FALSE)]
         random_low = np.quantile(chains.ratios([s[:SHORTEST] for g in drawn for s in g]), 0.01)

@@ -1,7 +1,8 @@
 """Repeated passages across documents, by sliding runs of sentences.
 
-A sentence ends at a line end, or after one of `. ! ?` (with closing quotes or brackets) that white
-space follows. Every run of consecutive sentences that has just enough words, `LEAST` or
+A sentence ends at a line end, or after one of `. ! ?` and other signs that white space
+follows. One of more than `LONG` words is cut further, after every word whose checksum is divisible
+by `PART`, which depends on the word alone, so that shared words are cut alike. Every run of consecutive sentences that has just enough words, `LEAST` or
 more, is hashed: from each sentence on, the fewest sentences that reach it, two at least unless one
 sentence alone has twice as many words. Sentences compare by their words in lower case. All runs are
 grouped by hash over the whole corpus; the first place of a repeated hash is the one with the
@@ -20,6 +21,7 @@ text hash decides which is earlier.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,7 +34,9 @@ from tideline.llm.hashing import mix, step, word_places
 from tideline.llm.storage import stored
 
 LEAST = 20  # words in a run
-END = re.compile(r"[.!?]+[\"'”’)\]]*\s+|\n\s*")
+LONG, PART = 30, 8  # words
+END = re.compile(r"[.!?]+[^\w\s]*\s+|\n\s*")
+TOKEN = re.compile(r"(\S+)\s*")
 
 
 def cuts(text: str) -> list[int]:
@@ -40,7 +44,17 @@ def cuts(text: str) -> list[int]:
     begins = [0, *(m.end() for m in END.finditer(text))]
     if begins[-1] >= len(text):
         begins.pop()
-    return [*begins, len(text)]
+    out = []
+    for start, end in zip(begins, [*begins[1:], len(text)]):
+        out.append(start)
+        if end - start > 2 * LONG and len(text[start:end].split()) > LONG:
+            ends = [m.end() for m in TOKEN.finditer(text, start, end) if _closes(m.group(1))]
+            out += ends[:-1] if ends and ends[-1] == end else ends
+    return [*out, len(text)]
+
+
+def _closes(token: str) -> bool:
+    return zlib.crc32("".join(filter(str.isalnum, token)).lower().encode("utf-8", "replace")) % PART == 0
 
 
 def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

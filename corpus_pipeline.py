@@ -16,7 +16,7 @@ from tideline.llm.dartminhash import near_classes
 from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.queries import piece_ids_and_digests, table, toxicity_field
 from tideline.llm.shipping import ship
-from tideline.llm.storage import stored
+from tideline.llm.storage import sized, stored
 from tideline.llm.toxicity import toxicity
 
 
@@ -37,7 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     classes = stored(near_classes(docs.where("doc_id is not null")), "classes")
     copies = classes.where("doc_id <> class_id").select("doc_id").distinct()
     again = classes.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(stored(copies.union(again).distinct(), "dropped"), "doc_id", "left_anti").select(*docs.columns)
+    dropped = sized(stored(copies.union(again).distinct(), "dropped"))
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     repeated = stored(again.join(copies, "doc_id", "left_anti"), "repeated")
     if repeated.isEmpty():
         return kept

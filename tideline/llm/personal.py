@@ -7,18 +7,18 @@ number followed by a card number. Every candidate gets a few small whole-number
 of its format and of the characters beside it.
 
 Training. A candidate is a positive if it is a base span, and undecided if it lies in a
-longer run that the base pattern takes as one match; other candidates are negatives. Counts of
-the feature rows are made over all texts in one grouping. The features are small
+longer run that the base pattern takes as one match; other candidates are negatives.
+Counts of the feature rows are made over all texts in one grouping. The features are small
 codes, so these counts have at most a few thousand rows whatever the input, and boosted
-regression trees on the log loss are grown from them. Half of the texts, by a hash, give the counts that trees
-are grown on and the other half those that calibrate: for every kind the threshold is the lowest
-score from which on at least `PRECISION` of the decided candidates are positives, by a lower
-confidence bound. The trees become SQL expressions.
-
-Candidates at or above the threshold that meet no base span are added, of overlapping
-ones the higher score, then the longer, then the earlier. Base spans always stay. Offsets
-are code points, ends exclusive. Null is the empty text and has no spans. Without any
-positive there are no trees and only base spans.
+regression trees on the log loss are grown from them. Half of the texts, by a hash, give
+the counts that trees are grown on and the other half those that calibrate: for every kind
+the threshold is the lowest score from which on at least `PRECISION` of the decided
+candidates are positives, by a lower confidence bound. The trees become SQL expressions.
+
+Candidates at or above the threshold that meet no base span are added, of overlapping ones
+the higher score, then the longer, then the earlier. Base spans always stay. Offsets are
+code points, ends exclusive. Null is the empty text and has no spans. Without any positive
+there are no trees and only base spans.
 """
 
 from __future__ import annotations
@@ -301,7 +301,10 @@ def with_spans(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataF
     def sweep(kept: Column, s: Column) -> Column:
         last = F.element_at(kept, -1)
         return (
-            F.when((F.size(kept) == 0) | (F.try_element_at(kept, F.lit(-1))["end"] <= s["start"]), F.concat(kept, F.array(s)))
+            F.when(
+                (F.size(kept) == 0) | (F.try_element_at(kept, F.lit(-1))["end"] <= s["start"]),
+                F.concat(kept, F.array(s)),
+            )
             .when(better(last, s), F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(s)))
             .otherwise(kept)
         )

@@ -2,15 +2,16 @@
 
 Statistics of a text are counts and shares of words, symbols, lines and repeats. The rules
 are the base: a text fails with fewer than `FEWEST` words, or with more than
-`MOST_REPEATED` percent of its words in repeated 8-word windows. Trees of fixed depth are grown
-on the log loss from labelled texts with second-order gains; statistics in `RISING` and `FALLING`
-can only raise or lower the score, which each split keeps by bounding the leaf values
-below it. The grown trees are flattened into arrays of nodes (feature, cut, children), and all
-texts of a batch walk all trees one level at a time.
-
-At most `SAMPLE` labelled texts a class are learnt from, chosen by a hash of their id. Words are
-runs of characters other than space and tab to carriage return. Null and empty texts
-have no words and fail the rules. Without labels of both kinds the rules alone decide.
+`MOST_REPEATED` percent of its words in repeated 8-word windows. Trees of fixed depth are
+grown on the log loss from labelled texts with second-order gains; statistics in `RISING`
+and `FALLING` can only raise or lower the score, which each split keeps by bounding the
+leaf values below it. The grown trees are flattened into arrays of nodes (feature, cut,
+children), and all texts of a batch walk all trees one level at a time.
+
+At most `SAMPLE` labelled texts a class are learnt from, chosen by a hash of their id.
+Words are runs of characters other than space and tab to carriage return. Null and empty
+texts have no words and fail the rules. Without labels of both kinds the rules alone
+decide.
 """
 
 from __future__ import annotations

@@ -1,18 +1,17 @@
 """Secrets in texts: base patterns, and random-looking strings by character Markov models.
 
 Base spans come from one pattern a kind, kept if long enough. Beside them, each run of
-`[A-Za-z0-9+/_.=-]` of `SHORTEST` characters or more that has a digit and a letter is scored: the log
-likelihood under the best of several Markov models of random strings, less that under a
-model of ordinary identifiers, for each character. A run over the threshold that
-meets no base span is added as kind `random`.
-
-Training. The random models start from strings drawn with a fixed seed over usual alphabets
-and learn from the values of base spans, each by the model that fits it best; the
-identifier model learns from the other runs of four characters or more, but not from those that
-would be scored. Both samples come
-from at most `SAMPLE` texts, those with base spans and others, chosen by a hash of
-the text. The threshold is the least that no more than one in `FALSE` of
-the sampled ordinary runs would pass, and not under `FLOOR`.
+`[A-Za-z0-9+/_.=-]` of `SHORTEST` characters or more that has a digit and a letter is
+scored: the log likelihood under the best of several Markov models of random strings, less
+that under a model of ordinary identifiers, for each character. A run over the threshold
+that meets no base span is added as kind `random`.
+
+Training. The random models start from strings drawn with a fixed seed over usual
+alphabets and learn from the values of base spans, each by the model that fits it best;
+the identifier model learns from the other runs of four characters or more, but not from
+those that would be scored. Both samples come from at most `SAMPLE` texts, those with base
+spans and others, chosen by a hash of the text. The threshold is the least that no more
+than one in `FALSE` of the sampled ordinary runs would pass, and not under `FLOOR`.
 
 Offsets are code points, ends exclusive. Null is the empty text and has no spans.
 """

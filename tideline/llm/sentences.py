@@ -1,21 +1,23 @@
 """Repeated passages across documents, by sliding runs of sentences.
 
 A sentence ends at a line end, or after one of `. ! ?` and other signs that white space
-follows. One of more than `LONG` words is cut further, after every word whose checksum is divisible
-by `PART`, which depends on the word alone, so that shared words are cut alike. Every run of consecutive sentences that has just enough words, `LEAST` or
-more, is hashed: from each sentence on, the fewest sentences that reach it, two at least unless one
-sentence alone has twice as many words. Sentences compare by their words in lower case. All runs are
-grouped by hash over the whole corpus; the first place of a repeated hash is the one with the
-least document id, then the least position. Sentences covered by any run that is not the
-first of its hash are removed, with the white space after them.
-
-Only hashes and positions are shuffled: each document sends one small row a run, which
-are combined by hash before the shuffle, so a passage in a third of all documents is a few rows from
-each task; repeated hashes are written and joined back, where adaptive execution can split a hot one.
+follows. One of more than `LONG` words is cut further, after every word whose checksum is
+divisible by `PART`, which depends on the word alone, so that shared words are cut alike.
+Every run of consecutive sentences that has just enough words, `LEAST` or more, is hashed:
+from each sentence on, the fewest sentences that reach it, two at least unless one
+sentence alone has twice as many words. Sentences compare by their words in lower case.
+All runs are grouped by hash over the whole corpus; the first place of a repeated hash is
+the one with the least document id, then the least position. Sentences covered by any run
+that is not the first of its hash are removed, with the white space after them.
+
+Only hashes and positions are shuffled: each document sends one small row a run, which are
+combined by hash before the shuffle, so a passage in a third of all documents is a few
+rows from each task; repeated hashes are written and joined back, where adaptive execution
+can split a hot one.
 
 Null and empty texts have no sentences and stay as they are. Rows with equal id and text
-count as one document and get the same result; of equal ids with different texts, the
-text hash decides which is earlier.
+count as one document and get the same result; of equal ids with different texts, the text
+hash decides which is earlier.
 """
 
 from __future__ import annotations

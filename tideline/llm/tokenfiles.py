@@ -1,20 +1,20 @@
 """Token ids of documents in binary files, and back.
 
-Ids are numbered by falling frequency over the whole corpus, so that most numbers fit
-one byte, and written in byte-aligned variable length: numbers take one to four bytes, and a
+Ids are numbered by falling frequency over the whole corpus, so that most numbers fit one
+byte, and written in byte-aligned variable length: numbers take one to four bytes, and a
 separate run of control bytes holds the lengths, two bits each, four to a byte. Decoding
 looks the lengths up by control byte in a table and gathers the bytes as arrays.
 
 Writing. Texts become ids once, in a written table. One pass over it counts ids (one row
 for each id and task, so at most the vocabulary's size from every task); one range
-partitioning by document id, sized to `FILE_IDS`, gives each task a run of the documents in
-order, which it streams into files of blocks of about `BLOCK_IDS` ids. Only files of tasks
-that finished are in the list of files.
-
-A file is a sequence of blocks. Fixed layout, little-endian: the magic, number of documents
-(u32), number of ids and of data bytes (u64); then of the documents the ids (i64), whether each
-is null (u8), and lengths (u64); control bytes; data bytes. The file `vocabulary.ids` holds the ids
-(u32) by number.
+partitioning by document id, sized to `FILE_IDS`, gives each task a run of the documents
+in order, which it streams into files of blocks of about `BLOCK_IDS` ids. Only files of
+tasks that finished are in the list of files.
+
+A file is a sequence of blocks. Fixed layout, little-endian: the magic, number of
+documents (u32), number of ids and of data bytes (u64); then of the documents the ids
+(i64), whether each is null (u8), and lengths (u64); control bytes; data bytes. The file
+`vocabulary.ids` holds the ids (u32) by number.
 
 Documents are in ascending id, nulls first, and by digest of the tokens where ids are
 equal. A null or empty text is the end id alone.

@@ -2,18 +2,18 @@
 
 The chains are the lines of a text, in pieces of at most `CHAIN` words. Each word is toxic
 or not; its emission weight is a sum over its features (the word, its beginnings of 3 to 6
-characters, the words beside it), and transitions couple neighbours. Forward-backward messages give each
-word's chance of being toxic. With two states a message is one number, the log odds, so a
-step over all chains of a batch is a few array operations.
+characters, the words beside it), and transitions couple neighbours. Forward-backward
+messages give each word's chance of being toxic. With two states a message is one number,
+the log odds, so a step over all chains of a batch is a few array operations.
 
 Training. Labels are of documents, so tokens are labelled first: in labelled toxic
 documents, the words that are, or begin with, something far commoner in toxic than in
-clean documents, by a log odds and a likelihood ratio test over distinct texts; it must also
-stand beside as many different words, lest the words of much copied toxic texts count. The field
-is fitted to these tokens by gradient steps on its likelihood with a ridge, and a logistic
-regression on the expected number of toxic words, their density and the highest chance turns
-marginals into a document score. Both use at most `SAMPLE` documents a class,
-chosen by a hash of their id; scoring runs on all rows and whole texts.
+clean documents, by a log odds and a likelihood ratio test over distinct texts; it must
+also stand beside as many different words, lest the words of much copied toxic texts
+count. The field is fitted to these tokens by gradient steps on its likelihood with a
+ridge, and a logistic regression on the expected number of toxic words, their density and
+the highest chance turns marginals into a document score. Both use at most `SAMPLE`
+documents a class, chosen by a hash of their id; scoring runs on all rows and whole texts.
 
 Null and empty texts have no words and get the score of a text without toxic words.
 Without labels of both kinds every text has the smoothed share of toxic labels as score.

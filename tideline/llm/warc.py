@@ -1,21 +1,22 @@
 """WARC archives: pages to record files, and files to one nested row a capture.
 
-Writing. Each page becomes three records: a request, the response or a revisit, and metadata; the
-first and last name the middle one in WARC-Concurrent-To. Of pages with equal payloads
-the one with the largest id is the response and the others are revisits with its id in WARC-Refers-To and
-no payload; their stored HTTP header keeps the payload's length. Payloads are compared
-by SHA-1 digest, found by one grouping; only digests that repeat are joined back, from a
-written table, so that adaptive execution can split a digest that very many pages share. Records are gzip
-members of files of about `FILE_BYTES`.
-
-Reading. Files become rows of records, and transactions are put together by identifier: what
-is concurrent to a record is grouped by that identifier, combined before the shuffle (of several requests or
-metadata records the least identifier stands, and `others` counts the rest), and
-joined to the response or revisit. A request or metadata record whose main record is
-missing gives no capture.
-
-A null payload is empty; a null id is written as `none` and is never the largest; a null address has no
-target header. Rows with equal ids are captures of their own.
+Writing. Each page becomes three records: a request, the response or a revisit, and
+metadata; the first and last name the middle one in WARC-Concurrent-To. Of pages with
+equal payloads the one with the largest id is the response and the others are revisits
+with its id in WARC-Refers-To and no payload; their stored HTTP header keeps the payload's
+length. Payloads are compared by SHA-1 digest, found by one grouping; only digests that
+repeat are joined back, from a written table: broadcast if that is small, else so that
+adaptive execution can split a digest that very many pages share. Records are gzip members of files of about
+`FILE_BYTES`.
+
+Reading. Files become rows of records, and transactions are put together by identifier:
+what is concurrent to a record is grouped by that identifier, combined before the shuffle
+(of several requests or metadata records the least identifier stands, and `others` counts
+the rest), and joined to the response or revisit. A request or metadata record whose main
+record is missing gives no capture.
+
+A null payload is empty; a null id is written as `none` and is never the largest; a null
+address has no target header. Rows with equal ids are captures of their own.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.files import file_name, new_file
-from tideline.llm.storage import shared_folder, stored
+from tideline.llm.storage import shared_folder, sized, stored
 
 FILE_BYTES = 8_000_000  # of a file, compressed
 BATCH = 500  # records in an Arrow batch
@@ -128,7 +129,7 @@ def write_warc(
         rows.groupBy("digest").agg(F.max("page").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "payloads",
     )
-    marked = rows.join(repeated, "digest", "left").select("page", "url", "html", "response")
+    marked = rows.join(sized(repeated), "digest", "left").select("page", "url", "html", "response")
     return folder, stored(marked.mapInArrow(_writer(folder), "name string, captures long"), "warc-files")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.batches import strings
+from tideline.llm.storage import stored
 
 SAMPLE = 1000  # texts with base spans, and as many without, that the models learn from
 SHORTEST, FALSE, FLOOR = 16, 5000, 0.4
@@ -41,6 +42,7 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
 RUN = re.compile("[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 ORDINARY = re.compile("[A-Za-z0-9+/_.=-]{4,}")
+MARKED = r"AKIA|[0-9a-f]{24}|(?i:password|passwd|secret|token|api_?key).{0,4}[:=]"
 DIGIT = re.compile("[0-9]")
 LETTER = re.compile("[A-Za-z]")
 
@@ -132,23 +134,23 @@ def fit(secrets: list[str], ordinary: list[str]) -> Chains:
 def train(docs: DataFrame, text: str = "text") -> Chains:
     """Chains from texts of the table, base spans being the labels."""
     body = docs.select(F.col(text).alias("text")).where(F.col(text).isNotNull())
-    marked = F.col("text").rlike("AKIA|[0-9a-f]{24}") | F.lower("text").rlike("(password|passwd|secret|token|api_?key).{0,4}[:=]")
-    parts = [
-        body.where(marked if has else ~marked).groupBy("text").agg(F.count("*").alias("n"))
-        .orderBy(F.xxhash64("text"), "text").limit(SAMPLE).select("text")
-        for has in (True, False)
-    ]
+    body = body.withColumn("hash", F.xxhash64("text"))
+    marked = F.col("text").rlike(MARKED)
+    kinds = stored(body.select("hash", marked.alias("marked")).distinct(), "text-kinds")
+    parts = [kinds.where(F.col("marked") == has).orderBy("hash").limit(SAMPLE) for has in (True, False)]
+    picked = F.broadcast(parts[0].union(parts[1]).select("hash"))  # 2 x SAMPLE rows at most
+    rows = body.join(picked, "hash", "left_semi").groupBy("hash").agg(F.min("text").alias("text"))
     secrets, ordinary = [], []
-    for part in parts:
-        for row in part.collect():  # SAMPLE rows at most
-            spans = base_spans(row.text)
-            for start, kind, end in spans:
-                value = ASSIGN.fullmatch(row.text[start:end]).group(2) if kind == 0 else row.text[start:end]
-                secrets.append(value)
-            ordinary += [
-                m.group() for m in ORDINARY.finditer(row.text)
-                if not any(a < m.end() and m.start() < b for a, _, b in spans)
-            ]
+    for row in rows.orderBy("hash").collect():
+        spans = base_spans(row.text)
+        for start, kind, end in spans:
+            part = row.text[start:end]
+            secrets.append(ASSIGN.fullmatch(part).group(2) if kind == 0 else part)
+        ordinary += [
+            m.group()
+            for m in ORDINARY.finditer(row.text)
+            if not any(a < m.end() and m.start() < b for a, _, b in spans)
+        ]
     return fit(secrets, ordinary)
 
 

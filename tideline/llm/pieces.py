@@ -32,7 +32,7 @@ MARK = "▁"  # stands for a space
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN = " ⁇ "  # how the library writes the unknown id
 NONE = np.int32(2**31 - 1)
-CACHED_WORDS = 200_000  # words whose ids a worker remembers
+CACHED_WORDS = 120_000  # words whose ids a worker remembers
 
 
 class Numbered(dict):

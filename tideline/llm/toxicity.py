@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tideline.llm.batches import chunks, strings
 from tideline.llm.hashing import mix, step, word_beginnings, word_places
 
-SAMPLE = 1000  # labelled documents of each class that the model is fitted on, at most
+SAMPLE = 600  # labelled documents of each class that the model is fitted on, at most
 CHAIN = 128
 BEGINNINGS = (3, 4, 5, 6)  # characters
 FEATURES = 3 + len(BEGINNINGS)
@@ -124,21 +124,23 @@ def _document_features(chance: np.ndarray, owner: np.ndarray, texts: int) -> np.
 
 def toxic_marks(features: list[np.ndarray], owner: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Hashes of the words and beginnings that label tokens; `toxic` is each text's label."""
-    marks = features[: 1 + len(BEGINNINGS)]
-    held = np.concatenate([_pairs(f, owner) for f in marks])
-    names, inverse = np.unique(held[:, 0], return_inverse=True)
-    bad = np.bincount(inverse, toxic[held[:, 1].astype(int)].astype(float), minlength=len(names))
-    good = np.bincount(inverse, minlength=len(names)) - bad
-    for beside in features[-2:]:  # near copies of a toxic text have the same words beside
-        around = np.concatenate([_pairs(f[toxic[owner]], beside[toxic[owner]]) for f in marks])
-        bad = np.minimum(bad, np.bincount(np.searchsorted(names, around[:, 0]), minlength=len(names)))
+    of_toxic, found = toxic[owner], []
     many_bad, many_good = toxic.sum(), (~toxic).sum()
-    odds = np.log((bad + 0.5) / (many_bad + 1)) - np.log((good + 0.5) / (many_good + 1))
-    share = (bad + good) / len(toxic)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        sure = 2 * np.nan_to_num(bad * np.log(bad / (many_bad * share)))
-        sure += 2 * np.nan_to_num(good * np.log(good / (many_good * share)))
-    return names[(odds >= PURE) & (sure >= SURE) & (names != 0)]
+    for mark in features[: 1 + len(BEGINNINGS)]:
+        held = _pairs(mark, owner)
+        names, inverse = np.unique(held[:, 0], return_inverse=True)
+        bad = np.bincount(inverse, toxic[held[:, 1].astype(int)].astype(float), minlength=len(names))
+        good = np.bincount(inverse, minlength=len(names)) - bad
+        for beside in features[-2:]:  # near copies of a toxic text have the same words beside
+            around = _pairs(mark[of_toxic], beside[of_toxic])[:, 0]
+            bad = np.minimum(bad, np.bincount(np.searchsorted(names, around), minlength=len(names)))
+        odds = np.log((bad + 0.5) / (many_bad + 1)) - np.log((good + 0.5) / (many_good + 1))
+        share = (bad + good) / len(toxic)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sure = 2 * np.nan_to_num(bad * np.log(bad / (many_bad * share)))
+            sure += 2 * np.nan_to_num(good * np.log(good / (many_good * share)))
+        found.append(names[(odds >= PURE) & (sure >= SURE) & (names != 0)])
+    return np.concatenate(found)
 
 
 def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -151,6 +153,27 @@ def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.column_stack([left[new], right[new]])
 
 
+def _numbered(features: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Hashes of the features that occur three times or more, and for each kind of feature
+    the number of every word's one; rarer ones have the number after the last."""
+    kept = []
+    for part in features:
+        names, count = np.unique(part, return_counts=True)
+        kept.append(names[(count >= 3) & (names != 0)])
+    total, start, where = sum(map(len, kept)), 0, []
+    for part, names in zip(features, kept):
+        at = np.searchsorted(names, part).astype(np.int32)
+        if len(names):
+            missing = names[np.minimum(at, len(names) - 1)] != part
+            at += np.int32(start)
+            at[missing] = total
+        else:
+            at[:] = total
+        where.append(at)
+        start += len(names)
+    return np.concatenate(kept), where
+
+
 def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     """A field fitted to whole labelled texts; `share` of all labels are toxic."""
     nothing = np.zeros(0, np.uint64), np.zeros(0)
@@ -162,11 +185,9 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     features = _features(texts, word, chain)
     marks = toxic_marks(features, owner, toxic)
     label = np.any([np.isin(f, marks) for f in features[: 1 + len(BEGINNINGS)]], axis=0) & toxic[owner]
-    keys, where, count = np.unique(np.concatenate(features), return_inverse=True, return_counts=True)
-    where = where.reshape(FEATURES, len(word))
-    common = ((count >= 3) & (keys != 0)).astype(float)  # rarer features have no weight
+    keys, where = _numbered(features)
     messages, follows = Messages(chain), np.flatnonzero(chain[1:] == chain[:-1])
-    parts = [np.zeros(len(keys)), np.zeros(1), np.zeros((2, 2))]
+    parts = [np.zeros(len(keys) + 1), np.zeros(1), np.zeros((2, 2))]
     parts[1][0] = np.log((label.sum() + 1) / (len(label) + 2))
     pushed = [np.zeros_like(x) for x in parts]
     spread = [np.zeros_like(x) for x in parts]
@@ -174,22 +195,24 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     seen = np.bincount(pair, minlength=4).reshape(2, 2)
     for turn in range(1, ROUNDS + 1):
         weights, bias, moves = parts
-        emission = bias[0] + weights[where].sum(axis=0)
+        emission = bias[0] + sum(weights[at] for at in where)
         ahead, back = messages.run(emission, moves)
         off = _chance(ahead + back) - label
         x, c = ahead[follows], (emission + back)[follows + 1]
         logits = np.stack([moves[0, 0] + 0 * x, moves[0, 1] + c, moves[1, 0] + x, moves[1, 1] + x + c])
         joint = np.exp(logits - logits.max(axis=0))
         expected = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        slope = sum(np.bincount(where[f], off, minlength=len(keys)) for f in range(FEATURES))
-        slopes = [(slope + RIDGE * weights) * common, np.array([off.sum()]), expected - seen + RIDGE * moves]
+        slope = sum(np.bincount(at, off, minlength=len(weights)) for at in where) + RIDGE * weights
+        slope[-1] = 0  # rare features have no weight
+        slopes = [slope, np.array([off.sum()]), expected - seen + RIDGE * moves]
         for n, g in enumerate(slopes):  # steps scaled by running means of the slopes
             pushed[n] = 0.8 * pushed[n] + 0.2 * g
             spread[n] = 0.95 * spread[n] + 0.05 * g * g
             ahead_by = pushed[n] / (1 - 0.8**turn)
             parts[n] = parts[n] - RATE * ahead_by / (np.sqrt(spread[n] / (1 - 0.95**turn)) + 1e-6)
     weights, bias, moves = parts
-    heavy = np.abs(weights) > 0.05
+    heavy = np.flatnonzero(np.abs(weights[:-1]) > 0.05)
+    heavy = heavy[np.argsort(keys[heavy])]
     field = Field(keys[heavy], weights[heavy], float(bias[0]), moves, np.zeros(4))
     ahead, back = messages.run(_emissions(field, features), moves)
     rows = _document_features(_chance(ahead + back), owner, len(texts))

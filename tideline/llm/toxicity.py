@@ -1,16 +1,16 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
 The chains are the lines of a text, in pieces of at most `CHAIN` words. Each word is toxic
-or not; its emission weight is a sum over its features (the word, its beginnings of 3 to 6
-characters, the words beside it), and transitions couple neighbours. Forward-backward
+or not; its emission weight is a sum over its features (the word or
+a beginning of it, if marked in training, and the words beside it), and transitions couple neighbours. Forward-backward
 messages give each word's chance of being toxic. With two states a message is one number,
 the log odds, so a step over all chains of a batch is a few array operations.
 
 Training. Labels are of documents, so tokens are labelled first: in labelled toxic
-documents, the words that are, or begin with, something far commoner in toxic than in
-clean documents, by a log odds and a likelihood ratio test over distinct texts; it must
-also stand beside as many different words, lest the words of much copied toxic texts
-count. The field is fitted to these tokens by gradient steps on its likelihood with a
+documents, the words that are, or begin with 3 to 6 characters that are, far commoner in
+toxic than in clean documents, by a log odds and a likelihood ratio test over distinct
+texts; the mark must also stand beside as many different words, lest the words of much
+copied toxic texts count. The field is fitted to these tokens by gradient steps on its likelihood with a
 ridge, and a logistic regression on the expected number of toxic words, their density and
 the highest chance turns marginals into a document score. Both use at most `SAMPLE`
 documents a class, chosen by a hash of their id; scoring runs on all rows and whole texts.
@@ -38,6 +38,7 @@ BEGINNINGS = (3, 4, 5, 6)  # characters
 FEATURES = 3 + len(BEGINNINGS)
 PURE = 1.7  # least log odds of a word or beginning, by documents, to label tokens
 SURE = 20.0  # its least likelihood ratio statistic
+FAINT = 0.1  # lower chances are none in a document's score, however long it is
 ROUNDS, RATE, RIDGE = 30, 0.4, 0.02
 RESULT = "struct<score double, spans array<struct<start int, end int, chance float>>>"
 
@@ -115,6 +116,7 @@ def _emissions(field: Field, features: list[np.ndarray]) -> np.ndarray:
 def _document_features(chance: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     """A row per text: 1, logs of 1 + the expected toxic words and of 1 + 50 times their
     share of all words, the highest chance."""
+    chance = np.where(chance < FAINT, 0.0, chance)
     most = np.zeros(texts)
     np.maximum.at(most, owner, chance)
     expected = np.bincount(owner, chance, minlength=texts)
@@ -123,11 +125,14 @@ def _document_features(chance: np.ndarray, owner: np.ndarray, texts: int) -> np.
 
 
 def toxic_marks(features: list[np.ndarray], owner: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Hashes of the words and beginnings that label tokens; `toxic` is each text's label."""
-    of_toxic, found = toxic[owner], []
+    """Hashes of the words and beginnings that label tokens; `toxic` is each text's label.
+    Words come first, then beginnings from the longest on, each judged by the tokens that
+    nothing before has marked: so `stu` is not toxic for the sake of `stupid`."""
+    found, left = [], np.ones(len(owner), bool)
     many_bad, many_good = toxic.sum(), (~toxic).sum()
-    for mark in features[: 1 + len(BEGINNINGS)]:
-        held = _pairs(mark, owner)
+    for mark in (features[0], *features[len(BEGINNINGS) : 0 : -1]):
+        held = _pairs(mark[left], owner[left])
+        of_toxic = left & toxic[owner]
         names, inverse = np.unique(held[:, 0], return_inverse=True)
         bad = np.bincount(inverse, toxic[held[:, 1].astype(int)].astype(float), minlength=len(names))
         good = np.bincount(inverse, minlength=len(names)) - bad
@@ -140,6 +145,7 @@ def toxic_marks(features: list[np.ndarray], owner: np.ndarray, toxic: np.ndarray
             sure = 2 * np.nan_to_num(bad * np.log(bad / (many_bad * share)))
             sure += 2 * np.nan_to_num(good * np.log(good / (many_good * share)))
         found.append(names[(odds >= PURE) & (sure >= SURE) & (names != 0)])
+        left &= ~np.isin(mark, found[-1])
     return np.concatenate(found)
 
 
@@ -175,7 +181,8 @@ def _numbered(features: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]
 
 
 def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
-    """A field fitted to whole labelled texts; `share` of all labels are toxic."""
+    """A field fitted to whole labelled texts. `share` of all labels are toxic, which is the
+    score where the texts are of one class only."""
     nothing = np.zeros(0, np.uint64), np.zeros(0)
     if not toxic.any() or toxic.all():
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
@@ -184,7 +191,11 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     chain = _chains(owner, line)
     features = _features(texts, word, chain)
     marks = toxic_marks(features, owner, toxic)
-    label = np.any([np.isin(f, marks) for f in features[: 1 + len(BEGINNINGS)]], axis=0) & toxic[owner]
+    label = np.zeros(len(word), bool)
+    for part in features[: 1 + len(BEGINNINGS)]:
+        marked = np.isin(part, marks)
+        label |= marked & toxic[owner]
+        part[~marked] = 0  # other words and beginnings are no features
     keys, where = _numbered(features)
     messages, follows = Messages(chain), np.flatnonzero(chain[1:] == chain[:-1])
     parts = [np.zeros(len(keys) + 1), np.zeros(1), np.zeros((2, 2))]
@@ -216,15 +227,13 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     field = Field(keys[heavy], weights[heavy], float(bias[0]), moves, np.zeros(4))
     ahead, back = messages.run(_emissions(field, features), moves)
     rows = _document_features(_chance(ahead + back), owner, len(texts))
-    field.document = _regression(rows, toxic, share)
+    field.document = _regression(rows, toxic)
     return field
 
 
-def _regression(rows: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
-    """Logistic regression with a small ridge; its constant is set to the share of toxic
-    labels among all, as the sample holds the classes in another proportion."""
-    given = np.clip(toxic.mean(), 0.01, 0.99)
-    weight = np.where(toxic, share / given, (1 - share) / (1 - given))
+def _regression(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Logistic regression with a small ridge, in which both classes weigh the same."""
+    weight = np.where(toxic, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
     beta = np.zeros(rows.shape[1])
     ridge = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
     for _ in range(50):

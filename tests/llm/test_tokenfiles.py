@@ -22,7 +22,7 @@ def test_numbers_of_any_size_come_back():
 
 def test_ids_equal_the_library(docs_of, odd_docs):
     draw, tokenizer = random.Random(2), Tokenizer.from_file(FILE)
-    signs = "aAbB'tll 12\n\t\x0b\x1c\x85\xa0éÉéΣςĐ漢🙂<|endoftext|>._"
+    signs = "019aAbB'tll 12\n\t\x0b\x1c\x85\xa0éÉéΣςĐ漢🙂<|endoftext|>._"
     texts = ["".join(draw.choices(signs, k=draw.randint(0, 60))) for _ in range(800)] + ["x <|endoftext|> y<|startoftext|>z"]
     rows = docs_of(texts).select("doc_id", token_bytes("text", FILE).alias("t")).collect()
     for row in rows:

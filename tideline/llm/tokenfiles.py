@@ -23,9 +23,11 @@ equal. A null or empty text is the end id alone.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +43,27 @@ MAGIC = b"TLIDS001"
 HEAD = np.dtype([("magic", "S8"), ("documents", "<u4"), ("ids", "<u8"), ("bytes", "<u8")])
 FILE_IDS = 4_000_000
 BLOCK_IDS = 500_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
+#: How the tokenizer splits, and words for which runs of letters and of signs, and
+#: single digits, are that: no apostrophes (endings) or angle brackets (special tokens).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN = r"0-9A-Za-zÀ-ÖØ-öø-ÿ!\"#$%&()*+,\-./:;=?@\[\]^_`{|}~"
+SIMPLE, SIMPLE_TEXT = re.compile(f"[{LATIN}]+"), re.compile(f"[{LATIN} \t-\r]+")
+RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ \t-\r]+")
+#: How the tokenizer writes bytes for its merges: signs as they are, others from 256 on.
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in SHOWN)}
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
 class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
-    The tokenizer must split at white space and drop it, which is checked, so that a text's
-    ids are those of its words one after another."""
+    The tokenizer must lower letters, and split at white space, which it drops, and
+    between letters and signs; that is checked. So a text's ids are those of its words
+    one after another, and where a text or word has only Latin letters and simple signs
+    (`SIMPLE`), those of its runs of either, of which there are far fewer. Runs go straight
+    to the library's merges, other words through the whole library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -57,8 +71,9 @@ class Words:
         with open(path, encoding="utf-8") as file:
             form = json.load(file)
         splits = form["pre_tokenizer"].get("pretokenizers", [form["pre_tokenizer"]])
-        if not any(s.get("behavior") == "Removed" and s.get("invert") for s in splits):
-            raise ValueError("the tokenizer keeps white space")
+        lowers = [n["type"] for n in (form["normalizer"] or {}).get("normalizers", [])]
+        if splits[0].get("pattern", {}).get("Regex") != SPLIT or lowers != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError("a tokenizer that splits or normalises in another way")
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
@@ -67,20 +82,36 @@ class Words:
         self.starts = self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
+    def _ids(self, parts: list[str]) -> list[list[int]]:
+        """Ids of each run or word."""
+        model, odd = self.tokenizer.model, []
+        out: list[list[int]] = [[]] * len(parts)
+        for n, part in enumerate(parts):
+            if SIMPLE.fullmatch(part):
+                spelled = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
+                out[n] = [t.id for t in model.tokenize(spelled)]
+            else:
+                odd.append(n)
+        for at in range(0, len(odd), 10_000):
+            some = odd[at : at + 10_000]
+            found = self.tokenizer.encode_batch_fast([parts[n] for n in some], add_special_tokens=False)
+            for n, encoding in zip(some, found):
+                out[n] = encoding.ids
+        return out
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and how many each has."""
         if len(self.known) > CACHED_WORDS:
             self._forget()
         known, index, counts, before = self.known, [], [], len(self.known)
         for text in texts:
-            words = text.encode("utf-8", "replace").split()  # at ASCII white space only
-            counts.append(len(words))
-            index.extend(map(known.__getitem__, words))
+            parts = _parts(text)
+            counts.append(len(parts))
+            index.extend(map(known.__getitem__, parts))
         if len(known) > before:
-            fresh = [w.decode() for w in list(known)[before:]]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            found = self._ids(list(islice(known, before, None)))
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
             self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(lengths) - lengths]
             self.lengths = np.r_[self.lengths, lengths]
             self.flat = np.r_[self.flat, flat]
@@ -91,6 +122,17 @@ class Words:
         return ids, upto[ends] - upto[ends - np.array(counts, np.int64)]
 
 
+def _parts(text: str) -> list[str]:
+    """Runs of a simple text; else runs of its simple words, and its other words."""
+    if SIMPLE_TEXT.fullmatch(text):
+        return RUNS.findall(text.lower())
+    parts: list[str] = []
+    for word in text.encode("utf-8", "replace").split():  # at ASCII white space only
+        word = word.decode()
+        parts += RUNS.findall(word.lower()) if SIMPLE.fullmatch(word) else [word]
+    return parts
+
+
 @lru_cache(maxsize=2)
 def _words(path: str) -> Words:
     return Words(path)
@@ -183,8 +225,8 @@ class TokenFiles:
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for value in batch.column("tokens"):
-            found = np.bincount(np.frombuffer(value.as_buffer(), "<u4"))
+        for wide, value in zip(batch.column("wide").to_pylist(), batch.column("tokens")):
+            found = np.bincount(_read(wide, value))
             if len(found) > len(total):
                 total, found = found, total
             total[: len(found)] += found
@@ -198,7 +240,9 @@ def _file_writer(folder: str, vocabulary: np.ndarray):
 
     def rows(batches):
         for batch in batches:
-            yield from zip(batch.column("id").to_pylist(), batch.column("tokens"))
+            wide = batch.column("wide").to_pylist()
+            for key, far, tokens in zip(batch.column("id").to_pylist(), wide, batch.column("tokens")):
+                yield key, _read(far, tokens)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, files = None, 0
@@ -211,7 +255,7 @@ def _file_writer(folder: str, vocabulary: np.ndarray):
                 while row is not None and total < FILE_IDS:
                     ids, lengths, parts, held = [], [], [], 0
                     while row is not None and held < BLOCK_IDS:
-                        part = np.frombuffer(row[1].as_buffer(), "<u4")
+                        part = row[1]
                         ids.append(row[0])
                         lengths.append(len(part))
                         parts.append(number[part])
@@ -226,16 +270,31 @@ def _file_writer(folder: str, vocabulary: np.ndarray):
     return write
 
 
+def _narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids in two bytes, with a mark, for documents that have none above 65,535."""
+    for batch in batches:
+        out, wide = [], []
+        for value in batch.column("tokens"):
+            ids = np.frombuffer(value.as_buffer(), "<u4")
+            wide.append(bool(len(ids)) and int(ids.max()) > 0xFFFF)
+            out.append(ids.tobytes() if wide[-1] else ids.astype("<u2").tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(wide), pa.array(out, pa.binary())], ["id", "wide", "tokens"]
+        )
+
+
+def _read(wide: bool, tokens: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(tokens.as_buffer(), "<u4" if wide else "<u2")
+
+
 def write_tokens(
     docs: DataFrame, tokenizer: str, end: int | None = None, id: str = "doc_id", text: str = "text"
 ) -> TokenFiles:
     """Writes the ids of all documents to a new shared folder."""
     spark = docs.sparkSession
-    coded = stored(
-        docs.select(F.col(id).cast("long").alias("id"), token_bytes(F.col(text), tokenizer, end).alias("tokens")),
-        "tokens",
-    )
-    counted = coded.select("tokens").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    tokens = docs.select(F.col(id).cast("long").alias("id"), token_bytes(F.col(text), tokenizer, end).alias("tokens"))
+    coded = stored(tokens.mapInArrow(_narrow, "id long, wide boolean, tokens binary"), "tokens", compression="zstd")
+    counted = coded.select("wide", "tokens").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = sorted(((-r.n, r.id) for r in counted.collect()))  # at most the vocabulary's size
     vocabulary = np.array([i for _, i in counts], np.uint32)
     total = -sum(n for n, _ in counts)

@@ -18,6 +18,7 @@ from tideline.llm.decontaminate import blocks, leaks
 from tideline.llm.pieces import piece_round_trip
 from tideline.llm.sentences import without_repeats
 from tideline.llm.shipping import ship
+from tideline.llm.storage import stored
 from tideline.llm.tokenfiles import read_tokens, write_tokens
 from tideline.llm.toxicity import Field, toxicity, train
 
@@ -124,7 +125,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, files = warc.write_warc(table(spark, sf_dir, "pages"))
-    found = warc.captures(warc.read_records(spark, folder, files, with_payload=False))
+    records = stored(warc.read_records(spark, folder, files, with_payload=False), "records")
+    found = warc.captures(records)
     return found.select(
         warc.page_of("main.record_id").alias("page_id"),
         F.col("main.payload_bytes").alias("payload_bytes"),

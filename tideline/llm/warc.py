@@ -37,6 +37,7 @@ from tideline.llm.storage import shared_folder, sized, stored
 
 FILE_BYTES = 8_000_000  # of a file, compressed
 BATCH = 500  # records in an Arrow batch
+PIECE = 8192  # bytes given to the decompressor at once
 WHEN = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = 16 + zlib.MAX_WBITS  # gzip framing
@@ -135,10 +136,14 @@ def write_warc(
 
 def records_of(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of every record of a file of gzip members."""
-    while content:
-        member = zlib.decompressobj(MEMBER)
-        data = member.decompress(content) + member.flush()
-        content = member.unused_data
+    whole, at = memoryview(content), 0
+    while at < len(whole):
+        member, parts = zlib.decompressobj(MEMBER), []
+        while not member.eof and at < len(whole):
+            piece = whole[at : at + PIECE]  # what is left over of it is copied, so not too much
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        data = b"".join(parts)
         head, _, rest = data.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "replace").split("\r\n")[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}

@@ -37,7 +37,7 @@ CHAIN = 128
 BEGINNINGS = (3, 4, 5, 6)  # characters
 FEATURES = 3 + len(BEGINNINGS)
 PURE = 1.7  # least log odds of a word or beginning, by documents, to label tokens
-SURE = 20.0  # its least likelihood ratio statistic
+SURE = 30.0  # its least likelihood ratio statistic
 FAINT = 0.1  # lower chances are none in a document's score, however long it is
 ROUNDS, RATE, RIDGE = 30, 0.4, 0.02
 RESULT = "struct<score double, spans array<struct<start int, end int, chance float>>>"

@@ -1,0 +1,86 @@
+import random
+import re
+from collections import defaultdict
+
+from tideline.llm.passages import LEAST, windows, without_passages
+
+
+def word_list(text):
+    return re.findall("[0-9A-Za-z_\x80-\U0010ffff]+", text.lower())
+
+
+def prose(draw, words):
+    """Sentences of 1 to 40 words, all words different in practice."""
+    out, left = [], 0
+    for _ in range(words):
+        left = left or draw.randint(1, 40)
+        left -= 1
+        out.append("".join(draw.choices("abcdeéK", k=8)) + (draw.choice([". ", "! ", "\n", '." ']) if not left else draw.choice([" ", ", ", "-"])))
+    return "".join(out)
+
+
+def shared(texts, size):
+    """Word sequences of this size that stand in two texts, by plain sets."""
+    places = defaultdict(set)
+    for n, text in enumerate(texts):
+        held = word_list(text)
+        for i in range(len(held) - size + 1):
+            places[tuple(held[i : i + size])].add(n)
+    return {s for s, at in places.items() if len(at) > 1}
+
+
+def test_no_fifty_words_stay_in_two_documents(docs_of):
+    draw = random.Random(4)
+    passages = [prose(draw, draw.randint(50, 90)) for _ in range(60)]
+    texts = [prose(draw, draw.randint(0, 30)) + p + " " + prose(draw, draw.randint(0, 30)) for p in passages * 3]
+    assert len(shared(texts, 50)) > 60
+    rows = sorted(without_passages(docs_of(texts)).collect(), key=lambda r: r.doc_id)
+    kept = [r.text for r in rows]
+    assert not shared(kept, 50) and not shared(kept, 27)
+    for n, (row, text) in enumerate(zip(rows, texts)):
+        for span in reversed(row.removed):
+            gone = word_list(text[span.start : span.end])
+            assert n >= 60 and gone == [w for w in word_list(passages[n % 60]) if w in set(gone)]
+            text = text[: span.start] + text[span.end :]
+        assert text == row.text
+
+
+def test_sixty_words_that_end_inside_sentences(docs_of):
+    draw = random.Random(8)
+    w = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(60)]
+    middle = " ".join(w[:24]) + ". " + " ".join(w[24:36]) + ". " + " ".join(w[36:])
+    texts = [f"One two three {middle} four five six.", f"Seven eight nine {middle} ten eleven twelve."]
+    rows = {r.doc_id: r.text for r in without_passages(docs_of(texts)).collect()}
+    assert rows[0] == texts[0]
+    assert len(set(word_list(rows[1])) & set(w)) <= 14
+
+
+def test_kept_windows_are_near_each_other():
+    draw = random.Random(2)
+    texts = [prose(draw, draw.randint(0, 200)) for _ in range(60)] + ["", " ", "\n- \n"]
+    owner, first, _ = windows(texts)
+    for n, text in enumerate(texts):
+        at = first[owner == n].tolist()
+        starts = len(word_list(text)) - LEAST + 1
+        assert all(any(i in at for i in range(a, a + 8)) for a in range(starts - 7))
+        assert all(0 <= i < starts for i in at)
+
+
+def test_equal_ids_and_repeats_in_one_text(docs_of):
+    draw = random.Random(5)
+    a, b = prose(draw, 60) + ".\n", prose(draw, 60) + ".\n"
+    rows = without_passages(docs_of([a + b + a, "other. " + a, "more! " + a, b, b], [7, None, None, 9, 9])).collect()
+    kept = sorted((r.doc_id or 0, r.text) for r in rows)
+    assert sum(len(t) > len(a) for i, t in kept if i == 0) == 1  # one null id keeps the first copy
+    assert not shared([t for i, t in kept], 50)
+    assert len(word_list(next(t for i, t in kept if i == 7))) <= 60 + 3 * 14
+
+
+def test_odd_rows(odd_docs):
+    out = without_passages(odd_docs).collect()
+    was = {r.doc_id: r.text for r in odd_docs.where("doc_id is not null").collect()}
+    for r in out:
+        if r.doc_id is not None and r.text != was[r.doc_id]:
+            assert was[r.doc_id].startswith("word ") and r.text == "word " * LEAST
+    assert len(out) == odd_docs.count()
+    assert without_passages(odd_docs.limit(0)).collect() == []

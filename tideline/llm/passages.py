@@ -1,0 +1,200 @@
+"""Repeated passages across documents, by windows of words.
+
+A text's windows are runs of `LEAST` words in a row, which compare in lower case. Kept of
+them are the least by hash among every `NEAR` that begin at consecutive words, all of them
+in a tie, and those that begin where a sentence begins. So what is kept depends on the
+words near it only, and kept windows begin no more than `NEAR` words apart: two texts that
+share `LEAST + NEAR - 1` words in a row share a window, and what they share is covered but
+for `NEAR - 1` words at either end, wherever sentences end.
+
+All kept windows are grouped by hash over the whole corpus. The first place of a hash is the
+one with the least document id, then the least position; words under any other are
+removed, up to the next word or the end of their sentence. In one text a window is a repeat
+only if it does not overlap the first of its hash. A text that loses all its words is empty.
+
+Only hashes and positions are shuffled, each hash once a text, as plain numbers that are
+combined by hash before the shuffle; repeated hashes are written and joined back, where
+adaptive execution can split a hot one.
+
+Null and empty texts stay as they are. Rows with equal id and text count as one document
+and get the same result; of equal ids with different texts, the text hash decides which is
+earlier. A null id comes before all others.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tideline.llm.batches import chunks, list_array, strings
+from tideline.llm.hashing import mix, step, word_places
+from tideline.llm.sentences import END, LEAST
+from tideline.llm.storage import sized, stored
+
+NEAR = 8  # windows
+#: A word as `word_places` finds them, with the signs and white space that close it.
+WORD = re.compile(r"[0-9A-Za-z_\x80-\U0010ffff]+(?:[^\s0-9A-Za-z_\x80-\U0010ffff]*\s+)?")
+
+
+def sentences(text: str) -> list[int]:
+    """Where each sentence begins, then the text's length."""
+    begins = [0, *(m.end() for m in END.finditer(text))]
+    return [*begins, len(text)] if begins[-1] < len(text) else begins
+
+
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, first word and hash of each kept window, in order."""
+    parts, part_text = [], []
+    for n, text in enumerate(texts):
+        places = sentences(text)
+        parts += [text[a:b] for a, b in zip(places, places[1:])]
+        part_text += [n] * (len(places) - 1)
+    word, part = word_places(parts, full_lower=True)[:2]
+    owner = np.array(part_text, np.int64)[part]
+    size = np.bincount(owner, minlength=len(texts))
+    begin = np.cumsum(size) - size
+    room = (begin + size)[owner] - np.arange(len(word))  # words from here to the text's end
+    padded = np.r_[word, np.zeros(LEAST, np.uint64)]
+    value = np.zeros(len(word), np.uint64)
+    for j in range(LEAST):
+        value += padded[j : j + len(word)] * step(j + 1)
+    value = mix(value)
+    kept = _least(value, room >= LEAST + NEAR - 1)
+    count = np.bincount(part, minlength=len(parts))
+    first = (np.cumsum(count) - count)[count > 0]
+    kept[first[room[first] >= LEAST]] = True
+    at = np.flatnonzero(kept)
+    return owner[at], at - begin[owner[at]], value[at]
+
+
+def _least(value: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """Whether each value is the least of any `NEAR` consecutive ones; `full` tells where
+    such a group begins."""
+    size = len(value)
+    padded = np.r_[value, np.full(NEAR, 2**64 - 1, np.uint64)]
+    least = value.copy()
+    for j in range(1, NEAR):
+        np.minimum(least, padded[j : j + size], out=least)
+    most = np.zeros(size, np.uint64)
+    least[~full] = 0
+    for j in range(min(NEAR, size)):
+        np.maximum(most[j:], least[: size - j], out=most[j:])
+    inside = np.zeros(size, bool)
+    for j in range(min(NEAR, size)):
+        inside[j:] |= full[: size - j]
+    return inside & (value == most)
+
+
+def _window_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = 0
+        for texts in chunks(strings(batch.column("text"))):
+            owner, first, value = windows(texts)
+            order = np.lexsort((first, value, owner))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(owner[order]) != 0) | (value[order][1:] != value[order][:-1])
+            once = order[new]
+            least = first[once][np.cumsum(new) - 1]
+            again = order[first[order] >= least + LEAST]
+            rows = batch.slice(done, len(texts))
+            done += len(texts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("id"),
+                    rows.column("key"),
+                    list_array(value[once].view(np.int64), np.bincount(owner[once], minlength=len(texts))),
+                    list_array(first[once].astype(np.int32), np.bincount(owner[once], minlength=len(texts))),
+                    list_array(first[again].astype(np.int32), np.bincount(owner[again], minlength=len(texts))),
+                ],
+                ["id", "key", "hash", "first", "again"],
+            )
+
+
+WINDOWS = "id long, key long, hash array<long>, first array<int>, again array<int>"
+KEPT = "struct<text string, removed array<struct<start int, end int>>>"
+
+
+def removed_spans(text: str, firsts: list[int]) -> list[tuple[int, int]]:
+    """The spans of the windows that begin at these words."""
+    begins, ends = [], []
+    places = sentences(text)
+    for a, b in zip(places, places[1:]):
+        found = [m.end() for m in WORD.finditer(text, a, b)]
+        if found:
+            begins += [a, *found[:-1]]
+            ends += [*found[:-1], b]
+    gone = np.zeros(len(begins) + 1, np.int64)
+    first = np.array(firsts, np.int64)
+    np.add.at(gone, first, 1)
+    np.add.at(gone, np.minimum(first + LEAST, len(begins)), -1)
+    gone = (np.cumsum(gone) > 0).astype(np.int8)
+    if gone[:-1].all():
+        return [(0, len(text))]
+    edges = np.flatnonzero(np.diff(gone, prepend=0))
+    return [(begins[a], ends[b - 1]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+
+
+def _without(text: Column, covered: Column) -> Column:
+    @F.arrow_udf(KEPT)
+    def cut(texts: pa.Array, firsts: pa.Array) -> pa.Array:
+        out = []
+        for text, found in zip(texts.to_pylist(), firsts.to_pylist()):
+            spans = removed_spans(text, found) if text and found else []
+            kept, at = [], 0
+            for start, end in spans:
+                kept.append(text[at:start])
+                at = end
+            left = "".join([*kept, text[at:]]) if spans else text
+            out.append({"text": left, "removed": [{"start": a, "end": b} for a, b in spans]})
+        return pa.array(out, pa.struct({
+            "text": pa.string(),
+            "removed": pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()})),
+        }))
+
+    return cut(text, covered)
+
+
+def without_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text, removed) of every row: the text without its repeated passages, and the
+    removed spans of the old text (code points, end exclusive)."""
+    rows = docs.select(
+        F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")
+    )
+    found = stored(rows.mapInArrow(_window_rows, WINDOWS), "windows")
+    each = found.select("id", "key", F.explode(F.arrays_zip("hash", "first")).alias("at")).select(
+        F.coalesce("id", F.lit(-(2**63))).alias("rank"), "id", "key", F.col("at.hash").alias("hash"), "at.first"
+    )
+    repeated = stored(
+        each.groupBy("hash")
+        .agg(F.min("rank").alias("least"), F.max("rank").alias("most"))
+        .where("least < most")
+        .select("hash", "least"),
+        "repeated",
+    )
+    later = each.join(repeated, "hash").where("rank > least").select("id", "key", "first")
+    later = later.unionAll(found.select("id", "key", F.explode("again").alias("first")))
+    # Equal ids with different texts, null ids among them, are told apart by the text's hash.
+    several = found.groupBy("id").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    several = stored(several.select("id"), "several")
+    if not several.isEmpty():
+        small = sized(several.withColumnRenamed("id", "shared"))
+        own = each.join(small, F.col("id").eqNullSafe(F.col("shared")), "left_semi")
+        ties = stored(
+            own.groupBy("rank", "hash")
+            .agg(F.min("key").alias("least"), F.max("key").alias("most"))
+            .where("least < most")
+            .select("rank", "hash", "least"),
+            "ties",
+        )
+        later = later.unionAll(own.join(ties, ["rank", "hash"]).where("key > least").select("id", "key", "first"))
+    covered = stored(later.groupBy("id", "key").agg(F.collect_list("first").alias("covered")), "covered")
+    same = rows["id"].eqNullSafe(covered["id"]) & (rows["key"] == covered["key"])
+    joined = rows.join(covered, same, "left").select(
+        rows["id"], _without(rows["text"], covered["covered"]).alias("kept")
+    )
+    return joined.select(F.col("id").alias(id), F.col("kept.text").alias("text"), F.col("kept.removed").alias("removed"))

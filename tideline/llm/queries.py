@@ -15,8 +15,8 @@ from tideline.llm.dartminhash import near_classes
 from tideline.llm import personal, secretscan, warc
 from tideline.llm import quality as quality_rules
 from tideline.llm.decontaminate import blocks, leaks
+from tideline.llm.passages import without_passages
 from tideline.llm.pieces import piece_round_trip
-from tideline.llm.sentences import without_repeats
 from tideline.llm.shipping import ship
 from tideline.llm.storage import stored
 from tideline.llm.tokenfiles import read_tokens, write_tokens
@@ -67,8 +67,8 @@ def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its repeated sentences, and what was removed."""
-    return without_repeats(table(spark, sf_dir, "documents"))
+    """Every document without its repeated passages, and what was removed."""
+    return without_passages(table(spark, sf_dir, "documents"))
 
 
 def held_out(id: str = "doc_id") -> Column:

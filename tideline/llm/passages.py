@@ -2,10 +2,12 @@
 
 A text's windows are runs of `LEAST` words in a row, which compare in lower case. Kept of
 them are the least by hash among every `NEAR` that begin at consecutive words, all of them
-in a tie, and those that begin where a sentence begins. So what is kept depends on the
-words near it only, and kept windows begin no more than `NEAR` words apart: two texts that
-share `LEAST + NEAR - 1` words in a row share a window, and what they share is covered but
-for `NEAR - 1` words at either end, wherever sentences end.
+in a tie, and those that begin where a sentence begins or end where one ends. So what is
+kept depends on the words near it only, and kept windows begin no more than `NEAR` words
+apart: two texts that share `LEAST + NEAR - 1` words in a row share a window, and what they
+share is covered but for `NEAR - 1` words at either end. Shared sentences are covered whole,
+from the first to the last of them, if they have `LEAST` words in all. A text of fewer words
+has one window of them all, which equals that of such a text only.
 
 All kept windows are grouped by hash over the whole corpus. The first place of a hash is the
 one with the least document id, then the least position; words under any other are
@@ -18,7 +20,7 @@ adaptive execution can split a hot one.
 
 Null and empty texts stay as they are. Rows with equal id and text count as one document
 and get the same result; of equal ids with different texts, the text hash decides which is
-earlier. A null id comes before all others.
+earlier. A null id counts as the least number.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from tideline.llm.batches import chunks, list_array, strings
 from tideline.llm.hashing import mix, step, word_places
 from tideline.llm.sentences import END, LEAST
-from tideline.llm.storage import sized, stored
+from tideline.llm.storage import sized, stored, swept
 
 NEAR = 8  # windows
 #: A word as `word_places` finds them, with the signs and white space that close it.
@@ -66,8 +68,13 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     value = mix(value)
     kept = _least(value, room >= LEAST + NEAR - 1)
     count = np.bincount(part, minlength=len(parts))
-    first = (np.cumsum(count) - count)[count > 0]
+    last = np.cumsum(count)[count > 0]
+    first = last - count[count > 0]
     kept[first[room[first] >= LEAST]] = True
+    kept[last[last - begin[owner[last - 1]] >= LEAST] - LEAST] = True
+    whole = begin[(size > 0) & (size < LEAST)]
+    kept[whole] = True
+    value[whole] = mix(sum(np.where(room[whole] > j, padded[whole + j], 0) * step(j + 1) for j in range(LEAST)))
     at = np.flatnonzero(kept)
     return owner[at], at - begin[owner[at]], value[at]
 
@@ -105,17 +112,17 @@ def _window_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done += len(texts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("id"),
+                    rows.column("rank"),
                     rows.column("key"),
                     list_array(value[once].view(np.int64), np.bincount(owner[once], minlength=len(texts))),
                     list_array(first[once].astype(np.int32), np.bincount(owner[once], minlength=len(texts))),
                     list_array(first[again].astype(np.int32), np.bincount(owner[again], minlength=len(texts))),
                 ],
-                ["id", "key", "hash", "first", "again"],
+                ["rank", "key", "hash", "first", "again"],
             )
 
 
-WINDOWS = "id long, key long, hash array<long>, first array<int>, again array<int>"
+WINDOWS = "rank long, key long, hash array<long>, first array<int>, again array<int>"
 KEPT = "struct<text string, removed array<struct<start int, end int>>>"
 
 
@@ -164,10 +171,21 @@ def without_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     removed spans of the old text (code points, end exclusive)."""
     rows = docs.select(
         F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")
-    )
+    ).withColumn("rank", F.coalesce("id", F.lit(-(2**63))))
     found = stored(rows.mapInArrow(_window_rows, WINDOWS), "windows")
-    each = found.select("id", "key", F.explode(F.arrays_zip("hash", "first")).alias("at")).select(
-        F.coalesce("id", F.lit(-(2**63))).alias("rank"), "id", "key", F.col("at.hash").alias("hash"), "at.first"
+    several = found.groupBy("rank").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    several = sized(stored(several.select("rank", F.lit(True).alias("several")), "several"))
+    tied = not several.isEmpty()
+
+    def tagged(df: DataFrame) -> DataFrame:
+        """With `tag`, the text's hash where texts differ under an id, else 0."""
+        if not tied:
+            return df.withColumn("tag", F.lit(0).cast("long"))
+        return df.join(several, "rank", "left").withColumn("tag", F.when(F.col("several"), F.col("key")).otherwise(0))
+
+    found = tagged(found)
+    each = found.select("rank", "tag", F.explode(F.arrays_zip("hash", "first")).alias("at")).select(
+        "rank", "tag", F.col("at.hash").alias("hash"), F.col("at.first").alias("first")
     )
     repeated = stored(
         each.groupBy("hash")
@@ -176,25 +194,22 @@ def without_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         .select("hash", "least"),
         "repeated",
     )
-    later = each.join(repeated, "hash").where("rank > least").select("id", "key", "first")
-    later = later.unionAll(found.select("id", "key", F.explode("again").alias("first")))
-    # Equal ids with different texts, null ids among them, are told apart by the text's hash.
-    several = found.groupBy("id").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
-    several = stored(several.select("id"), "several")
-    if not several.isEmpty():
-        small = sized(several.withColumnRenamed("id", "shared"))
-        own = each.join(small, F.col("id").eqNullSafe(F.col("shared")), "left_semi")
+    swept(docs.sparkSession)
+    later = each.join(repeated, "hash").where("rank > least").select("rank", "tag", "first")
+    later = later.unionAll(found.select("rank", "tag", F.explode("again").alias("first")))
+    if tied:
+        own = each.join(several, "rank", "left_semi")
         ties = stored(
             own.groupBy("rank", "hash")
-            .agg(F.min("key").alias("least"), F.max("key").alias("most"))
+            .agg(F.min("tag").alias("least"), F.max("tag").alias("most"))
             .where("least < most")
             .select("rank", "hash", "least"),
             "ties",
         )
-        later = later.unionAll(own.join(ties, ["rank", "hash"]).where("key > least").select("id", "key", "first"))
-    covered = stored(later.groupBy("id", "key").agg(F.collect_list("first").alias("covered")), "covered")
-    same = rows["id"].eqNullSafe(covered["id"]) & (rows["key"] == covered["key"])
-    joined = rows.join(covered, same, "left").select(
-        rows["id"], _without(rows["text"], covered["covered"]).alias("kept")
+        later = later.unionAll(own.join(ties, ["rank", "hash"]).where("tag > least").select("rank", "tag", "first"))
+    covered = stored(later.groupBy("rank", "tag").agg(F.collect_list("first").alias("covered")), "covered")
+    swept(docs.sparkSession)
+    joined = tagged(rows).join(covered, ["rank", "tag"], "left").select(
+        "id", _without(F.col("text"), F.col("covered")).alias("kept")
     )
     return joined.select(F.col("id").alias(id), F.col("kept.text").alias("text"), F.col("kept.removed").alias("removed"))

@@ -36,6 +36,39 @@ def test_models_tell_random_strings_from_identifiers():
     assert (chains.ratios(long) >= chains.threshold).mean() < 0.02
 
 
+def test_short_and_letter_keys_are_found(docs_of):
+    draw = random.Random(12)
+    syllables = ["get", "user", "name", "set", "value", "index", "for", "list", "max", "count", "er", "ing"]
+    names = ["".join(draw.choices(syllables, k=draw.randint(1, 6))) + draw.choice(["", "", "_1", "-v2", "2024"]) for _ in range(6000)]
+    chains = fit([], names[:3000])
+    for signs in (secretscan.SIGNS[:62], secretscan.SIGNS[:52]):
+        keys = ["".join(draw.choices(signs, k=draw.randint(16, 24))) for _ in range(400)]
+        texts = [f"the key is {k} and no more" for k in keys]
+        rows = docs_of(texts).select("doc_id", secrets("text", chains).alias("s")).collect()
+        found = sum([(x.start, KINDS[x.kind], x.end) for x in r.s] == [(11, "random", 11 + len(keys[r.doc_id]))] for r in rows)
+        assert found >= 0.97 * len(keys)
+    ordinary = [n for n in names[3000:] if len(n) >= secretscan.SHORTEST]
+    rows = docs_of(ordinary).select(secrets("text", chains).alias("s")).collect()
+    assert sum(bool(r.s) for r in rows) < 0.02 * len(ordinary)
+
+
+def test_what_base_spans_leave_of_a_run(docs_of):
+    draw = random.Random(13)
+    names = ["".join(draw.choices(["get", "user", "name", "er", "ing", "To"], k=4)) for _ in range(3000)]
+    chains = fit([], names)
+    key, code = "Zx8Qv2LmT5rYw9Kp-", "0a1b2c3d" * 3
+    texts = [key + code, f"é {code}/{key}", f"{key}{code}{key[::-1]} AKIA{'Q' * 16}", f"{key[:9]}{code}", "get.user.name.in.password=hunter22"]
+    rows = docs_of(texts).select("doc_id", secrets("text", chains).alias("s")).collect()
+    found = {r.doc_id: [(x.start, KINDS[x.kind], x.end) for x in r.s] for r in rows}
+    assert found == {
+        0: [(0, "random", 17), (17, "hex", 41)],
+        1: [(2, "hex", 26), (26, "random", 44)],
+        2: [(0, "random", 17), (17, "hex", 41), (41, "random", 58), (59, "access", 79)],
+        3: [(9, "hex", 33)],
+        4: [(17, "assign", 34)],
+    }
+
+
 def test_rows(odd_docs, docs_of):
     draw = random.Random(6)
     signs = [*"aeinorst_", "er", "ing", "the", "Max", "To", "Value", "Id"]

@@ -1,17 +1,19 @@
 """Secrets in texts: base patterns, and random-looking strings by character Markov models.
 
 Base spans come from one pattern a kind, kept if long enough. Beside them, each run of
-`[A-Za-z0-9+/_.=-]` of `SHORTEST` characters or more that has a digit and a letter is
-scored: the log likelihood under the best of several Markov models of random strings, less
-that under a model of ordinary identifiers, for each character. A run over the threshold
-that meets no base span is added as kind `random`.
+`[A-Za-z0-9+/_.=-]`, or what base spans leave of it, is scored if it has `SHORTEST`
+characters or more and is no mere number: the log likelihood under the best of several
+Markov models of random strings, less that under a model of ordinary identifiers, for each
+character. What reaches the threshold is added as kind `random`; strings without a digit
+have a stricter one.
 
 Training. The random models start from strings drawn with a fixed seed over usual
 alphabets and learn from the values of base spans, each by the model that fits it best;
 the identifier model learns from the other runs of four characters or more, but not from
-those that would be scored. Both samples come from at most `SAMPLE` texts, those with base
-spans and others, chosen by a hash of the text. The threshold is the least that no more
-than one in `FALSE` of the sampled ordinary runs would pass, and not under `FLOOR`.
+those long enough to be scored. Both samples come from at most `SAMPLE` texts, those with
+base spans and others, chosen by a hash of the text. A threshold is the least that no more
+than one in `FALSE` of the sampled ordinary runs would pass, but passed by 99 in 100 drawn
+strings, and not under `FLOOR`.
 
 Offsets are code points, ends exclusive. Null is the empty text and has no spans.
 """
@@ -64,12 +66,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def beside(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What spans, in order, leave of start to end."""
+    out = []
+    for a, _, b in spans:
+        if a < end and start < b:
+            out.append((start, a))
+            start = b
+    return [(a, b) for a, b in [*out, (start, end)] if a < b]
+
+
 @dataclass
 class Chains:
     """Log chances [model, sign before, sign]; the last model is of identifiers."""
 
     logs: np.ndarray
     threshold: float
+    letters: float  # the threshold of strings without a digit
 
     def ratios(self, runs: list[str]) -> np.ndarray:
         """The log-likelihood ratio for each character of each run."""
@@ -79,6 +92,11 @@ class Chains:
         sizes = np.fromiter(map(len, runs), float, len(runs))
         return (each[:-1].max(axis=0) - each[-1]) / sizes
 
+    def random(self, runs: list[str]) -> np.ndarray:
+        """Whether each run reaches the threshold of its kind."""
+        digit = np.fromiter((bool(DIGIT.search(r)) for r in runs), bool, len(runs))
+        return self.ratios(runs) >= np.where(digit, self.threshold, self.letters)
+
 
 def _pairs(runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signs and the signs before them (0 at a run's start), and where runs begin."""
@@ -118,16 +136,22 @@ def fit(secrets: list[str], ordinary: list[str]) -> Chains:
     if secrets:
         best = _likelihoods(logs, secrets).argmax(axis=0)
         logs = np.stack([_fitted(g + [s for s, b in zip(secrets, best) if b == n], 0.05) for n, g in enumerate(drawn)])
-    judged = [len(o) >= SHORTEST and bool(DIGIT.search(o)) for o in ordinary]
-    plain = [o for o, later in zip(ordinary, judged) if not later]
-    chains = Chains(np.concatenate([logs, _fitted(plain, 0.5)[None]]), FLOOR)
-    long = [o for o, later in zip(ordinary, judged) if later]
+    chains = Chains(np.concatenate([logs, _fitted([o for o in ordinary if len(o) < SHORTEST], 0.5)[None]]), FLOOR, FLOOR)
+    judged = [o for o in ordinary if len(o) >= SHORTEST]
+    long = [o for o in judged if DIGIT.search(o)]
     if long:
         # Some of these may be random themselves: drawn strings bound the threshold from above.
         ratios = np.sort(chains.ratios(long))
         high = ratios[max(0, len(ratios) - 1 - len(ratios) // FALSE)]
         random_low = np.quantile(chains.ratios([s[:SHORTEST] for g in drawn for s in g]), 0.01)
         chains.threshold = float(max(FLOOR, min(high, random_low)))
+    # Words alone have no digit either: without any that are long, drawn letters decide.
+    letters = chains.ratios(["".join(draw.choices(SIGNS[:52], k=SHORTEST)) for _ in range(1000)])
+    high = random_low = np.quantile(letters, 0.01)
+    if len(long) < len(judged):
+        ratios = np.sort(chains.ratios([o for o in judged if not DIGIT.search(o)]))
+        high = np.nextafter(ratios[max(0, len(ratios) - 1 - len(ratios) // FALSE)], np.inf)
+    chains.letters = float(max(chains.threshold, min(high, random_low)))
     return chains
 
 
@@ -166,14 +190,13 @@ def secrets(text: str | Column, chains: Chains) -> Column:
         for n, body in enumerate(strings(column)):
             found = base_spans(body)
             rows.append(found)
-            if DIGIT.search(body):
-                for m in RUN.finditer(body):
-                    free = not any(a < m.end() and m.start() < b for a, _, b in found)
-                    if free and DIGIT.search(m.group()) and LETTER.search(m.group()):
-                        runs.append(m.group())
-                        where.append((n, m.start(), m.end()))
-        for (n, start, end), ratio in zip(where, chains.ratios(runs).tolist()):
-            if ratio >= chains.threshold:
+            for m in RUN.finditer(body):
+                for start, end in beside(m.start(), m.end(), found):
+                    if end - start >= SHORTEST and LETTER.search(body, start, end):
+                        runs.append(body[start:end])
+                        where.append((n, start, end))
+        for (n, start, end), is_random in zip(where, chains.random(runs).tolist()):
+            if is_random:
                 rows[n].append((start, 3, end))
         return pa.array([[{"start": a, "kind": k, "end": b} for a, k, b in sorted(r)] for r in rows], FORM)
 

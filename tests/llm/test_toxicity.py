@@ -37,6 +37,34 @@ def test_marginals_equal_enumeration():
         assert np.allclose(got[at], toxic / total)
 
 
+def test_marginals_of_long_lines():
+    draw = np.random.default_rng(5)
+    sizes = [1, 127, 128, 129, 256, 257, 700, 3, 1500]
+    chain = np.repeat(np.arange(len(sizes)) * 2, sizes)
+    emission, moves = draw.normal(size=len(chain)) * 3, draw.normal(size=(2, 2)) * 2
+    ahead, back = Messages(chain).run(emission, moves)
+    for c in np.unique(chain):
+        at = np.flatnonzero(chain == c)
+        weights = [np.exp([0, e]) for e in emission[at]]
+        forward, backward = [weights[0]], [np.ones(2)]
+        for w in weights[1:]:
+            x = forward[-1] @ np.exp(moves) * w
+            forward.append(x / x.sum())
+        for w in weights[:0:-1]:
+            x = np.exp(moves) @ (w * backward[-1])
+            backward.append(x / x.sum())
+        both = np.array(forward) * np.array(backward[::-1])
+        assert np.allclose((ahead + back)[at], np.log(both[:, 1] / both[:, 0]))
+
+
+def test_a_span_crosses_the_words_of_a_long_line():
+    field = fit(*texts_and_labels(1, 400), 0.25)
+    plain = " ".join(["aka"] * 126)
+    for text in (f"{plain} grobnar snarth flunked grobnar {plain} {plain}", f"{plain} {plain} grobnar snarth flunked grobnar {plain}"):
+        _, (_, start, end, _) = scorer(field)([text])
+        assert [text[a:b] for a, b in zip(start, end)] == ["grobnar snarth flunked grobnar"]
+
+
 def test_held_out_accuracy_and_offsets():
     texts, labels = texts_and_labels(1, 400)
     field = fit(texts, labels, labels.mean())

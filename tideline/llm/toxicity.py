@@ -1,10 +1,11 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-The chains are the lines of a text, in pieces of at most `CHAIN` words. Each word is toxic
-or not; its emission weight is a sum over its features (the word or
-a beginning of it, if marked in training, and the words beside it), and transitions couple neighbours. Forward-backward
-messages give each word's chance of being toxic. With two states a message is one number,
-the log odds, so a step over all chains of a batch is a few array operations.
+The chains are the lines of a text, however long. Each word is toxic or not; its emission
+weight is a sum over its features (the word or a beginning of it, if marked in training,
+and the words beside it), and transitions couple neighbours. Forward-backward messages give
+each word's chance of being toxic. With two states a message is one number, the log odds, so
+a step over all chains of a batch is a few array operations. Lines of more than `CHAIN`
+words go in pieces of so many, each as a 2 x 2 matrix that carries the message across it.
 
 Training. Labels are of documents, so tokens are labelled first: in labelled toxic
 documents, the words that are, or begin with 3 to 6 characters that are, far commoner in
@@ -33,7 +34,7 @@ from tideline.llm.batches import chunks, strings
 from tideline.llm.hashing import mix, step, word_beginnings, word_places
 
 SAMPLE = 600  # labelled documents of each class that the model is fitted on, at most
-CHAIN = 128
+CHAIN = 128  # words that messages pass one by one
 BEGINNINGS = (3, 4, 5, 6)  # characters
 FEATURES = 3 + len(BEGINNINGS)
 PURE = 1.7  # least log odds of a word or beginning, by documents, to label tokens
@@ -65,39 +66,74 @@ def _features(texts: list[str], word: np.ndarray, chain: np.ndarray) -> list[np.
     return [np.where(x == 0, 0, mix(x + step(n + 1))) for n, x in enumerate(kinds)]
 
 
-def _chains(owner: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """The number of each word's chain."""
-    if not len(line):
-        return line
-    new = np.diff(line, prepend=-1) != 0
-    first = np.maximum.accumulate(np.where(new, np.arange(len(line)), 0))
-    new |= (np.arange(len(line)) - first) % CHAIN == 0
-    return np.cumsum(new) - 1
+class _Steps:
+    """Forward log odds of every word, over all chains at once."""
+
+    def __init__(self, chain: np.ndarray):
+        begins = np.flatnonzero(np.diff(chain, prepend=-1))
+        lengths = np.diff(begins, append=len(chain))
+        pieces = -(-lengths // CHAIN)
+        rank = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts = np.repeat(begins, pieces) + rank * CHAIN
+        sizes = np.minimum(np.repeat(lengths, pieces) - rank * CHAIN, CHAIN)
+        self.first = self._layout(starts[rank == 0], sizes[rank == 0])
+        self.later = self._layout(starts[rank > 0], sizes[rank > 0])
+        across = (rank > 0) & (rank < np.repeat(pieces, pieces) - 1)
+        self.across = starts[across]
+        by_rank = np.argsort(rank, kind="stable")
+        ends = np.cumsum(np.bincount(rank)) if len(rank) else np.zeros(1, int)
+        self.ranks = [starts[by_rank[a:b]] for a, b in zip(ends, ends[1:])]
+
+    @staticmethod
+    def _layout(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The pieces from the longest on, and how many have each word."""
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        longest = int(sizes[0]) if len(sizes) else 0
+        return starts[order], np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()
+
+    def run(self, emission: np.ndarray, moves: np.ndarray) -> np.ndarray:
+        ahead = emission.copy()
+        (stay, enter), (leave, keep) = moves
+
+        def moved(x):
+            return np.logaddexp(enter, keep + x) - np.logaddexp(stay, leave + x)
+
+        def walk(starts, active):
+            for t, n in enumerate(active[1:], 1):
+                at = starts[:n] + t
+                ahead[at] += moved(ahead[at - 1])
+
+        walk(*self.first)
+        if self.ranks:
+            # Logs of the matrix that turns (odds, 1) before a piece into those at its end.
+            toxic = np.stack([np.zeros(len(self.across)), np.full(len(self.across), -np.inf)])
+            clean = toxic[::-1].copy()
+            for t in range(CHAIN):
+                toxic, clean = (
+                    emission[self.across + t] + np.logaddexp(keep + toxic, enter + clean),
+                    np.logaddexp(leave + toxic, stay + clean),
+                )
+            incoming = ahead[self.ranks[0] - 1]
+            ahead[self.ranks[0]] += moved(incoming)
+            for before, starts in zip(self.ranks, self.ranks[1:]):
+                goes_on = np.searchsorted(before, starts - CHAIN)
+                x, at = incoming[goes_on], np.searchsorted(self.across, starts - CHAIN)
+                incoming = np.logaddexp(toxic[0, at] + x, toxic[1, at]) - np.logaddexp(clean[0, at] + x, clean[1, at])
+                ahead[starts] += moved(incoming)
+            walk(*self.later)
+        return ahead
 
 
 class Messages:
     """Forward and backward log odds of every word, over all chains at once."""
 
     def __init__(self, chain: np.ndarray):
-        starts = np.flatnonzero(np.diff(chain, prepend=-1))
-        sizes = np.diff(starts, append=len(chain))
-        order = np.argsort(-sizes, kind="stable")
-        self.starts, sizes = starts[order], sizes[order]
-        longest = int(sizes[0]) if len(sizes) else 0
-        self.active = np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()
+        self.forward, self.backward = _Steps(chain), _Steps(chain[::-1])
 
     def run(self, emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ahead, back = emission.copy(), np.zeros_like(emission)
-        (stay, enter), (leave, keep) = moves
-        for t, n in enumerate(self.active[1:], 1):
-            at = self.starts[:n] + t
-            x = ahead[at - 1]
-            ahead[at] += np.logaddexp(enter, keep + x) - np.logaddexp(stay, leave + x)
-        for t in range(len(self.active) - 1, 0, -1):
-            at = self.starts[: self.active[t]] + t
-            x = emission[at] + back[at]
-            back[at - 1] = np.logaddexp(leave, keep + x) - np.logaddexp(stay, enter + x)
-        return ahead, back
+        back = self.backward.run(emission[::-1], moves.T)[::-1] - emission
+        return self.forward.run(emission, moves), back
 
 
 def _chance(odds: np.ndarray) -> np.ndarray:
@@ -187,8 +223,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     if not toxic.any() or toxic.all():
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
         return Field(*nothing, 0.0, np.zeros((2, 2)), np.array([odds, 0.0, 0.0, 0.0]))
-    word, owner, _, _, line = word_places(texts)
-    chain = _chains(owner, line)
+    word, owner, _, _, chain = word_places(texts)
     features = _features(texts, word, chain)
     marks = toxic_marks(features, owner, toxic)
     label = np.zeros(len(word), bool)
@@ -266,8 +301,7 @@ def scorer(field: Field) -> Callable[[list[str]], tuple[np.ndarray, list[np.ndar
     every maximal run of words with a chance of a half or more."""
 
     def run(texts: list[str]):
-        word, owner, start, length, line = word_places(texts)
-        chain = _chains(owner, line)
+        word, owner, start, length, chain = word_places(texts)
         emission = _emissions(field, _features(texts, word, chain))
         ahead, back = Messages(chain).run(emission, field.moves)
         chance = _chance(ahead + back) if len(field.keys) else np.zeros(len(word))

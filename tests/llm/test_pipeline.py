@@ -66,6 +66,16 @@ def test_pipeline_equals_the_known_answer(spark, sf_dir):
     assert {r.doc_id: list(r.ids) for r in rows} == want
 
 
+def test_near_copies_without_an_id_or_under_one(spark):
+    draw = random.Random(3)
+    a, b, c = (" ".join(word(draw) for _ in range(150)) for _ in range(3))
+    rows = [(4, a), (None, a), (None, a + " tail"), (None, b), (None, b), (7, b + " tail"), (9, c), (9, a[::-1]), (9, c), (2, "é"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    want = [(4, a), (7, b + " tail"), (9, c), (9, a[::-1]), (2, "é"), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(want, key=str)
+
+
 def test_stages_keep_columns_and_take_empty_tables(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "*", "'x' AS found", "1 AS places", "2 AS added", "3 AS base_spans"

@@ -15,8 +15,10 @@ from tideline.llm.dartminhash import near_classes
 from tideline.llm import personal, secretscan, warc
 from tideline.llm import quality as quality_rules
 from tideline.llm.decontaminate import blocks, leaks
+from tideline.llm.oracle import ORACLE
 from tideline.llm.passages import without_passages
 from tideline.llm.pieces import piece_round_trip
+from tideline.llm.resample import resample
 from tideline.llm.shipping import ship
 from tideline.llm.storage import stored
 from tideline.llm.tokenfiles import read_tokens, write_tokens
@@ -162,6 +164,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_personal": op2_personal,
@@ -173,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
+    "op13_resample": op13_resample,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

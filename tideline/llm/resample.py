@@ -117,28 +117,38 @@ def buckets_of(head: Head, text: str | None, longest: int, buckets: int) -> Iter
 
 
 def frequent(texts: DataFrame, text: str, n: int, most: int) -> list[bytes]:
-    """The `most` runs of `n` words that are commonest in all texts, by count and then bytes."""
+    """The commonest runs of `n` words in all texts: those that occur twice and more, and as
+    often as it takes for there to be no more than `most` of them. The bound is found from how
+    many runs there are at each eighth of a doubling of the count, so that no more than these
+    numbers and then the runs themselves come to the driver."""
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> pa.RecordBatch:
-            short = [(w, c) for w, c in total.items() if len(w) <= HEAD_BYTES]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in short], pa.binary()), pa.array([c for _, c in short], pa.int64())],
-                ["run", "n"],
-            )
+            runs = pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())
+            return pa.RecordBatch.from_arrays(list(runs), ["run", "n"])
 
         total: Counter[bytes] = Counter()
         for batch in batches:
             for value in batch.column(0):
                 for words in word_lists(value.as_py(), n - 1):
-                    total.update(words if n == 1 else map(b" ".join, zip(*(words[k:] for k in range(n)))))
+                    runs = words if n == 1 else map(b" ".join, zip(*(words[k:] for k in range(n))))
+                    total.update([r for r in runs if len(r) <= HEAD_BYTES])
                     if len(total) > COUNTED:
                         yield made()
                         total.clear()
         yield made()
 
     sums = texts.select(text).mapInArrow(counted, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    return [bytes(r.run) for r in sums.orderBy(F.desc("n"), "run").limit(most).collect()]
+    level = F.floor(F.log2("n") * 8).alias("level")
+    levels = stored(sums.where("n > 1").select("run", level), "runs")
+    held, least = 0, None
+    for row in sorted(levels.groupBy("level").count().collect(), reverse=True):
+        held += row["count"]
+        if held <= most:
+            least = row.level
+    if least is None:
+        return []
+    return [bytes(r.run) for r in levels.where(F.col("level") >= least).collect()]
 
 
 def head_of(docs: DataFrame, text: str = "text", longest: int = 1, most: int = HEAD) -> Broadcast[Head]:

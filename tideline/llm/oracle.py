@@ -48,4 +48,25 @@ SELECT doc_id, n_features, weight, score,
        CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
 FROM placed"""
 
-ORACLE: dict[str, str] = {"op13_resample": _RESAMPLE}
+_NEGATIVES = """WITH
+usable AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS alike,
+         CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.id <> b.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT * FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.other AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) <= 5"""
+
+ORACLE: dict[str, str] = {"op11_hard_negatives": _NEGATIVES, "op13_resample": _RESAMPLE}

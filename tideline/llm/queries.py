@@ -15,6 +15,8 @@ from tideline.llm.dartminhash import near_classes
 from tideline.llm import personal, secretscan, warc
 from tideline.llm import quality as quality_rules
 from tideline.llm.decontaminate import blocks, leaks
+from tideline.llm.gnat import hard_negatives
+from tideline.llm.multiindex import nearest_neighbours
 from tideline.llm.oracle import ORACLE
 from tideline.llm.passages import without_passages
 from tideline.llm.pieces import piece_round_trip
@@ -164,6 +166,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+    return found.select(
+        F.col("anchor").alias("anchor_id"),
+        F.col("positive").alias("positive_id"),
+        "rank",
+        F.col("negative").alias("negative_id"),
+        "positive_score",
+        "negative_score",
+    )
+
+
+def op12_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
@@ -180,6 +200,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_multi_index": op12_multi_index,
     "op13_resample": op13_resample,
 }
 

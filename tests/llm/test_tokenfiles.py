@@ -53,3 +53,15 @@ def test_files_hold_the_documents_in_order(spark, docs_of, odd_docs, monkeypatch
 
 def test_empty_table(spark, odd_docs):
     assert read_tokens(spark, write_tokens(odd_docs.limit(0), FILE, end=1)).select(F.col("id")).collect() == []
+
+
+def test_a_small_cache_gives_the_same_ids(monkeypatch):
+    """Words are thinned out between texts; those that come often are kept."""
+    monkeypatch.setattr(tokenfiles, "CACHED_WORDS", 20)
+    tokenizer, draw = Tokenizer.from_file(FILE), random.Random(6)
+    words = tokenfiles.Words(FILE)
+    for _ in range(60):
+        texts = ["the " + " ".join("".join(draw.choices("abcdeé漢", k=4)) for _ in range(9)) for _ in range(3)]
+        ids, lengths = words.encode(texts)
+        assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+        assert len(words.known) == len(words.uses) == len(words.starts) <= 20 + 3 * 30 and "the" in words.known

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.batches import chunks, ranges, strings
+from tideline.llm.batches import chunks, in_batches, ranges, strings
 from tideline.llm.files import file_name, new_file
 from tideline.llm.pieces import Numbered
 from tideline.llm.storage import shared_folder, stored
@@ -75,13 +75,19 @@ class Words:
         if splits[0].get("pattern", {}).get("Regex") != SPLIT or lowers != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("a tokenizer that splits or normalises in another way")
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self):
         self.known = Numbered()
-        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.starts = self.lengths = self.uses = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
+    def _thin(self):
+        """Keeps the half of `CACHED_WORDS` that was looked up most, later uses counting more."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: CACHED_WORDS // 2])
+        words = list(self.known)
+        self.known = Numbered((words[k], n) for n, k in enumerate(kept.tolist()))
+        self.flat = self.flat[ranges(self.starts[kept], self.lengths[kept])]
+        self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     def _ids(self, parts: list[str]) -> list[list[int]]:
         """Ids of each run or word."""
         model, odd = self.tokenizer.model, []
@@ -102,7 +108,7 @@ class Words:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and how many each has."""
         if len(self.known) > CACHED_WORDS:
-            self._forget()
+            self._thin()
         known, index, counts, before = self.known, [], [], len(self.known)
         for text in texts:
             parts = _parts(text)
@@ -115,7 +121,9 @@ class Words:
             self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(lengths) - lengths]
             self.lengths = np.r_[self.lengths, lengths]
             self.flat = np.r_[self.flat, flat]
+            self.uses = np.r_[self.uses, np.zeros(len(found), np.int64)]
         index = np.array(index, np.int64)
+        self.uses += np.bincount(index, minlength=len(self.uses))
         ids = self.flat[ranges(self.starts[index], self.lengths[index])]
         upto = np.r_[0, np.cumsum(self.lengths[index])]
         ends = np.cumsum(np.array(counts, np.int64))
@@ -138,22 +146,24 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
+def _encoded(column: pa.Array, tokenizer: str, end: int | None) -> Iterator[np.ndarray]:
+    """Ids of each text, `end` after them."""
+    for texts in chunks(strings(column)):
+        ids, lengths = _words(tokenizer).encode(texts)
+        if end is not None:
+            ids = np.insert(ids, np.cumsum(lengths), end)
+            lengths = lengths + 1
+        upto = np.r_[0, np.cumsum(lengths)].tolist()
+        yield from (ids[a:b] for a, b in zip(upto[:-1], upto[1:]))
+
+
 def token_bytes(text: str | Column, tokenizer: str, end: int | None = None) -> Column:
     """Ids of the text in the tokenizer file, `end` after them, as little-endian u32."""
 
     @F.arrow_udf("binary")
     def encode(column: pa.Array) -> pa.Array:
-        out = []
-        for texts in chunks(strings(column)):
-            ids, lengths = _words(tokenizer).encode(texts)
-            ends = np.cumsum(lengths)
-            if end is not None:
-                ids = np.insert(ids, ends, end)
-                lengths = lengths + 1
-            ids = ids.astype("<u4")
-            upto = np.r_[0, np.cumsum(lengths)]
-            out += [ids[a:b].tobytes() for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
-        return pa.array(out, pa.binary())
+        found = (ids.astype("<u4").tobytes() for ids in _encoded(column, tokenizer, end))
+        return pa.array(found, pa.binary())
 
     return encode.asNondeterministic()(text)
 
@@ -224,12 +234,12 @@ class TokenFiles:
 
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
-    for batch in batches:
-        for wide, value in zip(batch.column("wide").to_pylist(), batch.column("tokens")):
-            found = np.bincount(_read(wide, value))
-            if len(found) > len(total):
-                total, found = found, total
-            total[: len(found)] += found
+    for batch in in_batches(batches, 1000):
+        rows = zip(batch.column("wide").to_pylist(), batch.column("tokens"))
+        found = np.bincount(np.concatenate([_read(*row) for row in rows]))
+        if len(found) > len(total):
+            total, found = found, total
+        total[: len(found)] += found
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
@@ -270,17 +280,20 @@ def _file_writer(folder: str, vocabulary: np.ndarray):
     return write
 
 
-def _narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids in two bytes, with a mark, for documents that have none above 65,535."""
-    for batch in batches:
-        out, wide = [], []
-        for value in batch.column("tokens"):
-            ids = np.frombuffer(value.as_buffer(), "<u4")
-            wide.append(bool(len(ids)) and int(ids.max()) > 0xFFFF)
-            out.append(ids.tobytes() if wide[-1] else ids.astype("<u2").tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(wide), pa.array(out, pa.binary())], ["id", "wide", "tokens"]
-        )
+def _coder(tokenizer: str, end: int | None):
+    """Ids of texts, in two bytes, with a mark, for documents that have none above 65,535."""
+
+    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, wide = [], []
+            for ids in _encoded(batch.column("text"), tokenizer, end):
+                wide.append(bool(len(ids)) and int(ids.max()) > 0xFFFF)
+                out.append(ids.astype("<u4" if wide[-1] else "<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(wide, pa.bool_()), pa.array(out, pa.binary())], ["id", "wide", "tokens"]
+            )
+
+    return code
 
 
 def _read(wide: bool, tokens: pa.Scalar) -> np.ndarray:
@@ -292,8 +305,9 @@ def write_tokens(
 ) -> TokenFiles:
     """Writes the ids of all documents to a new shared folder."""
     spark = docs.sparkSession
-    tokens = docs.select(F.col(id).cast("long").alias("id"), token_bytes(F.col(text), tokenizer, end).alias("tokens"))
-    coded = stored(tokens.mapInArrow(_narrow, "id long, wide boolean, tokens binary"), "tokens", compression="zstd")
+    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    tokens = texts.mapInArrow(_coder(tokenizer, end), "id long, wide boolean, tokens binary")
+    coded = stored(tokens.withColumn("digest", F.xxhash64("tokens")), "tokens", compression="zstd")
     counted = coded.select("wide", "tokens").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = sorted(((-r.n, r.id) for r in counted.collect()))  # at most the vocabulary's size
     vocabulary = np.array([i for _, i in counts], np.uint32)
@@ -301,8 +315,8 @@ def write_tokens(
     folder = shared_folder(spark, "token-files")
     with new_file(folder, "vocabulary.ids") as out:
         out.write(vocabulary.astype("<u4").tobytes())
-    ordered = coded.repartitionByRange(1 + total // FILE_IDS, F.col("id").asc_nulls_first(), F.md5("tokens"))
-    ordered = ordered.sortWithinPartitions(F.col("id").asc_nulls_first(), F.md5("tokens"))
+    order = F.col("id").asc_nulls_first(), F.col("digest")
+    ordered = coded.repartitionByRange(1 + total // FILE_IDS, *order).sortWithinPartitions(*order)
     files = stored(
         ordered.mapInArrow(_file_writer(folder, vocabulary), "name string, ids long, documents long"), "file-list"
     )

@@ -127,6 +127,7 @@ SELECT event_type, brand, count(*) AS rows FROM raw GROUP BY ALL""",
 SELECT event_id, event_time, {_UTC_DAY} AS event_date_utc FROM raw""",
     "bronze_roundtrip": _STORED_BRONZE,
     "bronze_incremental": _STORED_BRONZE,
+    "bronze_ledger": _STORED_BRONZE,
     "bronze_range_scan": f"""SELECT * FROM ({_BRONZE_ROWS})
 WHERE event_date_utc BETWEEN DATE '2024-01-08' AND DATE '2024-01-20'""",
     "typed_events": f"WITH {TYPED_SQL} SELECT * FROM typed",

@@ -109,6 +109,24 @@ def bronze_incremental(spark, sf_dir):
     return _settled(spark, lake, _priced(stored_rows))
 
 
+def bronze_ledger(spark, sf_dir):
+    """Three folders of files that share all days: one comes as a load before the full build,
+    one only with it, one as a load after it. Each is sent again in other ways."""
+    lake, folder = scratch_lake(spark), scratch_dir(spark)
+    raw, key = given.raw_events(spark, sf_dir), F.col("event_id")
+    a, b, c = (
+        _as_csv(raw.filter(key % 3 == n).select(*schemas.RAW.names), f"{folder}/{n}") for n in range(3)
+    )
+    bronze.add_csv_load(spark, lake, a, "a")
+    bronze.build_bronze(spark, lake, [a, b])
+    bronze.add_csv_load(spark, lake, [b, c], "c")
+    bronze.add_csv_load(spark, lake, [a, c], "again")
+    bronze.build_bronze(spark, lake, [a, b, c])
+    bronze.add_csv_load(spark, lake, [a, b], "a")
+    stored_rows = read_bronze(spark, lake.bronze.name, lake.bronze_loads.name)
+    return _settled(spark, lake, _priced(stored_rows))
+
+
 def _holds(spark, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -385,6 +403,7 @@ QUERIES: dict[str, Query] = {
         bronze_partition_date,
         bronze_roundtrip,
         bronze_incremental,
+        bronze_ledger,
         bronze_range_scan,
         typed_events,
         typed_events_strict,

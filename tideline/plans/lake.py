@@ -10,6 +10,7 @@ class Lake:
     """Names and places of the layers. ``audit_path`` may be None: no run records.
 
     Bronze has two tables: one that full builds replace, and one of increments by load key.
+    ``bronze_files`` is the ledger of source files; without it files are not told apart.
     """
 
     bronze: LayerTable
@@ -17,6 +18,7 @@ class Lake:
     silver: LayerTable
     gold: LayerTable
     audit_path: str | None = None
+    bronze_files: LayerTable | None = None
 
     @classmethod
     def under(cls, root: str, database: str) -> Lake:
@@ -31,4 +33,5 @@ class Lake:
             silver=layer("silver_events"),
             gold=layer("gold_weekly_activity"),
             audit_path=f"{root}/run_audit",
+            bronze_files=layer("bronze_files"),
         )

@@ -32,6 +32,22 @@ BRONZE_LOADS = T.StructType(
     + [T.StructField(LOAD_KEY, T.StringType(), True), T.StructField(BRONZE_DAY, T.DateType(), True)]
 )
 
+# Stored rows of source files also name their file; tables do not show the column.
+SOURCE_FILE = "source_file"
+# Source files in Bronze: who holds them, and the day folders that have rows of theirs.
+HOLDER = "holder"
+BRONZE_FILES = T.StructType(
+    [
+        T.StructField("file_path", T.StringType(), True),
+        T.StructField("file_size", T.LongType(), True),
+        T.StructField("file_time_ms", T.LongType(), True),
+        T.StructField("rows", T.LongType(), True),
+        T.StructField("day_folders", T.ArrayType(T.StringType()), True),
+        T.StructField("whole", T.BooleanType(), True),
+        T.StructField(HOLDER, T.StringType(), True),
+    ]
+)
+
 SILVER_DAY = "event_date_kst"
 SILVER = T.StructType(
     [

@@ -247,7 +247,7 @@ def test_gold_is_replaced_as_a_whole(spark, lake):
                                             user="2"))
     silver.ingest(spark, lake, "2019-10-07", "2019-10-13")
     assert {tuple(r) for r in gold.build_gold(spark, lake).collect()} == weeks
-    assert len(list(Path(lake.gold.path).glob("*.parquet"))) == 1
+    assert len(list(Path(lake.gold.path).glob("week=*/*.parquet"))) == 2  # a file a week
     users, found = gold.activity_report(spark, lake)
     assert [tuple(r) for r in users.collect()] == [
         (dt.datetime(2019, 9, 30), 1), (dt.datetime(2019, 10, 7), 1)]
@@ -266,6 +266,32 @@ def test_week_refresh_equals_full_refresh(spark, lake):
     assert gold.refresh_gold_weeks(spark, lake, []).collect() == by_week
 
 
+def test_refreshes_of_different_weeks_at_once_both_stay(spark, lake):
+    days = [dt.date(2019, 10, 1) + dt.timedelta(days=7 * n) for n in range(6)]
+    bronze.store_bronze(spark, lake, events(spark, *(f"{d} 01:00:00" for d in days)))
+    silver.ingest(spark, lake, days[0], days[-1])
+    empty = gold.refresh_gold_weeks(spark, lake, [])
+    assert empty.collect() == []
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda day: gold.refresh_gold_weeks(spark, lake, [day], run_id=str(day)), days))
+    weeks = [gold.monday_of(d) for d in days]
+    assert [tuple(r) for r in gold.read_gold(spark, lake.gold.name).collect()] == [(w, 1, 1) for w in weeks]
+    assert {p.name for p in Path(lake.gold.path).glob("week=*")} == {f"week={w}" for w in weeks}
+
+
+def test_a_refresh_writes_its_weeks_only_and_empties_lost_ones(spark, lake):
+    bronze.store_bronze(spark, lake, events(spark, "2019-10-01 01:00:00", "2019-10-09 01:00:00"))
+    silver.ingest(spark, lake, "2019-10-01", "2019-10-09")
+    gold.build_gold(spark, lake)
+    untouched = {p: p.stat().st_mtime_ns for p in Path(lake.gold.path).glob("week=2019-09-30/*.parquet")}
+    bronze.store_bronze(spark, lake, events(spark, "2019-10-09 01:00:00", user="x"))
+    silver.ingest(spark, lake, "2019-10-09", "2019-10-09", drop_empty_days=True)
+    left = gold.refresh_gold_weeks(spark, lake, [dt.date(2019, 10, 9)]).collect()
+    assert [tuple(r) for r in left] == [(dt.date(2019, 9, 30), 1, 1)]
+    assert untouched == {p: p.stat().st_mtime_ns for p in Path(lake.gold.path).glob("week=2019-09-30/*.parquet")}
+    assert gold.build_gold(spark, lake).collect() == left
+
+
 def test_report_of_an_empty_lake(spark, lake):
     users, found = gold.activity_report(spark, lake)
     assert users.collect() == found.collect() == []

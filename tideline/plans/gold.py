@@ -1,4 +1,8 @@
-"""Silver -> Gold: weekly activity, and the reports over it."""
+"""Silver -> Gold: weekly activity, and the reports over it.
+
+Gold's files lie in a folder a week. A full build replaces all folders; a refresh writes only
+those of its weeks and reads no others, so refreshes of different weeks may run at once.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tideline import schemas
 from tideline.functions.clock import day_literal, require_utc_session
@@ -18,7 +22,7 @@ from tideline.operators.activity import (
 from tideline.plans.audit import recorded_run
 from tideline.plans.lake import Lake
 from tideline.plans.silver import create_silver
-from tideline.sinks import create_layer_table, replace_table
+from tideline.sinks import create_layer_table, empty_folder, replace_days, replace_load
 from tideline.sources import read_gold, read_silver
 
 # Fixed value: rows a printed report shows at most.
@@ -40,17 +44,21 @@ def build_gold(spark: SparkSession, lake: Lake, run_id: str | None = None) -> Da
         spark, lake.audit_path, run_id, lake.silver.path, lake.gold.path
     ) as run:
         create_silver(spark, lake)
-        create_layer_table(spark, lake.gold, schemas.GOLD)
+        create_gold(spark, lake)
         weekly = weekly_activity(read_silver(spark, lake.silver.name))
-        gold = _replace_gold(spark, lake, weekly)
+        replace_load(_by_folder(weekly), lake.gold.path, schemas.GOLD_FOLDER)
+        spark.catalog.refreshTable(lake.gold.name)
+        gold = read_gold(spark, lake.gold.name)
         run.row_count = gold.count()
     return gold
 
 
-def _replace_gold(spark: SparkSession, lake: Lake, weekly: DataFrame) -> DataFrame:
-    replace_table(weekly, lake.gold.name)
-    spark.catalog.refreshTable(lake.gold.name)
-    return read_gold(spark, lake.gold.name)
+def create_gold(spark: SparkSession, lake: Lake) -> None:
+    create_layer_table(spark, lake.gold, schemas.GOLD, any_folder=True)
+
+
+def _by_folder(weekly: DataFrame) -> DataFrame:
+    return weekly.select(*schemas.GOLD.names).withColumn(schemas.GOLD_FOLDER, F.col(schemas.GOLD_WEEK))
 
 
 def monday_of(day: dt.date) -> dt.date:
@@ -83,8 +91,8 @@ def refresh_gold_weeks(
     """Recounts only the weeks of the given days in Gold and returns all weeks.
 
     Each of these weeks is counted over all its days, so the result equals a full
-    recount. Pass the days an ingest wrote, or dropped; no days change nothing. The other
-    weeks' rows, of which there is one a week, are taken over as they are.
+    recount. Pass the days an ingest wrote, or dropped; no days change nothing. Weeks that
+    have no rows any more are emptied. Other weeks are neither read nor written.
     """
     days = list(days)
     require_utc_session(spark)
@@ -92,17 +100,22 @@ def refresh_gold_weeks(
         spark, lake.audit_path, run_id, lake.silver.path, lake.gold.path
     ) as run:
         create_silver(spark, lake)
-        create_layer_table(spark, lake.gold, schemas.GOLD)
-        gold = read_gold(spark, lake.gold.name)
+        create_gold(spark, lake)
         if days:
-            weeks = {monday_of(day) for day in days}
-            kept = [row for row in gold.collect() if row[schemas.GOLD_WEEK] not in weeks]
             touched = whole_weeks(read_silver(spark, lake.silver.name), days)
-            gold = _replace_gold(
-                spark,
-                lake,
-                weekly_activity(touched).unionByName(spark.createDataFrame(kept, schemas.GOLD)),
+            seen = Observation("gold")
+            replace_days(
+                _by_folder(weekly_activity(touched)),
+                lake.gold.path,
+                schemas.GOLD_FOLDER,
+                observation=seen,
+                metrics=(F.collect_set(schemas.GOLD_WEEK).alias("weeks"),),
             )
+            for week in {monday_of(day) for day in days} - set(seen.get.get("weeks") or []):
+                folder = f"{lake.gold.path}/{schemas.GOLD_FOLDER}={week.isoformat()}"
+                empty_folder(spark, schemas.GOLD, folder)
+            spark.catalog.refreshTable(lake.gold.name)
+        gold = read_gold(spark, lake.gold.name)
         run.row_count = gold.count()
     return gold
 

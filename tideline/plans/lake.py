@@ -11,6 +11,7 @@ class Lake:
 
     Bronze has two tables: one that full builds replace, and one of increments by load key.
     ``bronze_files`` is the ledger of source files; without it files are not told apart.
+    Gold needs a folder of its own, with nothing in it but its weeks.
     """
 
     bronze: LayerTable
@@ -31,7 +32,7 @@ class Lake:
             bronze=layer("bronze_events"),
             bronze_loads=layer("bronze_event_loads"),
             silver=layer("silver_events"),
-            gold=layer("gold_weekly_activity"),
+            gold=LayerTable(database, "gold_weekly_activity", f"{root}/gold_weekly_activity/weeks"),
             audit_path=f"{root}/run_audit",
             bronze_files=layer("bronze_files"),
         )

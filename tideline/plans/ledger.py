@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 
 from tideline import schemas
 from tideline.plans.lake import Lake
-from tideline.sinks import create_layer_table, register_partitions, replace_days
+from tideline.sinks import create_layer_table, empty_folder, register_partitions, replace_days
 from tideline.sources import read_raw_csv
 
 # The holder of full builds; no load key has this sign.
@@ -249,8 +249,8 @@ def _rewrite_without(
         metrics=(F.collect_set(day).alias("days"), F.count_if(day.isNull()).alias("without_day")),
     )
     kept = set(seen.get.get("days") or []) | ({None} if seen.get.get("without_day") else set())
-    nothing = spark.createDataFrame([], T.StructType(_STORED.fields[:-1]))
     for empty in days - kept:
-        nothing.write.mode("overwrite").parquet(f"{place}/{schemas.BRONZE_DAY}={_folder(empty)}")
+        folder = f"{place}/{schemas.BRONZE_DAY}={_folder(empty)}"
+        empty_folder(spark, T.StructType(_STORED.fields[:-1]), folder)
     table = lake.bronze if holder == BUILD else lake.bronze_loads
     spark.catalog.refreshTable(table.name)

@@ -68,6 +68,8 @@ SILVER = T.StructType(
 )
 
 GOLD_WEEK = "week_start_date"
+# Gold's files lie in a folder a week, which is no column of the table.
+GOLD_FOLDER = "week"
 GOLD = T.StructType(
     [
         T.StructField(GOLD_WEEK, T.DateType(), True),

@@ -8,12 +8,13 @@ from tideline.sinks.catalog import (
     register_partitions,
     repair_partitions,
 )
-from tideline.sinks.parquet import replace_days, replace_load, replace_table
+from tideline.sinks.parquet import empty_folder, replace_days, replace_load
 
 __all__ = [
     "LayerTable",
     "check_place",
     "create_layer_table",
+    "empty_folder",
     "forget_partitions",
     "known_days",
     "register_days",
@@ -21,5 +22,4 @@ __all__ = [
     "repair_partitions",
     "replace_days",
     "replace_load",
-    "replace_table",
 ]

@@ -32,9 +32,12 @@ def create_layer_table(
     table: LayerTable,
     schema: StructType,
     partition_columns: str | tuple[str, ...] = (),
+    any_folder: bool = False,
 ) -> None:
     """Creates the database and an external Parquet table, if they are missing.
 
+    ``any_folder``: the table's files lie in folders under its place that are no partitions.
+
     A table that is new to the catalog gets the partitions its folder already has, which
     is the only time that the folder is listed. A table of this name with files in another
     place is refused.
@@ -53,9 +56,10 @@ def create_layer_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     names = ", ".join(f"`{p}`" for p in parts)
     partitioning = f"PARTITIONED BY ({names})" if parts else ""
+    options = "OPTIONS (recursiveFileLookup 'true')" if any_folder else ""
     location = table.path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet {options} "
         f"{partitioning} LOCATION '{location}' "
         "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
     )

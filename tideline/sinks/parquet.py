@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 # Fixed value: the default cap on rows per file.
 MAX_ROWS_PER_FILE = 1_000_000
@@ -51,6 +52,6 @@ def _write_days(df, path, day_column, overwrite, max_rows_per_file, observation,
     )
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Replaces all rows of a small table without partitions (one row per week)."""
-    df.repartition(1).write.mode("overwrite").insertInto(table)
+def empty_folder(spark: SparkSession, schema: StructType, path: str) -> None:
+    """Leaves no rows in one partition's folder, which a dynamic overwrite cannot do."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -151,6 +151,9 @@ SELECT event_id, session_start_utc FROM cut""",
 SELECT {_KEYED} FROM named""",
     "sessionize_heavy": f"""WITH {_cut(HEAVY_SQL, HALF_HOUR)}
 SELECT {_KEYED} FROM named""",
+    "sessionize_gap1": f"WITH {_cut(HEAVY_SQL, 1)} SELECT {_KEYED} FROM named",
+    "session_numbers_gap1": f"""WITH {_cut(HEAVY_SQL, 1)}
+SELECT event_id, CAST(session_seq AS BIGINT) AS session_seq FROM cut""",
     "session_window_sessions": f"""WITH {_cut(EXACT_SQL, HALF_HOUR)}
 SELECT user_id, session_start_utc, count(*) AS events FROM cut GROUP BY ALL""",
     "sessionize_range": f"""WITH {_cut(

@@ -222,6 +222,16 @@ def sessionize_heavy(spark, sf_dir):
     return _keyed_sessions(given.heavy_clean(spark, sf_dir), HALF_HOUR)
 
 
+def sessionize_gap1(spark, sf_dir):
+    """The same at a gap of one second, where buckets are as many as seconds."""
+    return _keyed_sessions(given.heavy_clean(spark, sf_dir), 1)
+
+
+def session_numbers_gap1(spark, sf_dir):
+    numbered = steps.with_session_number(given.heavy_clean(spark, sf_dir), 1)
+    return numbered.select("event_id", "session_seq")
+
+
 def session_window_sessions(spark, sf_dir):
     return sessions.session_summary(given.exact_clean(spark, sf_dir), HALF_HOUR)
 
@@ -418,6 +428,8 @@ QUERIES: dict[str, Query] = {
         sessionize_subsecond,
         sessionize_subsecond_30m,
         sessionize_heavy,
+        sessionize_gap1,
+        session_numbers_gap1,
         session_window_sessions,
         sessionize_range,
         sessionize_carry,

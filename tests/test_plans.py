@@ -70,6 +70,16 @@ def test_full_rows_are_shuffled_once_and_never_windowed(large_scale, bronze):
             assert re.search(r"hashpartitioning\(user_id#\d+L, \d+\)", line)
 
 
+def test_windows_of_small_gaps_hold_a_span_of_a_user(large_scale, spark):
+    """86,400 buckets are a day at a gap of one second; windows by user are over such spans."""
+    text = plan(sessions.with_sessions(hot_events(spark, 1000), 1))
+    specs = re.findall(r" Window \[.*?\], \[(.*?)\], \[(.*?)\]", text)
+    assert len(specs) >= 4
+    for keys, order in specs:
+        keys, order = re.sub(r"#\d+L?", "", keys), re.sub(r"#\d+L?", "", order)
+        assert keys == "user_id, span" or (keys == "user_id" and order.startswith("span "))
+
+
 def test_full_rows_are_filtered_by_parsing_the_time_once(large_scale, bronze):
     text = plan(sessions.sessionize(clean_of(bronze)))
     filters = [line for line in text.splitlines() if "- Filter " in line and "EndsWith" in line]

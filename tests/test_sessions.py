@@ -178,6 +178,32 @@ def test_random_events_against_plain_python(spark, gap):
     clean.unpersist()
 
 
+@pytest.mark.parametrize("gap, span", [(1, 2), (1, 86_400), (7, 1), (300, 3), (86_400, 2)])
+def test_stitching_spans_against_plain_python(spark, monkeypatch, gap, span):
+    """Spans of few buckets: sessions that lie in one, end at its border, or run through many."""
+    monkeypatch.setattr(sessions, "SPAN", span)
+    monkeypatch.setattr(sessions, "WINDOW_GAP", 10**9)
+    rows = random_rows(gap + span, gap)
+    want, clean = cut(rows, gap), clean_rows(spark, rows).cache()
+    cut_rows = sessions.with_sessions(clean, gap).select("key", "session_seq", "session_start_utc")
+    assert {r.key: (r.session_seq, r.session_start_utc) for r in cut_rows.collect()} == {
+        k: v[2:] for k, v in want.items()
+    }
+    counted = {}
+    for key, user, *_ in rows:
+        counted[user, want[key][3]] = counted.get((user, want[key][3]), 0) + 1
+    summary = sessions.session_summary(clean, gap).collect()
+    assert {(r.user_id, r.session_start_utc): r.events for r in summary} == counted
+
+    boundary = F.lit(str(sorted(r[2] for r in rows)[len(rows) // 3])).cast("timestamp")
+    full, later = sessions.sessionize(clean, gap), F.col("event_time_utc") >= boundary
+    still_open = sessions.open_sessions(full, boundary, gap)
+    onward = sessions.sessionize_from(clean.filter(later), still_open, gap)
+    assert onward.exceptAll(full.filter(later)).count() == 0
+    assert full.filter(later).exceptAll(onward).count() == 0
+    clean.unpersist()
+
+
 @pytest.mark.parametrize("gap", [300, 420, 86_400, 200_000])
 def test_going_on_from_open_sessions_equals_full_run(spark, gap):
     rows = random_rows(gap + 1, gap, users=6, per_user=60)

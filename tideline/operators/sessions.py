@@ -9,7 +9,13 @@ so the cut is made on time buckets instead of on rows:
    Grouping by (user, bucket) therefore loses nothing. It is combined before the
    shuffle, so a user with a third of all rows leaves a map task as a few rows.
 2. The window per user runs over buckets. Their number is bounded by the time span
-   divided by the gap (105,120 per user and year at 300 s), whatever the row count.
+   divided by the gap (105,120 per user and year at 300 s), whatever the row count. Under
+   a gap of ``WINDOW_GAP`` it would be large, and buckets are stitched in two levels: a window
+   per user and span of ``SPAN`` buckets (a day at a gap of 1 s) cuts them as if the span
+   stood alone; what a span does to the session that reaches it is one row (its first and
+   last instant, how many sessions it has and the start of the last). Composing these rows
+   is associative, so a window per user over spans tells each span whether its first
+   session goes on from before, and since when.
 3. Events take their session from an equi-join on (user, bucket), which has exactly
    one match per event. This is the only shuffle of full rows, and one that adaptive
    execution can split where a single (user, bucket) is hot.
@@ -24,6 +30,8 @@ from tideline.functions import epoch_seconds
 
 # Fixed value: the default silence that ends a session.
 GAP_SECONDS = 300
+# From this gap on, one window per user holds all its buckets; under it, spans of so many.
+WINDOW_GAP, SPAN = 300, 86_400
 
 _USER_BUCKET = ["user_id", "bucket"]
 
@@ -63,13 +71,27 @@ def activity_buckets(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataF
 
 
 def stitched_buckets(buckets: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
-    """Adds session number and session start to each bucket, one window per user."""
-    by_time = Window.partitionBy("user_id").orderBy("first_utc")
+    """Adds session number and session start to each bucket."""
+    if check_gap(gap_seconds) >= WINDOW_GAP:
+        return _cut_by(buckets, ["user_id"], gap_seconds)
+    span = F.col("bucket") - F.pmod("bucket", F.lit(gap_seconds * SPAN))
+    in_spans = _cut_by(buckets.withColumn("span", span), ["user_id", "span"], gap_seconds)
+    goes_on = F.when(F.col("session_seq") == 1, F.col("open_since"))
+    return in_spans.join(_before_spans(in_spans, gap_seconds), ["user_id", "span"]).select(
+        *buckets.columns,
+        (F.col("session_seq") + F.col("seq_before")).alias("session_seq"),
+        F.coalesce(goes_on, F.col("session_start_utc")).alias("session_start_utc"),
+    )
+
+
+def _cut_by(buckets: DataFrame, keys: list[str], gap_seconds: int) -> DataFrame:
+    """Session number and start of each bucket as if those of its keys were all there are."""
+    by_time = Window.partitionBy(*keys).orderBy("first_utc")
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     silence = epoch_seconds(F.col("first_utc")) - epoch_seconds(
         F.lag("last_utc").over(by_time)
     )
-    opens = F.coalesce(silence >= check_gap(gap_seconds), F.lit(True))
+    opens = F.coalesce(silence >= gap_seconds, F.lit(True))
     return (
         buckets.withColumn("opens", opens)
         .withColumn("session_seq", F.sum(F.col("opens").cast("int")).over(so_far))
@@ -81,6 +103,30 @@ def stitched_buckets(buckets: DataFrame, gap_seconds: int = GAP_SECONDS) -> Data
     )
 
 
+def _before_spans(in_spans: DataFrame, gap_seconds: int) -> DataFrame:
+    """For each span the start of the session that goes on into it (null: none does), and how
+    many sessions the user has before those that begin in it."""
+    by_span = Window.partitionBy("user_id").orderBy("span")
+    so_far = by_span.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    silence = epoch_seconds(F.col("first_utc")) - epoch_seconds(F.lag("last_utc").over(by_span))
+    own_start = F.when(~F.col("goes_on") | (F.col("sessions") > 1), F.col("last_start"))
+    begun = F.col("sessions") - F.col("goes_on").cast("int")
+    return (
+        in_spans.groupBy("user_id", "span")
+        .agg(
+            F.min("first_utc").alias("first_utc"),
+            F.max("last_utc").alias("last_utc"),
+            F.max("session_seq").alias("sessions"),
+            F.max("session_start_utc").alias("last_start"),
+        )
+        .withColumn("goes_on", F.coalesce(silence < gap_seconds, F.lit(False)))
+        .withColumn("open_at_end", F.last(own_start, ignorenulls=True).over(so_far))
+        .withColumn("open_since", F.when(F.col("goes_on"), F.lag("open_at_end").over(by_span)))
+        .withColumn("seq_before", F.sum(begun).over(so_far) - F.col("sessions"))
+        .select("user_id", "span", "open_since", "seq_before")
+    )
+
+
 def assign_sessions(
     events: DataFrame, stitched: DataFrame, gap_seconds: int = GAP_SECONDS
 ) -> DataFrame:
@@ -119,8 +165,13 @@ def session_summary(clean: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFra
     """One row per session, by Spark's own session windows over the buckets.
 
     ``session_window`` joins neighbours that touch, so each bucket reaches half a
-    second less than ``gap`` past its last whole second.
+    second less than ``gap`` past its last whole second. It merges all windows of a user in
+    one task; under ``WINDOW_GAP`` the buckets' own sessions are summed up instead.
     """
+    if check_gap(gap_seconds) < WINDOW_GAP:
+        stitched = stitched_buckets(activity_buckets(clean, gap_seconds), gap_seconds)
+        summed = stitched.groupBy("user_id", "session_start_utc").agg(F.sum("events").alias("events"))
+        return summed.select("user_id", "session_start_utc", "events")
     first, last = epoch_seconds(F.col("first_utc")), epoch_seconds(F.col("last_utc"))
     reach_ms = (last - first + check_gap(gap_seconds)) * 1000 - 500
     window = F.session_window(

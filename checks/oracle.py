@@ -182,6 +182,7 @@ SELECT {_STORED} FROM named)""",
     "silver_onward_weekly": f"""WITH {_cut(CLEAN_SQL, DAY)}
 SELECT user_id, event_time_utc, event_type, session_id, session_start_utc,
        event_date_kst FROM named""",
+    "silver_late_day": f"WITH {_cut(CLEAN_SQL, DAY)} SELECT {_STORED} FROM named",
     "external_table_silver": _ALL_SILVER,
     "wau_by_user": _weekly(300, _TS_WEEK, "u"),
     "wau_by_session": _weekly(300, _TS_WEEK, "s"),

@@ -15,7 +15,7 @@ from tideline.operators import activity, sessions, steps
 from tideline.operators import cleaning
 from tideline.operators.cleaning import with_utc_day
 from tideline.operators.ranges import days_between
-from tideline.plans import audit, bronze, gold, silver
+from tideline.plans import audit, bronze, gold, repair, silver
 from tideline.plans.lake import Lake
 from tideline.sinks import known_days, repair_partitions, replace_days
 from tideline.sources import read_bronze, read_bronze_range, read_raw_csv
@@ -332,6 +332,21 @@ def silver_onward_weekly(spark, sf_dir):
     return _settled(spark, lake, rows)
 
 
+def silver_late_day(spark, sf_dir):
+    """Half the rows of a day in the middle come after all days were ingested. Sessions of a
+    day's gap run through many of the days after it."""
+    lake = scratch_lake(spark)
+    raw = given.raw_events(spark, sf_dir)
+    event_time = F.to_timestamp(F.substring("event_time", 1, 19), "yyyy-MM-dd HH:mm:ss")
+    local = F.when(F.col("event_time") != "not-a-time", F.to_date(event_time + F.expr("INTERVAL 9 HOURS")))
+    late = F.coalesce((local == day_literal(ONWARD_FROM)) & (F.col("event_id") % 2 == 0), F.lit(False))
+    bronze.store_bronze(spark, lake, raw.filter(~late).select(*schemas.RAW.names))
+    silver.ingest_onward(spark, lake, *_local_days(spark, lake), gap_seconds=DAY)
+    bronze.add_load(spark, lake, raw.filter(late).select(*schemas.RAW.names), "late")
+    repair.reingest(spark, lake, ONWARD_FROM, ONWARD_FROM, gap_seconds=DAY)
+    return _settled(spark, lake, spark.table(lake.silver.name))
+
+
 def external_table_silver(spark, sf_dir):
     """Silver through the catalog, after its table was dropped and created anew."""
     lake = _silver_lake(spark, sf_dir)
@@ -438,6 +453,7 @@ QUERIES: dict[str, Query] = {
         silver_partial_overwrite,
         silver_empty_batch,
         silver_onward_weekly,
+        silver_late_day,
         external_table_silver,
         wau_by_user,
         wau_by_session,

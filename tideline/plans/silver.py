@@ -172,6 +172,7 @@ def ingest_onward(
     zone: str = LOCAL_ZONE,
     time_format: str | None = None,
     from_nothing: bool = False,
+    drop_empty_days: bool = False,
 ) -> Ingested:
     """Like ``ingest``, but exact without a look-back: Silver itself is carried on.
 
@@ -189,7 +190,7 @@ def ingest_onward(
         bronze = read_bronze_range(spark, bronze_names(lake), *_utc_days(first, last, zone))
         silver = read_silver(spark, lake.silver.name)
         onward = onward_range(bronze, silver, first, last, gap_seconds, zone, time_format)
-        done = _replace_silver(spark, lake, onward, first, last)
+        done = _replace_silver(spark, lake, onward, first, last, drop_empty_days)
         run.row_count = done.rows
     return done
 

@@ -191,6 +191,15 @@ SELECT user_id, event_time_utc, event_type, session_id, session_start_utc,
     "wau_gold": _weekly(HALF_HOUR),
     "wau_report": _weekly(HALF_HOUR, _TS_WEEK),
     "wau_incremental": _weekly(HALF_HOUR),
+    "wau_from_state": _weekly(DAY),
+    "activity_by_third": _weekly(
+        DAY,
+        "CAST(date_trunc('month', event_date_kst) AS DATE) "
+        "+ CAST(least((day(event_date_kst) - 1) // 10, 2) * 10 AS INTEGER)",
+    ).replace("week_start_date", "first_day"),
+    "activity_of_range": f"""WITH {_cut(CLEAN_SQL, DAY)}
+SELECT count(DISTINCT user_id) AS users, count(DISTINCT session_id) AS sessions FROM named
+WHERE event_date_kst BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "run_audit_latest": f"""
 SELECT 'bronze' AS run_id, 'SUCCESS' AS status, count(*) AS row_count FROM events
 UNION ALL
@@ -198,4 +207,28 @@ SELECT 'silver', 'SUCCESS', (WITH {CLEAN_SQL} SELECT count(*) FROM clean)
 UNION ALL
 SELECT 'gold', 'SUCCESS',
        (WITH {CLEAN_SQL} SELECT count(DISTINCT {_WEEK}) FROM clean)""",
+    "run_audit_days": f"""WITH {CLEAN_SQL},
+ends AS (SELECT max(CAST(TRY_CAST(replace(event_time, ' UTC', '') AS TIMESTAMP) AS DATE)) + 1 AS last_day,
+                min(CAST(TRY_CAST(replace(event_time, ' UTC', '') AS TIMESTAMP) AS DATE)) AS first_day FROM raw),
+asked AS (
+  SELECT 'all' AS run_id, unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS day FROM ends
+  UNION ALL
+  SELECT 'past the end', unnest(generate_series(last_day, last_day + 3, INTERVAL 1 DAY)) FROM ends)
+SELECT run_id, CAST(day AS DATE) AS day FROM asked
+WHERE CAST(day AS DATE) NOT IN (SELECT event_date_kst FROM clean)""",
+    "lost_values": f"""WITH {TYPED_SQL},
+both_forms AS (SELECT raw.*, t.event_time_utc, t.product_id AS p, t.category_id AS c, t.user_id AS u
+               FROM raw JOIN typed t USING (event_id)),
+counted AS (SELECT
+  count(*) FILTER (event_time IS NULL) AS "event_time:missing",
+  count(*) FILTER (event_time IS NOT NULL AND event_time_utc IS NULL) AS "event_time:unreadable",
+  count(*) FILTER (user_id IS NULL) AS "user_id:missing",
+  count(*) FILTER (user_id IS NOT NULL AND u IS NULL) AS "user_id:unreadable",
+  count(*) FILTER (product_id IS NULL) AS "product_id:missing",
+  count(*) FILTER (product_id IS NOT NULL AND p IS NULL) AS "product_id:unreadable",
+  count(*) FILTER (category_id IS NULL) AS "category_id:missing",
+  count(*) FILTER (category_id IS NOT NULL AND c IS NULL) AS "category_id:unreadable",
+  count(*) FILTER (price IS NULL) AS "price:missing",
+  CAST(0 AS BIGINT) AS "price:unreadable" FROM both_forms)
+SELECT lost, rows FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME lost VALUE rows)""",
 }

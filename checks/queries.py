@@ -15,7 +15,7 @@ from tideline.operators import activity, sessions, steps
 from tideline.operators import cleaning
 from tideline.operators.cleaning import with_utc_day
 from tideline.operators.ranges import days_between
-from tideline.plans import audit, bronze, gold, repair, silver
+from tideline.plans import activity_state, audit, bronze, gold, repair, silver
 from tideline.plans.lake import Lake
 from tideline.sinks import known_days, repair_partitions, replace_days
 from tideline.sources import read_bronze, read_bronze_range, read_raw_csv
@@ -406,6 +406,40 @@ def wau_incremental(spark, sf_dir):
     return _settled(spark, lake, weekly)
 
 
+def _state_lake(spark, sf_dir) -> Lake:
+    """Silver of a day's gap and its state, in two halves of the days; then a day in the middle
+    of each half is refreshed once more."""
+    lake = _bronze_lake(spark, sf_dir)
+    first, last = _local_days(spark, lake)
+    middle = first + (last - first) // 2
+    for start, end in ((first, middle), (middle + dt.timedelta(days=1), last)):
+        done = silver.ingest_onward(spark, lake, start, end, gap_seconds=DAY)
+        activity_state.refresh_state(spark, lake, done.written_days, gap_seconds=DAY)
+    again = [first + (middle - first) // 2, ONWARD_FROM]
+    activity_state.refresh_state(spark, lake, again, gap_seconds=DAY)
+    return lake
+
+
+def wau_from_state(spark, sf_dir):
+    lake = _state_lake(spark, sf_dir)
+    return _settled(spark, lake, activity_state.weekly_from_state(spark, lake))
+
+
+def activity_by_third(spark, sf_dir):
+    """Spans that are no weeks: the days 1 to 10, 11 to 20 and 21 on of each month."""
+    lake = _state_lake(spark, sf_dir)
+    day = F.col(schemas.SILVER_DAY)
+    tens = F.least(F.floor((F.dayofmonth(day) - 1) / 10), F.lit(2)).cast("int")
+    third = F.date_add(F.trunc(day, "month"), tens * 10)
+    spans = activity_state.activity_by(spark, lake, third, "first_day")
+    return _settled(spark, lake, spans)
+
+
+def activity_of_range(spark, sf_dir):
+    lake = _state_lake(spark, sf_dir)
+    return _settled(spark, lake, activity_state.activity_between(spark, lake, *RANGE))
+
+
 # --- run records ------------------------------------------------------------------
 
 
@@ -420,6 +454,29 @@ def run_audit_latest(spark, sf_dir):
     return _settled(spark, lake, latest.select("run_id", "status", "row_count"))
 
 
+def run_audit_days(spark, sf_dir):
+    """Days a run had no rows on, of those it was asked for: a range that goes on past the
+    last event."""
+    lake = _bronze_lake(spark, sf_dir)
+    first, last = _local_days(spark, lake)
+    silver.ingest(spark, lake, first, last, gap_seconds=HALF_HOUR, run_id="all")
+    end = last + dt.timedelta(days=3)
+    silver.ingest(spark, lake, last, end, gap_seconds=HALF_HOUR, run_id="past the end")
+    latest = audit.latest_status(audit.read_audit(spark, lake.audit_path))
+    missed = audit.days_without_rows(latest.where("run_id in ('all', 'past the end')"))
+    return _settled(spark, lake, missed.select("run_id", F.col("day").cast("date").alias("day")))
+
+
+def lost_values(spark, sf_dir):
+    """What a build could not keep of its raw values, as its run record has it."""
+    lake = scratch_lake(spark)
+    raw = given.raw_events(spark, sf_dir).select(*schemas.RAW.names)
+    bronze.store_bronze(spark, lake, raw, run_id="bronze")
+    latest = audit.latest_status(audit.read_audit(spark, lake.audit_path))
+    counts = latest.select(F.explode("lost_values").alias("lost", "rows"))
+    return _settled(spark, lake, counts)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -462,6 +519,11 @@ QUERIES: dict[str, Query] = {
         wau_gold,
         wau_report,
         wau_incremental,
+        wau_from_state,
+        activity_by_third,
+        activity_of_range,
         run_audit_latest,
+        run_audit_days,
+        lost_values,
     )
 }

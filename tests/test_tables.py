@@ -326,6 +326,32 @@ def test_run_records(spark, lake):
     assert records.filter("run_id = 's'").count() == 2
 
 
+def test_records_have_days_and_lost_values(spark, lake):
+    raw = events(spark, "2019-10-02 10:00:00", "garbage").unionByName(
+        events(spark, "2019-10-04 10:00:00", user="x")).unionByName(
+        raw_rows(spark, [(None, "view", "1.5", "cheap", None, None)]))
+    bronze.store_bronze(spark, lake, raw, run_id="b")
+    bronze.add_load(spark, lake, raw.limit(0), "k", run_id="l")
+    silver.ingest(spark, lake, "2019-10-02", "2019-10-04", run_id="s")
+    with pytest.raises(Exception):
+        bronze.build_bronze(spark, lake, f"{lake.bronze.path}/missing", run_id="broken")
+    old = f"{lake.audit_path}/old"  # a record of before there were such fields
+    spark.sql("SELECT 'o' run_id, 'SUCCESS' status, '1' started_at, '2' finished_at").write.json(old)
+    latest = audit.latest_status(audit.read_audit(spark, lake.audit_path))
+    last = {r.run_id: r for r in latest.collect()}
+    assert last["b"].written_days == ["2019-10-02", "2019-10-04", "none"] and last["b"].expected_days is None
+    lost = {k: n for k, n in last["b"].lost_values.items() if n}
+    assert lost == {"event_time:missing": 1, "event_time:unreadable": 1, "user_id:missing": 1,
+                    "user_id:unreadable": 1, "product_id:unreadable": 1, "price:unreadable": 1}
+    assert set(last["l"].lost_values.values()) == {0} and last["l"].written_days == []
+    assert last["s"].expected_days == ["2019-10-02", "2019-10-03", "2019-10-04"]
+    assert last["s"].written_days == ["2019-10-02"]
+    for run in ("broken", "o"):
+        assert last[run].written_days is None and last[run].lost_values is None
+    missed = {tuple(r) for r in audit.days_without_rows(latest).collect()}
+    assert missed == {("s", "2019-10-03"), ("s", "2019-10-04")}
+
+
 def test_two_runs_record_at_once(spark, lake):
     with audit.recorded_run(spark, lake.audit_path, "one", "i", "o") as one:
         with audit.recorded_run(spark, lake.audit_path, "two", "i", "o") as two:

@@ -5,7 +5,7 @@ Every step keeps columns it does not know, so a row key survives to the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import schemas
 from tideline.functions import (
@@ -25,6 +25,23 @@ def with_utc_day(raw: DataFrame, time_format: str | None = None) -> DataFrame:
     )
 
 
+def lost_values() -> dict[str, Column]:
+    """Conditions on raw rows with their day, by column and reason, under which a value is null
+    once typed:
+    ``missing`` where there is none, ``unreadable`` where there is one. Without a time or a
+    user the row gets no place in Silver; other columns are null there."""
+    read = {
+        "event_time": F.col(schemas.BRONZE_DAY),
+        "user_id": to_bigint(F.col("user_id")),
+        "product_id": to_bigint(F.col("product_id")),
+        "category_id": to_bigint(F.col("category_id")),
+        "price": to_double(F.col("price")),
+    }
+    missing = {f"{c}:missing": F.col(c).isNull() for c in read}
+    unreadable = {f"{c}:unreadable": F.col(c).isNotNull() & v.isNull() for c, v in read.items()}
+    return {**missing, **unreadable}
+
+
 def typed_events(raw: DataFrame, time_format: str | None = None) -> DataFrame:
     """Types the nine raw columns. Bad values become null; no row is dropped."""
     others = [c for c in raw.columns if c not in schemas.RAW.names]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline import schemas
 from tideline.functions.clock import LOCAL_ZONE
@@ -36,16 +36,37 @@ class RunRecord:
     started_at: str | None = None
     finished_at: str | None = None
     error_message: str | None = None
+    # Days the run was asked for and those it had rows on, and how many values of each column
+    # could not be kept, by reason. Null where a run has no such thing.
+    expected_days: list[str] | None = None
+    written_days: list[str] | None = None
+    lost_values: dict[str, int] | None = None
+
+    def wrote(self, days: Iterable[dt.date | None]) -> None:
+        """Notes the days; rows without a day count as the day ``none``."""
+        self.written_days = ["none" if d is None else d.isoformat() for d in days]
+
+
+def _literal(value: object) -> Column:
+    if isinstance(value, list):
+        return F.array(*map(F.lit, value))
+    if isinstance(value, dict):
+        return F.create_map(*[F.lit(x) for pair in value.items() for x in pair])
+    return F.lit(value)
 
 
 def append_record(spark: SparkSession, path: str, record: RunRecord) -> None:
     values = asdict(record)
-    row = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.AUDIT]
+    row = [_literal(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.AUDIT]
     # A folder for each record: runs at the same time never share a commit.
     folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
     spark.range(1).coalesce(1).select(*row).write.json(folder)
 
 
+def _days(start: dt.date, end: dt.date) -> list[str]:
+    return [(start + dt.timedelta(days=n)).isoformat() for n in range((end - start).days + 1)]
+
+
 @contextmanager
 def recorded_run(
     spark: SparkSession,
@@ -74,6 +95,7 @@ def recorded_run(
         target_start_date=start.isoformat() if start else None,
         target_end_date=end.isoformat() if end else None,
         started_at=stamp(),
+        expected_days=_days(start, end) if start and end else None,
     )
 
     def save() -> None:
@@ -86,6 +108,7 @@ def recorded_run(
     except Exception as error:
         record.status, record.error_message = "FAILED", str(error)
         record.row_count, record.finished_at = None, stamp()
+        record.written_days = record.lost_values = None
         save()
         raise
     record.status, record.finished_at = "SUCCESS", stamp()
@@ -106,3 +129,10 @@ def latest_status(audit: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct(*schemas.AUDIT.names[1:]), newest).alias("last"))
         .select("run_id", "last.*")
     )
+
+
+def days_without_rows(latest: DataFrame) -> DataFrame:
+    """(run_id, day) of days that a finished run was asked for and had no rows on: its older
+    partitions of these days, if any, stayed."""
+    missed = F.array_except("expected_days", "written_days")
+    return latest.where("status = 'SUCCESS'").select("run_id", F.explode(missed).alias("day"))

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tideline import schemas
 from tideline.functions.clock import require_utc_session
-from tideline.operators.cleaning import with_utc_day
+from tideline.operators.cleaning import lost_values, with_utc_day
 from tideline.plans import ledger
-from tideline.plans.audit import recorded_run
+from tideline.plans.audit import RunRecord, recorded_run
 from tideline.plans.lake import Lake
 from tideline.sinks import (
     create_layer_table,
@@ -46,7 +46,7 @@ def store_bronze(
     """
     require_utc_session(spark)
     with recorded_run(spark, lake.audit_path, run_id, source, lake.bronze.path) as run:
-        run.row_count = _replace_bronze(spark, lake, raw, time_format, None)
+        run.row_count = _replace_bronze(spark, lake, raw, time_format, None, run)
     return run.row_count
 
 
@@ -74,7 +74,9 @@ def build_bronze(
         raw, batch = _sorted_out(spark, lake, paths, ledger.BUILD, header)
         if keep_other_files and batch is None:
             raise ValueError("a lake without a ledger of files cannot tell them apart")
-        run.row_count = _replace_bronze(spark, lake, raw, time_format, batch, keep_other_files)
+        run.row_count = _replace_bronze(
+            spark, lake, raw, time_format, batch, run, keep_other_files
+        )
     return run.row_count
 
 
@@ -93,6 +95,7 @@ def _replace_bronze(
     raw: DataFrame,
     time_format: str | None,
     batch: ledger.Batch | None,
+    run: RunRecord,
     keep_other_files: bool = False,
 ) -> int:
     create_layer_table(spark, lake.bronze, schemas.BRONZE, schemas.BRONZE_DAY)
@@ -113,6 +116,7 @@ def _replace_bronze(
     register_days(spark, lake.bronze, schemas.BRONZE_DAY, _days(seen))
     if lake.bronze_files:
         ledger.complete(spark, lake, ledger.BUILD, batch, before, _days(seen), keep_other_files)
+    _note(run, seen)
     return seen.get.get("rows", 0)
 
 
@@ -123,9 +127,16 @@ def _metrics() -> tuple:
         F.count(F.lit(1)).alias("rows"),
         F.sort_array(F.collect_set(day)).alias("days"),
         F.count_if(day.isNull()).alias("without_day"),
+        *[F.count_if(lost).alias(name) for name, lost in lost_values().items()],
     )
 
 
+def _note(run: RunRecord, seen: Observation) -> None:
+    """Days and lost values of the rows just written, counted in the writing stage."""
+    run.wrote(_days(seen))
+    run.lost_values = {name: seen.get.get(name, 0) for name in lost_values()}
+
+
 def _days(seen: Observation) -> list:
     found = list(seen.get.get("days") or [])
     return found + [None] * bool(seen.get.get("without_day"))
@@ -147,7 +158,7 @@ def add_load(
     with recorded_run(
         spark, lake.audit_path, run_id, source, ledger.place_of(lake, load_key)
     ) as run:
-        run.row_count = _replace_load(spark, lake, raw, load_key, time_format, None)
+        run.row_count = _replace_load(spark, lake, raw, load_key, time_format, None, run)
     return run.row_count
 
 
@@ -163,6 +174,7 @@ def _replace_load(
     load_key: str,
     time_format: str | None,
     batch: ledger.Batch | None,
+    run: RunRecord,
 ) -> int:
     table, place = lake.bronze_loads, ledger.place_of(lake, load_key)
     create_layer_table(spark, table, schemas.BRONZE_LOADS, (schemas.LOAD_KEY, schemas.BRONZE_DAY))
@@ -188,6 +200,7 @@ def _replace_load(
     )
     if lake.bronze_files:
         ledger.complete(spark, lake, load_key, batch, before, _days(seen))
+    _note(run, seen)
     return seen.get.get("rows", 0)
 
 
@@ -209,5 +222,5 @@ def add_csv_load(
         spark, lake.audit_path, run_id, ",".join(paths), ledger.place_of(lake, load_key)
     ) as run:
         raw, batch = _sorted_out(spark, lake, paths, load_key, header)
-        run.row_count = _replace_load(spark, lake, raw, load_key, time_format, batch)
+        run.row_count = _replace_load(spark, lake, raw, load_key, time_format, batch, run)
     return run.row_count

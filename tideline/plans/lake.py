@@ -11,7 +11,8 @@ class Lake:
 
     Bronze has two tables: one that full builds replace, and one of increments by load key.
     ``bronze_files`` is the ledger of source files; without it files are not told apart.
-    Gold needs a folder of its own, with nothing in it but its weeks.
+    Gold needs a folder of its own, with nothing in it but its weeks. The last three hold
+    the state of ``plans.activity_state``.
     """
 
     bronze: LayerTable
@@ -20,6 +21,9 @@ class Lake:
     gold: LayerTable
     audit_path: str | None = None
     bronze_files: LayerTable | None = None
+    user_numbers: LayerTable | None = None
+    user_days: LayerTable | None = None
+    session_days: LayerTable | None = None
 
     @classmethod
     def under(cls, root: str, database: str) -> Lake:
@@ -35,4 +39,7 @@ class Lake:
             gold=LayerTable(database, "gold_weekly_activity", f"{root}/gold_weekly_activity/weeks"),
             audit_path=f"{root}/run_audit",
             bronze_files=layer("bronze_files"),
+            user_numbers=layer("state_user_numbers"),
+            user_days=layer("state_user_days"),
+            session_days=layer("state_session_days"),
         )

@@ -107,6 +107,7 @@ def repair_after(
                     register_days(spark, lake.silver, schemas.SILVER_DAY, days)
                     written += days
         run.row_count = len(written)
+        run.wrote(sorted(written))
     return sorted(written)
 
 

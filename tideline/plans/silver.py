@@ -102,6 +102,7 @@ def ingest(
         silver = silver_range(bronze, first, last, gap_seconds, zone, time_format)
         done = _replace_silver(spark, lake, silver, first, last, drop_empty_days)
         run.row_count = done.rows
+        run.wrote(done.written_days)
     return done
 
 
@@ -192,6 +193,7 @@ def ingest_onward(
         onward = onward_range(bronze, silver, first, last, gap_seconds, zone, time_format)
         done = _replace_silver(spark, lake, onward, first, last, drop_empty_days)
         run.row_count = done.rows
+        run.wrote(done.written_days)
     return done
 
 

@@ -78,6 +78,30 @@ GOLD = T.StructType(
     ]
 )
 
+# The state that distinct counts are made from.
+NUMBERS_BATCH = "batch"
+USER_NUMBERS = T.StructType(
+    [
+        T.StructField("user_id", T.LongType(), True),
+        T.StructField("number", T.LongType(), True),
+        T.StructField(NUMBERS_BATCH, T.StringType(), True),
+    ]
+)
+USER_DAYS = T.StructType(
+    [
+        T.StructField("bucket", T.LongType(), True),
+        T.StructField("users", T.BinaryType(), True),
+        T.StructField(SILVER_DAY, T.DateType(), True),
+    ]
+)
+SESSION_DAYS = T.StructType(
+    [
+        T.StructField("day_before", T.DateType(), True),
+        T.StructField("sessions", T.LongType(), True),
+        T.StructField(SILVER_DAY, T.DateType(), True),
+    ]
+)
+
 AUDIT = T.StructType(
     [
         T.StructField("run_id", T.StringType(), True),
@@ -90,5 +114,9 @@ AUDIT = T.StructType(
         T.StructField("started_at", T.StringType(), True),
         T.StructField("finished_at", T.StringType(), True),
         T.StructField("error_message", T.StringType(), True),
+        # Records of earlier runs have none of these, and read as null.
+        T.StructField("expected_days", T.ArrayType(T.StringType()), True),
+        T.StructField("written_days", T.ArrayType(T.StringType()), True),
+        T.StructField("lost_values", T.MapType(T.StringType(), T.LongType()), True),
     ]
 )

@@ -184,6 +184,11 @@ SELECT user_id, event_time_utc, event_type, session_id, session_start_utc,
        event_date_kst FROM named""",
     "silver_late_day": f"WITH {_cut(CLEAN_SQL, DAY)} SELECT {_STORED} FROM named",
     "external_table_silver": _ALL_SILVER,
+    "stream_sessions": f"""WITH {_cut(CLEAN_SQL, HALF_HOUR)}
+SELECT user_id, session_start_utc, max(event_time_utc) AS session_end_utc, count(*) AS events,
+       CAST(session_start_utc + INTERVAL 9 HOUR AS DATE) AS event_date_kst
+FROM named GROUP BY ALL""",
+    "stream_silver": _ALL_SILVER,
     "wau_by_user": _weekly(300, _TS_WEEK, "u"),
     "wau_by_session": _weekly(300, _TS_WEEK, "s"),
     "wau_across_weeks": _weekly(DAY, _TS_WEEK, "s"),

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from checks import raw_events as given
 from checks.scratch import drop_lake, scratch_dir, scratch_lake, stored
@@ -19,6 +20,13 @@ from tideline.plans import activity_state, audit, bronze, gold, repair, silver
 from tideline.plans.lake import Lake
 from tideline.sinks import known_days, repair_partitions, replace_days
 from tideline.sources import read_bronze, read_bronze_range, read_raw_csv
+from tideline.streaming import (
+    closed_sessions,
+    read_closed_sessions,
+    read_raw_stream,
+    store_closed_sessions,
+    stream_into_lake,
+)
 
 HALF_HOUR = 1800
 DAY = 86_400
@@ -355,6 +363,50 @@ def external_table_silver(spark, sf_dir):
     return _settled(spark, lake, spark.table(lake.silver.name))
 
 
+# --- streams ----------------------------------------------------------------------
+
+
+def _arriving(spark, sf_dir) -> list[DataFrame]:
+    """The raw rows in four files, by time but for every seventh row, which comes a file late."""
+    raw = given.raw_events(spark, sf_dir)
+    at, late = F.to_date(F.substring("event_time", 1, 10), "yyyy-MM-dd"), F.col("event_id") % 7 == 0
+    day = F.when(F.col("event_time") == "not-a-time", 1).otherwise(F.dayofmonth(at))
+    turn = F.least(F.floor((day - 1) / 8) + late.cast("int"), F.lit(3))
+    return [raw.where(turn == n).select(*schemas.RAW.names).coalesce(1) for n in range(4)]
+
+
+def _drained(start: Callable[[], StreamingQuery], parts: list[DataFrame], folder: str) -> None:
+    """Lets the files come one by one, each followed by a run of the stream over what is new."""
+    for part in parts:
+        part.write.mode("append").option("header", True).csv(folder)
+        start().awaitTermination()
+
+
+def stream_sessions(spark, sf_dir):
+    """Sessions given out by a stream with late rows; one event of a far day closes the rest."""
+    folder = scratch_dir(spark)
+    end = [("2030-01-01 00:00:00 UTC", "end", None, None, None, None, None, "-1", None)]
+    parts = [*_arriving(spark, sf_dir), spark.createDataFrame(end, schemas.RAW)]
+
+    def start():
+        found = closed_sessions(read_raw_stream(spark, f"{folder}/csv"), "12 days", HALF_HOUR)
+        return store_closed_sessions(found, f"{folder}/sessions", f"{folder}/checkpoint")
+
+    _drained(start, parts, f"{folder}/csv")
+    return read_closed_sessions(spark, f"{folder}/sessions")
+
+
+def stream_silver(spark, sf_dir):
+    """All layers, kept up to date with files as they arrive."""
+    lake, folder = scratch_lake(spark), scratch_dir(spark)
+
+    def start():
+        return stream_into_lake(spark, lake, f"{folder}/csv", f"{folder}/checkpoint", HALF_HOUR)
+
+    _drained(start, _arriving(spark, sf_dir), f"{folder}/csv")
+    return _settled(spark, lake, spark.table(lake.silver.name))
+
+
 # --- weekly activity --------------------------------------------------------------
 
 
@@ -512,6 +564,8 @@ QUERIES: dict[str, Query] = {
         silver_onward_weekly,
         silver_late_day,
         external_table_silver,
+        stream_sessions,
+        stream_silver,
         wau_by_user,
         wau_by_session,
         wau_across_weeks,

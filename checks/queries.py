@@ -72,8 +72,8 @@ def bronze_partition_date(spark, sf_dir):
     )
 
 
-def _bronze_lake(spark, sf_dir) -> Lake:
-    lake = scratch_lake(spark)
+def _bronze_lake(spark, sf_dir, user_buckets: int = 0) -> Lake:
+    lake = scratch_lake(spark, user_buckets)
     raw = given.raw_events(spark, sf_dir).select(*schemas.RAW.names)
     bronze.store_bronze(spark, lake, raw, source=f"{sf_dir}/events.parquet")
     return lake
@@ -340,6 +340,15 @@ def silver_onward_weekly(spark, sf_dir):
     return _settled(spark, lake, rows)
 
 
+def silver_clustered(spark, sf_dir):
+    """Silver in four files by user a day, its second half going on from its first."""
+    lake = _bronze_lake(spark, sf_dir, user_buckets=4)
+    first, last = _local_days(spark, lake)
+    for start, end in ((first, ONWARD_FROM), (ONWARD_FROM + dt.timedelta(days=1), last)):
+        silver.ingest_onward(spark, lake, start, end, gap_seconds=DAY)
+    return _settled(spark, lake, spark.table(lake.silver.name))
+
+
 def silver_late_day(spark, sf_dir):
     """Half the rows of a day in the middle come after all days were ingested. Sessions of a
     day's gap run through many of the days after it."""
@@ -562,6 +571,7 @@ QUERIES: dict[str, Query] = {
         silver_partial_overwrite,
         silver_empty_batch,
         silver_onward_weekly,
+        silver_clustered,
         silver_late_day,
         external_table_silver,
         stream_sessions,

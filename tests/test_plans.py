@@ -13,7 +13,8 @@ from tideline import schemas
 from tideline.operators import activity, sessions
 from tideline.operators.cleaning import clean_events, typed_events, with_utc_day
 from tideline.operators.ranges import days_between
-from tideline.plans.silver import silver_range
+from tideline.plans import bronze as bronze_plans, repair, silver as silver_plans
+from tideline.plans.silver import onward_range, silver_range
 from tideline.sinks import replace_days
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -121,6 +122,39 @@ def test_weekly_activity_reads_three_columns_and_combines_before_the_shuffle(spa
     assert sum("HashAggregate(keys=" in line and "gid" in line for line in both) >= 2
 
 
+@pytest.fixture(scope="module")
+def clustered(spark):
+    lake = queries.scratch_lake(spark, user_buckets=4)
+    raw = given.raw_events(spark, SF_DIR).select(*schemas.RAW.names)
+    bronze_plans.store_bronze(spark, lake, raw)
+    silver_plans.ingest_onward(spark, lake, "2024-01-01", "2024-01-31", from_nothing=True)
+    yield lake
+    queries.drop_lake(spark, lake)
+
+
+def test_looking_back_does_not_shuffle_clustered_silver(large_scale, spark, clustered):
+    silver = spark.table(clustered.silver.name)
+    midnight = F.lit("2024-01-15 15:00:00").cast("timestamp")
+    back = days_between(silver, schemas.SILVER_DAY, "2024-01-14", "2024-01-15")
+    for df in (sessions.open_sessions(back, midnight, 1800), repair.moved_starts(silver, "2024-01-15", 1800)):
+        text = final_plan(df)
+        assert "Bucketed: true" in text and "Exchange" not in text
+        assert "category" not in text
+    onward = onward_range(
+        spark.table(clustered.bronze.name), silver, "2024-01-16", "2024-01-20", 1800
+    )
+    scans = plan(onward).split("FileScan parquet")
+    under = [s for s in scans if "silver_events" in s]
+    assert len(under) == 1 and "Bucketed: true" in under[0]
+    assert "category" not in under[0].split("ReadSchema")[1]
+
+
+def test_clustered_days_are_files_by_user(spark, clustered):
+    day = Path(clustered.silver.path.removeprefix("file:")) / "event_date_kst=2024-01-15"
+    buckets = {re.search(r"_(\d{5})\.", f.name).group(1) for f in day.glob("*.parquet")}
+    assert buckets <= {f"{n:05d}" for n in range(4)} and len(buckets) > 1
+
+
 @contextmanager
 def tiny_partitions(spark):
     """Adaptive execution as on large data: a few kilobytes count as a full partition."""

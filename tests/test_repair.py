@@ -18,9 +18,10 @@ from tideline.plans.lake import Lake
 HOUR = 3600
 
 
-@pytest.fixture()
-def lake(spark):
-    made = Lake.under(tempfile.mkdtemp(prefix="run-", dir="/tmp"), f"t_{uuid.uuid4().hex}")
+@pytest.fixture(params=[0, 3], ids=["by day", "clustered"])
+def lake(spark, request):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    made = Lake.under(root, f"t_{uuid.uuid4().hex}", user_buckets=request.param)
     yield made
     spark.sql(f"DROP DATABASE IF EXISTS `{made.silver.database}` CASCADE")
 
@@ -111,7 +112,7 @@ def test_a_failed_repair_is_put_right_by_the_next(spark, lake, monkeypatch):
     bronze.store_bronze(spark, lake, events(spark, [r for r in rows if r not in late]))
     silver.ingest_onward(spark, lake, OCT(1), OCT(6), gap)
     bronze.add_load(spark, lake, events(spark, late), "late")
-    calls, plain = [], repair.replace_days
+    calls, plain = [], repair.write_silver
 
     def failing(*args, **more):
         calls.append(1)
@@ -120,7 +121,7 @@ def test_a_failed_repair_is_put_right_by_the_next(spark, lake, monkeypatch):
         plain(*args, **more)
 
     with monkeypatch.context() as patch:
-        patch.setattr(repair, "replace_days", failing)
+        patch.setattr(repair, "write_silver", failing)
         with pytest.raises(RuntimeError):
             repair.reingest(spark, lake, OCT(2), OCT(2), gap)
     _, repaired = repair.reingest(spark, lake, OCT(2), OCT(2), gap)

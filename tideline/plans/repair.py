@@ -23,8 +23,8 @@ from tideline.operators.ranges import days_between
 from tideline.operators.sessions import GAP_SECONDS, check_gap, open_sessions, session_id_of
 from tideline.plans.audit import recorded_run
 from tideline.plans.lake import Lake
-from tideline.plans.silver import DAY_SECONDS, Ingested, create_silver, ingest_onward
-from tideline.sinks import known_days, register_days, replace_days
+from tideline.plans.silver import DAY_SECONDS, Ingested, create_silver, ingest_onward, write_silver
+from tideline.sinks import known_days
 from tideline.sources import read_silver
 
 
@@ -103,8 +103,7 @@ def repair_after(
             for days in (far, _with_rows(silver, moved, near)):
                 if days:
                     rows = silver.where(F.col(schemas.SILVER_DAY).isin(days))
-                    replace_days(_renamed(rows, moved), lake.silver.path, schemas.SILVER_DAY)
-                    register_days(spark, lake.silver, schemas.SILVER_DAY, days)
+                    write_silver(spark, lake, _renamed(rows, moved))
                     written += days
         run.row_count = len(written)
         run.wrote(sorted(written))

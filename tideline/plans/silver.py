@@ -31,6 +31,7 @@ from tideline.sinks import (
     forget_partitions,
     known_days,
     register_days,
+    replace_clustered_days,
     replace_days,
 )
 from tideline.sources import read_bronze_range, read_silver
@@ -220,23 +221,28 @@ def _replace_silver(
     drop_empty_days: bool = False,
 ) -> Ingested:
     create_silver(spark, lake)
-    seen = Observation("silver")
-    replace_days(
-        silver.select(*schemas.SILVER.names),
-        lake.silver.path,
-        schemas.SILVER_DAY,
-        observation=seen,
-        # At most one entry per day of the range.
-        metrics=(
-            F.count(F.lit(1)).alias("rows"),
-            F.sort_array(F.collect_set(schemas.SILVER_DAY)).alias("days"),
-        ),
-    )
-    written = list(seen.get.get("days") or [])
-    register_days(spark, lake.silver, schemas.SILVER_DAY, written)
+    rows, written = write_silver(spark, lake, silver)
     span = (last - first).days + 1
     empty = sorted({first + dt.timedelta(days=n) for n in range(span)} - set(written))
     if drop_empty_days:
         stale = known_days(spark, lake.silver, schemas.SILVER_DAY) & set(empty)
         forget_partitions(spark, lake.silver, [{schemas.SILVER_DAY: day} for day in sorted(stale)])
-    return Ingested(seen.get.get("rows", 0), written, empty)
+    return Ingested(rows, written, empty)
+
+
+def write_silver(spark: SparkSession, lake: Lake, silver: DataFrame) -> tuple[int, list[dt.date]]:
+    """Replaces the days that the rows have; returns their number and the days."""
+    seen = Observation("silver")
+    # At most one entry per day of the range.
+    metrics = (
+        F.count(F.lit(1)).alias("rows"),
+        F.sort_array(F.collect_set(schemas.SILVER_DAY)).alias("days"),
+    )
+    rows = silver.select(*schemas.SILVER.names)
+    if lake.silver.buckets:
+        replace_clustered_days(rows, lake.silver, schemas.SILVER_DAY, observation=seen, metrics=metrics)
+    else:
+        replace_days(rows, lake.silver.path, schemas.SILVER_DAY, observation=seen, metrics=metrics)
+    written = list(seen.get.get("days") or [])
+    register_days(spark, lake.silver, schemas.SILVER_DAY, written)
+    return seen.get.get("rows", 0), written

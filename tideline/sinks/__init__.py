@@ -8,7 +8,7 @@ from tideline.sinks.catalog import (
     register_partitions,
     repair_partitions,
 )
-from tideline.sinks.parquet import empty_folder, replace_days, replace_load
+from tideline.sinks.parquet import empty_folder, replace_clustered_days, replace_days, replace_load
 
 __all__ = [
     "LayerTable",
@@ -20,6 +20,7 @@ __all__ = [
     "register_days",
     "register_partitions",
     "repair_partitions",
+    "replace_clustered_days",
     "replace_days",
     "replace_load",
 ]

@@ -10,13 +10,21 @@ from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
+# Fixed value: the default cap on rows per file.
+MAX_ROWS_PER_FILE = 1_000_000
+# The column that clustered tables are bucketed by, and the order in a bucket.
+CLUSTERED_BY = ("user_id", "event_time_utc")
+
+
 @dataclass(frozen=True)
 class LayerTable:
-    """A table name and the place of its files (any Hadoop path)."""
+    """A table name and the place of its files (any Hadoop path). With ``buckets``, files of
+    each partition are clustered by user into so many, and sorted in each."""
 
     database: str
     table: str
     path: str
+    buckets: int = 0
 
     @property
     def name(self) -> str:
@@ -56,11 +64,17 @@ def create_layer_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     names = ", ".join(f"`{p}`" for p in parts)
     partitioning = f"PARTITIONED BY ({names})" if parts else ""
+    clustering = ""
+    if table.buckets:
+        sorting = ", ".join(f"`{c}`" for c in CLUSTERED_BY)
+        clustering = f"CLUSTERED BY (`{CLUSTERED_BY[0]}`) SORTED BY ({sorting}) INTO {table.buckets} BUCKETS"
     options = "OPTIONS (recursiveFileLookup 'true')" if any_folder else ""
+    if table.buckets:  # a write through the catalog takes these from the table
+        options = f"OPTIONS (partitionOverwriteMode 'dynamic', maxRecordsPerFile '{MAX_ROWS_PER_FILE}')"
     location = table.path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet {options} "
-        f"{partitioning} LOCATION '{location}' "
+        f"{partitioning} {clustering} LOCATION '{location}' "
         "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
     )
     if parts:

@@ -1,10 +1,9 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-# Fixed value: the default cap on rows per file.
-MAX_ROWS_PER_FILE = 1_000_000
+from tideline.sinks.catalog import CLUSTERED_BY, MAX_ROWS_PER_FILE, LayerTable
 
 
 def replace_days(
@@ -52,6 +51,24 @@ def _write_days(df, path, day_column, overwrite, max_rows_per_file, observation,
     )
 
 
+def replace_clustered_days(
+    df: DataFrame,
+    table: LayerTable,
+    day_column: str,
+    observation: Observation | None = None,
+    metrics: tuple[Column, ...] = (),
+) -> None:
+    """``replace_days`` of a table with buckets, through the catalog, which also learns of the
+    days. Rows are gathered by day and bucket; adaptive execution splits a big bucket over
+    several tasks, which then has several files."""
+    user, columns = CLUSTERED_BY[0], df.columns
+    bucket = F.pmod(F.hash(user), F.lit(table.buckets))
+    gathered = df.withColumn("_bucket", bucket).hint("rebalance", day_column, "_bucket").select(*columns)
+    if observation is not None:
+        gathered = gathered.observe(observation, *metrics)
+    gathered.write.mode("overwrite").insertInto(table.name)
+
+
 def empty_folder(spark: SparkSession, schema: StructType, path: str) -> None:
     """Leaves no rows in one partition's folder, which a dynamic overwrite cannot do."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +10,12 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the session's `spark.checkpoint.dir`, which driver and
-    executors share. Only a session without that setting gets a folder of its own."""
+    executors share; without that setting, under the warehouse, which they share too."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.catalog.getDatabase('default').locationUri.rstrip('/')}/scratch"
+    if base.startswith("file:/") and not base.startswith("file://"):
+        base = "file://" + base.removeprefix("file:")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -33,25 +33,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near copies, one without an id only
     if no other is in the class. Texts that share an id are compared each for itself, the
-    least digest first; of rows with equal id and text the least one stays."""
+    least digest first; of rows with equal id and text the one with the least digest stays."""
     ship(spark)
     unclear = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
     if unclear.isEmpty():
         classes = near_classes(docs)
         copies = sized(stored(classes.where("doc_id <> class_id").select("doc_id"), "copies"))
         return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    own, number, digest = personal.fresh(docs, "own", "number", "digest")
+    own, number, digest, theirs, rows, row = personal.fresh(docs, "own", "number", "digest", "theirs", "rows", "row")
     keyed = docs.withColumn(digest, F.md5(F.coalesce("text", F.lit(""))))
-    keys = keyed.groupBy("doc_id", digest).count().orderBy(F.col("doc_id").asc_nulls_last(), digest)
-    keys = stored(keys.select(F.col("doc_id").alias(own), digest, "count", F.monotonically_increasing_id().alias(number)), "keys")
-    narrow = sized(keys.withColumnRenamed("count", f"{number}_rows").withColumnRenamed(digest, f"{digest}_of"))
-    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(digest) == F.col(f"{digest}_of"))
-    numbered = stored(keyed.join(narrow, same).select(*docs.columns, number, f"{number}_rows"), "numbered")
+    keys = keyed.groupBy("doc_id", digest).agg(F.count(F.lit(1)).alias(rows))
+    keys = keys.orderBy(F.col("doc_id").asc_nulls_last(), digest)
+    keys = stored(
+        keys.select(
+            F.col("doc_id").alias(own), F.col(digest).alias(theirs), rows, F.monotonically_increasing_id().alias(number)
+        ),
+        "keys",
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(digest) == F.col(theirs))
+    numbered = stored(keyed.join(sized(keys), same).select(*docs.columns, number, rows), "numbered")
     classes = near_classes(numbered.select(number, "text"), id=number)
     copies = sized(stored(classes.where(F.col(number) != F.col("class_id")).select(number).distinct(), "copies"))
     kept = numbered.join(copies, number, "left_anti")
-    one = kept.where(F.col(f"{number}_rows") > 1).groupBy(number).agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return kept.where(F.col(f"{number}_rows") == 1).select(*docs.columns).unionByName(one.select("row.*"))
+    whole = F.struct(*docs.columns)  # any types: rows are ordered by a digest, not by their columns
+    one = kept.where(F.col(rows) > 1).groupBy(number).agg(F.min_by(whole, F.md5(F.to_json(whole))).alias(row))
+    return kept.where(F.col(rows) == 1).select(*docs.columns).unionByName(one.select(f"{row}.*"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

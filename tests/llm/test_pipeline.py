@@ -47,6 +47,9 @@ def sf_dir(spark):
     labels = [(i, 1, int(k == "toxic")) for i, _, k in rows]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, PASSAGE), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    draw = random.Random(5)
+    vectors = [(i, [draw.gauss(0, 1) for _ in range(4)], i % 3) for i in range(101)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     pages = [(i, f"http://h/{i}", f"<p>{i % 3}</p>") for i in range(9)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
     return folder
@@ -76,6 +79,16 @@ def test_near_copies_without_an_id_or_under_one(spark):
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(want, key=str)
 
 
+def test_near_copies_beside_clashing_names_and_maps(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "g"), (2, "h")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "1 AS number", "2 AS number_rows", "3 AS digest_of", "4 AS rows", "5 AS row", "map('k', 1) AS m", "6 AS count")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns and left.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.text, r.number_rows, r.m["k"]) for r in left.collect()) == [
+        (1, "a b c d e f", 2, 1), (2, "g", 2, 1), (2, "h", 2, 1)]
+
+
 def test_stages_keep_columns_and_take_empty_tables(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "*", "'x' AS found", "1 AS places", "2 AS added", "3 AS base_spans"
@@ -91,8 +104,11 @@ def test_stages_keep_columns_and_take_empty_tables(spark, sf_dir):
 def test_every_dealt_query_runs_over_its_whole_table(spark, sf_dir):
     known = driver.queries()
     names = {n.split("_")[0]: n for n in known if n.startswith("op")}
-    assert set(names) == {f"op{n}" for n in range(1, 11)} and "pipeline" in known
+    assert set(names) == {f"op{n}" for n in range(1, 14)} and "pipeline" in known
     documents, pages = len(made_documents()) + 5, 9
     for short, name in names.items():
         rows = known[name](spark, sf_dir).count()
-        assert rows == {"op8": pages, "op9": 5}.get(short, documents), name
+        if short == "op11":
+            assert 5 <= rows <= 2 * 5 * 5
+        else:
+            assert rows == {"op8": pages, "op9": 5, "op12": 6 * 20}.get(short, documents), name

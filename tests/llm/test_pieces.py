@@ -4,7 +4,8 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tideline.llm.pieces import piece_ids, piece_round_trip, piece_text, vocabulary
+from tideline.llm.batches import text_chunks
+from tideline.llm.pieces import piece_ids, piece_round_trip, piece_round_trips, piece_text, vocabulary
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -52,5 +53,16 @@ def test_columns_on_odd_rows(odd_docs):
         assert row.back == row.both.text == model.decode(want)
 
 
+def test_round_trips_in_small_batches(odd_docs, monkeypatch):
+    """Rows stay beside their ids when a batch is cut into many chunks."""
+    model = library()
+    monkeypatch.setattr(text_chunks, "__defaults__", (10, 2))
+    rows = piece_round_trips(odd_docs, MODEL).collect()
+    have = sorted(((r.id, list(r.ids), r.text) for r in rows), key=str)
+    want = [(r.doc_id, model.encode(r.text or "")) for r in odd_docs.collect()]
+    assert have == sorted(((i, ids, model.decode(ids)) for i, ids in want), key=str)
+    assert piece_round_trips(odd_docs.limit(0), MODEL).collect() == []
+
+
 def test_empty_table(odd_docs):
     assert odd_docs.limit(0).select(piece_round_trip(F.col("text"), MODEL)).collect() == []

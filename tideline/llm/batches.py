@@ -25,6 +25,22 @@ def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield part
 
 
+def text_chunks(column: pa.Array, most: int = CHUNK_CHARS, rows: int = 500) -> Iterator[list[str]]:
+    """As `chunks` of the column's texts (null is the empty text), of which no more than a
+    chunk and `rows` further ones are there as Python strings at a time."""
+    part: list[str] = []
+    size = 0
+    for at in range(0, len(column), rows):
+        for text in strings(column.slice(at, rows)):
+            if part and size + len(text) > most:
+                yield part
+                part, size = [], 0
+            part.append(text)
+            size += len(text)
+    if part:
+        yield part
+
+
 def strings(column: pa.Array) -> list[str]:
     """The column's texts; null is the empty text."""
     return ["" if x is None else x for x in column.to_pylist()]

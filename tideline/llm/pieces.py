@@ -18,15 +18,16 @@ Null and empty texts have no ids; an empty id list is the empty text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.batches import chunks, list_array, ranges, strings
+from tideline.llm.batches import chunks, list_array, ranges, strings, text_chunks
 
 MARK = "▁"  # stands for a space
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -356,3 +357,23 @@ def piece_round_trip(text: str | Column, model: str) -> Column:
         return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(back)], ["ids", "text"])
 
     return code.asNondeterministic()(text)
+
+
+def piece_round_trips(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ids, text) of every row, as `piece_round_trip`, handed on in small batches: a task
+    holds the ids of about a million characters at a time, however many rows Spark sends."""
+
+    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(model)
+        for batch in batches:
+            at = 0
+            for part in text_chunks(batch.column(1)):
+                flat, lengths = vocab.encode(part)
+                back = pa.array(vocab.decode(flat, lengths), pa.string())
+                columns = [batch.column(0).slice(at, len(part)), list_array(flat, lengths), back]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "text"])
+                at += len(part)
+
+    kind = docs.schema[id].dataType.simpleString()
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(code, f"id {kind}, ids array<int>, text string")

@@ -19,7 +19,7 @@ from tideline.llm.gnat import hard_negatives
 from tideline.llm.multiindex import nearest_neighbours
 from tideline.llm.oracle import ORACLE
 from tideline.llm.passages import without_passages
-from tideline.llm.pieces import piece_round_trip
+from tideline.llm.pieces import piece_round_trips
 from tideline.llm.resample import resample
 from tideline.llm.shipping import ship
 from tideline.llm.storage import stored
@@ -41,14 +41,11 @@ def tokenizer_file(name: str) -> str:
 def piece_ids_and_digests(docs: DataFrame) -> DataFrame:
     """Piece ids of every text, decoded again: counts, digests and the ids."""
     model = tokenizer_file("piece_bpe_32k.model")
-    decoded = docs.select("doc_id", piece_round_trip(F.col("text"), model).alias("coded")).select(
-        "doc_id", "coded.ids", F.col("coded.text").alias("decoded")
-    )
-    return decoded.select(
-        "doc_id",
+    return piece_round_trips(docs, model).select(
+        F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
         "ids",
     )
 

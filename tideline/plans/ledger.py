@@ -26,7 +26,9 @@ from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tideline import schemas
 from tideline.plans.lake import Lake
@@ -87,29 +89,47 @@ def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def holders(spark: SparkSession, lake: Lake) -> set[str]:
+    """Who has entries, from the catalog alone."""
+    names = spark.sql(f"SHOW PARTITIONS {lake.bronze_files.name}").collect()
+    return {r[0].partition("=")[2] for r in names}
+
+
 def sorted_out(spark: SparkSession, lake: Lake, paths: Sequence[str], holder: str) -> Batch:
-    files = listed(spark, paths)
-    others = open_ledger(spark, lake).where(F.col(schemas.HOLDER) != holder)
-    unchanged = ["file_path", "file_size", "file_time_ms"]
-    kept = others.where("whole").select(*unchanged).distinct()
-    taken = files.join(kept, unchanged, "left_anti").collect()
-    left = files.join(kept, unchanged, "left_semi").select("file_path").collect()
-    named = {f.file_path for f in taken}
-    outdated = others.join(files.select("file_path"), "file_path", "left_semi").collect()
-    return Batch(taken, [f.file_path for f in left], [e for e in outdated if e.file_path in named])
+    files, known = listed(spark, paths), open_ledger(spark, lake)
+    if not holders(spark, lake) - {holder}:
+        return Batch(files.collect(), [], [])
+    others = known.where(F.col(schemas.HOLDER) != holder)
+    held = others.select("file_path", F.struct(*others.columns).alias("held"))
+    by_file: dict[str, list[Row]] = defaultdict(list)
+    for row in files.join(held, "file_path", "left").collect():
+        by_file[row.file_path].append(row)  # one for each holder of a version of the file
+    batch = Batch([], [], [])
+    for path, rows in by_file.items():
+        file, kept = rows[0], [r.held for r in rows if r.held and r.held.whole]
+        if any((h.file_size, h.file_time_ms) == (file.file_size, file.file_time_ms) for h in kept):
+            batch.left.append(path)
+        else:
+            batch.taken.append(file)
+            batch.outdated += [r.held for r in rows if r.held]
+    return batch
 
 
 def entries_of(spark: SparkSession, lake: Lake, holder: str) -> list[Row]:
-    return open_ledger(spark, lake).where(F.col(schemas.HOLDER) == holder).collect()
+    ledger = open_ledger(spark, lake)
+    if holder not in holders(spark, lake):
+        return []
+    return ledger.where(F.col(schemas.HOLDER) == holder).collect()
 
 
-def write_entries(spark: SparkSession, lake: Lake, holder: str, entries: Iterable[Row]) -> None:
+def write_entries(spark: SparkSession, lake: Lake, holder: str, entries: list[Row]) -> None:
     """Replaces all entries of the holder."""
     fields = T.StructType([schemas.BRONZE_FILES[name] for name in _KNOWN])
-    rows = [tuple(e[name] for name in _KNOWN) for e in entries]
+    columns = {name: [e[name] for e in entries] for name in _KNOWN}
+    rows = pa.table(columns, schema=to_arrow_schema(fields))  # needs no Python worker
     table = lake.bronze_files
     folder = f"{table.path}/{schemas.HOLDER}={holder}"
-    spark.createDataFrame(rows, fields).coalesce(1).write.mode("overwrite").parquet(folder)
+    spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(folder)
     register_partitions(spark, table, [{schemas.HOLDER: holder}])
 
 

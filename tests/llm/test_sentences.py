@@ -2,37 +2,96 @@ import random
 import re
 from collections import defaultdict
 
-from tideline.llm.sentences import LEAST, cuts, without_repeats
+from tideline.llm.hashing import word_places
+from tideline.llm.queries import op3_sentence_spans
+from tideline.llm.sentences import LEAST, NEAR, SEVERAL, WORD, runs, sentences, without_repeats
+
+WORDS = re.compile("[0-9A-Za-z_\x80-\U0010ffff]+")
 
 
 def word_list(text):
-    return re.findall("[0-9A-Za-z_\x80-\U0010ffff]+", text.lower())
+    return WORDS.findall(text.lower())
+
+
+def prose(draw, words):
+    """Sentences of 1 to 40 words, all words different in practice."""
+    out, left = [], 0
+    for _ in range(words):
+        left = left or draw.randint(1, 40)
+        left -= 1
+        out.append("".join(draw.choices("abcdeéK", k=8)) + (draw.choice([". ", "! ", "\n", '." ']) if not left else draw.choice([" ", ", ", "-"])))
+    return "".join(out)
+
+
+def shared(texts, size):
+    """Word sequences of this size that stand in two texts, by plain sets."""
+    places = defaultdict(set)
+    for n, text in enumerate(texts):
+        held = word_list(text)
+        for i in range(len(held) - size + 1):
+            places[tuple(held[i : i + size])].add(n)
+    return {s for s, at in places.items() if len(at) > 1}
+
+
+def plain_runs(text, several=SEVERAL, least=LEAST):
+    """(first word, word after the last) of each run, by the definitions one by one."""
+    held = word_list(text)
+    n = len(held)
+    value = [int(word_places([w])[0][0]) for w in held]
+    places = sentences(text)
+    opens, seen = [], 0
+    for a, b in zip(places, places[1:]):
+        own = len(word_list(text[a:b]))
+        if own:
+            opens.append(seen)
+        seen += own
+    cut = set(opens)
+    for i in range(n - NEAR + 1):
+        window = value[i : i + NEAR]
+        cut |= {i + j for j in range(NEAR) if window[j] == min(window)}
+    edges = sorted(cut | {n}) if n else []
+    out = set()
+    for a in edges[:-1]:
+        out |= {(a, min(e for e in edges if e >= a + least))} if a + least <= n else set()
+    for e in edges[1:]:
+        out |= {(max(a for a in edges if a <= e - least), e)} if e >= least else set()
+    ends = [*opens, n]
+    out |= {(ends[i], ends[i + several]) for i in range(len(ends) - several)}
+    return sorted(out or ({(0, n)} if n else set()))
 
 
 def brute(rows):
     """rows: (id, text) with distinct ids; the text that stays of each."""
     places = defaultdict(list)
     for i, text in rows:
-        at = cuts(text) if text else [0]
-        sentences = [word_list(text[a:b]) for a, b in zip(at, at[1:])]
-        for first, own in enumerate(sentences):
-            if not own:
-                continue
-            held, last = [], first
-            while last < len(sentences) and (len(held) < LEAST or (last < first + 2 and len(own) < 2 * LEAST)):
-                held += sentences[last]
-                last += 1
-            if len(held) >= LEAST and (last >= first + 2 or len(own) >= 2 * LEAST):
-                places[tuple(held)].append((i, first, last))
+        held = word_list(text or "")
+        for a, b in plain_runs(text or ""):
+            places[tuple(held[a:b])].append((i, a, b))
     gone = defaultdict(set)
     for found in places.values():
-        for i, first, last in found:
-            if (i, first, last) != min(found):
-                gone[i].update(range(first, last))
+        i, a, b = min(found)
+        for j, c, d in found:
+            if j != i or c >= b:
+                gone[j].update(range(c, d))
     out = {}
     for i, text in rows:
-        at = cuts(text) if text else [0]
-        out[i] = text if not text else "".join(text[a:b] for n, (a, b) in enumerate(zip(at, at[1:])) if n not in gone[i])
+        if not gone[i]:
+            out[i] = text
+            continue
+        kept, n, total = [], 0, len(word_list(text))
+        places_ = sentences(text)
+        for a, b in zip(places_, places_[1:]):
+            found = [m.end() for m in WORD.finditer(text, a, b)]
+            if not found:
+                kept.append(text[a:b] if len(gone[i]) < total else "")
+                continue
+            bounds = [a, *found[:-1], b]
+            for start, end in zip(bounds, bounds[1:]):
+                part = text[start:end]
+                if n not in gone[i]:
+                    kept.append(part)
+                n += 1
+        out[i] = "".join(kept)
     return out
 
 
@@ -40,10 +99,11 @@ def test_equals_brute_force(docs_of):
     draw = random.Random(6)
     pool = [" ".join("".join(draw.choices("abcdeé", k=4)) for _ in range(draw.randint(1, 30))) + draw.choice([". ", "! ", "\n", '." ']) for _ in range(40)]
     texts = ["".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(150)]
-    passage = "".join(pool[:6])
-    texts += [t + passage + t for t in texts[:30]] + ["", texts[0], passage]
+    passage = " ".join(word_list("".join(pool[:6]))[3:])
+    texts += [t + passage + " " + t for t in texts[:30]] + ["", texts[0], passage, None]
     out = {r.doc_id: r for r in without_repeats(docs_of(texts)).collect()}
     want = brute(list(enumerate(texts)))
+    assert sum(want[i] != text for i, text in enumerate(texts)) > 60
     for i, text in enumerate(texts):
         assert out[i].text == want[i]
         kept = text
@@ -52,15 +112,102 @@ def test_equals_brute_force(docs_of):
         assert kept == want[i]
 
 
-def test_first_copy_stays_and_later_ones_go(docs_of):
-    passage = "One sentence here has ten words in it right now. " * 1 + "And a second sentence also has its ten words here. " + "So the third one makes the passage longer than fifty words in all. "
-    rows = {r.doc_id: r.text for r in without_repeats(docs_of(["First. " + passage + "End.", "Other. " + passage + "Stop.", passage])).collect()}
-    assert rows == {0: "First. " + passage + "End.", 1: "Other. Stop.", 2: ""}
+def test_runs_are_those_of_the_definition():
+    draw = random.Random(2)
+    texts = [prose(draw, draw.randint(0, 200)) for _ in range(60)] + ["", " ", "\n- \n", "a a. " * 30, "One. Two."]
+    owner, first, size, value = runs(texts)
+    for n, text in enumerate(texts):
+        mine = owner == n
+        found = sorted(zip(first[mine].tolist(), (first + size)[mine].tolist()))
+        assert found == plain_runs(text)
+    held = [tuple(word_list(texts[n])[a : a + s]) for n, a, s in zip(owner, first, size)]
+    assert len(set(held)) == len(set(value.tolist())) == len(set(zip(held, value.tolist())))
+
+
+def test_registered_query_on_its_table(spark, docs_of, tmp_path):
+    draw = random.Random(12)
+    passages = [prose(draw, 70) for _ in range(8)]
+    texts = [prose(draw, draw.randint(0, 60)) + draw.choice(passages) + prose(draw, draw.randint(0, 60)) for _ in range(80)]
+    docs_of(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r.text for r in op3_sentence_spans(spark, str(tmp_path)).collect()}
+    assert out == brute(list(enumerate(texts)))
+
+
+def test_short_sentences_and_other_arguments(docs_of):
+    said = "Thank you for reading it. Please come back again. See you there soon. "
+    assert len(word_list(said)) == 13
+    texts = ["Alpha begins. " + said + "Alpha ends.", "Beta starts here. " + said + "Beta stops."]
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts)).collect()}
+    assert rows == {0: texts[0], 1: "Beta starts here. Beta stops."}
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts), several=4).collect()}
+    assert rows == dict(enumerate(texts))
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts), several=4, least_words=13).collect()}
+    assert rows[1] == "Beta starts here. Beta stops."
+
+
+def test_no_fifty_words_stay_in_two_documents(docs_of):
+    draw = random.Random(4)
+    passages = [prose(draw, draw.randint(50, 90)) for _ in range(60)]
+    texts = [prose(draw, draw.randint(0, 30)) + p + " " + prose(draw, draw.randint(0, 30)) for p in passages * 3]
+    assert len(shared(texts, 50)) > 60
+    rows = sorted(without_repeats(docs_of(texts)).collect(), key=lambda r: r.doc_id)
+    kept = [r.text for r in rows]
+    assert not shared(kept, LEAST + 3 * NEAR - 2)
+    for n, (row, text) in enumerate(zip(rows, texts)):
+        for span in reversed(row.removed):
+            gone = word_list(text[span.start : span.end])
+            assert n >= 60 and gone == [w for w in word_list(passages[n % 60]) if w in set(gone)]
+            text = text[: span.start] + text[span.end :]
+        assert text == row.text
+
+
+def test_sixty_words_that_end_inside_sentences(docs_of):
+    draw = random.Random(8)
+    w = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(60)]
+    middle = " ".join(w[:24]) + ". " + " ".join(w[24:36]) + ". " + " ".join(w[36:])
+    texts = [f"One two three {middle} four five six.", f"Seven eight nine {middle} ten eleven twelve."]
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts)).collect()}
+    assert rows[0] == texts[0]
+    assert len(set(word_list(rows[1])) & set(w)) <= 2 * NEAR
+
+
+def test_equal_ids_and_repeats_in_one_text(docs_of):
+    draw = random.Random(5)
+    a, b = prose(draw, 60) + ".\n", prose(draw, 60) + ".\n"
+    rows = without_repeats(docs_of([a + b + a, "other. " + a, "more! " + a, b, b], [7, None, None, 9, 9])).collect()
+    kept = sorted((r.doc_id or 0, r.text) for r in rows)
+    assert sum(len(t) > len(a) for i, t in kept if i == 0) == 1  # one null id keeps the first copy
+    assert not shared([t for i, t in kept], 50)
+    assert len(word_list(next(t for i, t in kept if i == 7))) <= 60 + 3 * 2 * NEAR
+
+
+def test_exact_copies_leave_nothing(docs_of):
+    draw = random.Random(7)
+    texts = [" - " * (n % 2) + prose(draw, n) + "\n---" * (n % 3) for n in [1, 2, 5, 12, 19, 20, 21, 26, 29, 33, 40, 41, 47, 60, 150, 400]]
+    rows = {r.doc_id: r for r in without_repeats(docs_of(texts * 2)).collect()}
+    for n, text in enumerate(texts):
+        copy = rows[n + len(texts)]
+        assert (rows[n].text, copy.text) == (text, "")
+        assert [(s.start, s.end) for s in copy.removed] == [(0, len(text))]
+
+
+def test_whole_sentences_go_to_the_last_one(docs_of):
+    draw = random.Random(9)
+    for sizes in ([12, 12, 5], [5, 12, 12], [3, 17], [20], [14, 1, 30, 1, 2, 1]):
+        passage = "".join(" ".join("".join(draw.choices("abcdefgh", k=7)) for _ in range(n)) + ". " for n in sizes)
+        texts = [f"Begin one. {passage}End one.", f"Start two. {passage}Stop two."]
+        rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts)).collect()}
+        assert rows == {0: texts[0], 1: "Start two. Stop two."}
+    texts = ["Short text.", "Short text. And more.", "Short  text!", "Other text."]
+    rows = {r.doc_id: r.text for r in without_repeats(docs_of(texts)).collect()}
+    assert rows == {0: texts[0], 1: texts[1], 2: "", 3: texts[3]}
 
 
 def test_odd_rows(odd_docs):
-    rows = without_repeats(odd_docs).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows) == sorted(
-        (r.doc_id is None, r.doc_id or 0, r.text or "") for r in odd_docs.collect()
-    )
+    out = without_repeats(odd_docs).collect()
+    was = {r.doc_id: r.text for r in odd_docs.where("doc_id is not null").collect()}
+    for r in out:
+        if r.doc_id is not None and r.text != was[r.doc_id]:
+            assert was[r.doc_id].startswith("word ") and r.text == "word " * LEAST
+    assert len(out) == odd_docs.count()
     assert without_repeats(odd_docs.limit(0)).collect() == []

@@ -1,115 +1,234 @@
-"""Repeated passages across documents, by sliding runs of sentences.
+"""Repeated passages across documents, by sliding runs of consecutive sentences.
 
 A sentence ends at a line end, or after one of `. ! ?` and other signs that white space
-follows. One of more than `LONG` words is cut further, after every word whose checksum is
-divisible by `PART`, which depends on the word alone, so that shared words are cut alike.
-Every run of consecutive sentences that has just enough words, `LEAST` or more, is hashed:
-from each sentence on, the fewest sentences that reach it, two at least unless one
-sentence alone has twice as many words. Sentences compare by their words in lower case.
-All runs are grouped by hash over the whole corpus; the first place of a repeated hash is
-the one with the least document id, then the least position. Sentences covered by any run
-that is not the first of its hash are removed, with the white space after them.
-
-Only hashes and positions are shuffled: each document sends one small row a run, which are
-combined by hash before the shuffle, so a passage in a third of all documents is a few
-rows from each task; repeated hashes are written and joined back, where adaptive execution
-can split a hot one.
-
-Null and empty texts have no sentences and stay as they are. Rows with equal id and text
-count as one document and get the same result; of equal ids with different texts, the text
-hash decides which is earlier.
+follows. Passages may begin and end inside sentences, so sentences are cut further, into
+pieces: the word with the least hash of any `NEAR` consecutive ones begins a piece, all of
+them in a tie. Where pieces begin depends on the words near it only, and no piece has more
+than `NEAR` words. Words compare in lower case.
+
+Of each text these runs are hashed:
+
+- from every piece on, the fewest pieces that have `least_words` words;
+- up to every piece's end, the fewest pieces that have `least_words` words;
+- any `several` consecutive sentences, however short;
+- the whole text, if it has none of these.
+
+All runs are grouped by hash over the whole corpus. The first place of a hash is the one
+with the least document id, then the least position; pieces covered by any run in another
+place are removed whole, with the white space after them. In one text a run is a repeat
+only if it does not overlap the first of its hash. A text that loses all its words is
+empty. Two texts that share `least_words + 3 * NEAR - 2` words in a row share a run, and of
+what they share `NEAR` words at most are left at either end; shared sentences that have
+`least_words` words, or `several` of them, go whole.
+
+Only hashes and positions are shuffled, combined by hash before the first shuffle. The hashes
+that repeat set bits in an array of `MOST_BITS` bits at most, which every task gets, and runs
+whose bit is not set are left out before the second one; hashes that share a bit by
+chance are told apart by the join, so results do not depend on the array's size. Adaptive
+execution can split a hot hash in that join.
+
+Null and empty texts, and those without a word, stay as they are. Long texts are handled
+whole. Rows with equal id and text count as one document and get the same result; of equal
+ids with different texts, the text hash decides which is earlier. A null id counts as the
+least number. An empty table gives an empty result; further columns are not looked at.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.batches import chunks, list_array, strings
-from tideline.llm.hashing import mix, step, word_places
-from tideline.llm.storage import stored
+from tideline.llm.hashing import BASE, mix, step, word_places
+from tideline.llm.storage import sized, stored
 
-LEAST = 20  # words in a run
-LONG, PART = 30, 8  # words
+NEAR = 10  # words
+LEAST = 20  # words
+SEVERAL = 3  # sentences
+MOST_BITS = 2**27  # 16 MB
 END = re.compile(r"[.!?]+[^\w\s]*\s+|\n\s*")
-TOKEN = re.compile(r"(\S+)\s*")
+#: A word as `word_places` finds them, with the signs and white space that close it.
+WORD = re.compile(r"[0-9A-Za-z_\x80-\U0010ffff]+(?:[^\s0-9A-Za-z_\x80-\U0010ffff]*\s+)?")
 
 
-def cuts(text: str) -> list[int]:
+def sentences(text: str) -> list[int]:
     """Where each sentence begins, then the text's length."""
     begins = [0, *(m.end() for m in END.finditer(text))]
-    if begins[-1] >= len(text):
-        begins.pop()
-    out = []
-    for start, end in zip(begins, [*begins[1:], len(text)]):
-        out.append(start)
-        if end - start > 2 * LONG and len(text[start:end].split()) > LONG:
-            ends = [m.end() for m in TOKEN.finditer(text, start, end) if _closes(m.group(1))]
-            out += ends[:-1] if ends and ends[-1] == end else ends
-    return [*out, len(text)]
+    return [*begins, len(text)] if begins[-1] < len(text) else begins
 
 
-def _closes(token: str) -> bool:
-    return zlib.crc32("".join(filter(str.isalnum, token)).lower().encode("utf-8", "replace")) % PART == 0
-
-
-def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, first sentence, sentence after the last, and hash of each run."""
-    parts, sentence_text = [], []
+def runs(
+    texts: list[str], several: int = SEVERAL, least_words: int = LEAST
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, first word, number of words and hash of each run, by text, hash and
+    first word; runs that are found in two ways stand there once."""
+    parts, part_text = [], []
     for n, text in enumerate(texts):
-        places = cuts(text) if text else [0]
+        places = sentences(text)
         parts += [text[a:b] for a, b in zip(places, places[1:])]
-        sentence_text += [n] * (len(places) - 1)
-    word, sentence = word_places(parts, full_lower=True)[:2]
-    owner = np.array(sentence_text, np.int64)
-    count = np.bincount(sentence, minlength=len(parts))
-    before = np.r_[0, np.cumsum(count)]
-    ends_of_text = np.searchsorted(owner, owner, side="right")
-    first = np.arange(len(parts))
-    last = np.searchsorted(before, before[:-1] + LEAST, side="left")
-    two = np.where(count >= 2 * LEAST, first + 1, first + 2)
-    last = np.maximum(last, two)
-    good = (last <= ends_of_text) & (count > 0)
-    first, last = first[good], last[good]
-    size = before[last] - before[first]
-    values = np.zeros(len(first), np.uint64)
-    if len(first):
-        for lane in (1, 2):  # two sums make a collision of long runs unlikely
-            powers = np.cumprod(np.full(int(size.max()), step(lane + 4), np.uint64))
-            turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            at = np.repeat(before[first], size) + turn
-            values = mix(values + np.add.reduceat(word[at] * powers[turn], np.cumsum(size) - size))
-    start = np.searchsorted(owner, owner[first], side="left")
-    return owner[first], first - start, last - start, values
-
-
-def _run_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        done = 0
-        for texts in chunks(strings(batch.column("text"))):
-            owner, first, last, value = runs(texts)
-            sizes = np.bincount(owner, minlength=len(texts))
-            rows = batch.slice(done, len(texts))
-            done += len(texts)
+        part_text += [n] * (len(places) - 1)
+    word, part = word_places(parts, full_lower=True)[:2]
+    owner = np.array(part_text, np.int64)[part]
+    total = len(word)
+    size = np.bincount(owner, minlength=len(texts))
+    begin = np.cumsum(size) - size
+    end = begin + size
+    opens = np.flatnonzero(np.diff(part, prepend=-1))  # first words of sentences
+    cut = _least(word, end[owner] - np.arange(total) >= NEAR)
+    cut[opens] = True
+    starts = np.flatnonzero(cut)
+    edges = np.r_[starts, total]
+
+    until = np.searchsorted(edges, starts + least_words)
+    onward = starts + least_words <= end[owner[starts]]
+    closes = edges[1:]
+    since = edges[np.maximum(np.searchsorted(edges, closes - least_words, side="right") - 1, 0)]
+    back = closes - least_words >= begin[owner[starts]]
+    ends = np.r_[opens, total, np.full(several - 1, total + 1)][several:]
+    many = ends <= end[owner[opens]]
+    first = np.r_[starts[onward], since[back], opens[many]]
+    last = np.r_[edges[until[onward]], closes[back], ends[many]]
+    found = np.bincount(owner[first], minlength=len(texts))
+    whole = np.flatnonzero((found == 0) & (size > 0))
+    first, last = np.r_[first, begin[whole]], np.r_[last, end[whole]]
+
+    value = _run_hashes(word, first, last)
+    order = np.lexsort((first, value, owner[first]))
+    first, last, value = first[order], last[order], value[order]
+    new = np.ones(len(first), bool)
+    new[1:] = (np.diff(first) != 0) | (np.diff(last) != 0)
+    first, last, value = first[new], last[new], value[new]
+    at = owner[first]
+    return at, first - begin[at], last - first, value
+
+
+def _run_hashes(word: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the words `first` to `last` (exclusive) of each run, from sums of the word
+    hashes times powers of an odd number, which are taken back to the run's own place."""
+    size = len(word) + 1
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, BASE, np.uint64)])
+    back = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, np.uint64(pow(int(BASE), -1, 2**64)), np.uint64)])
+    sums = np.r_[np.uint64(0), np.cumsum(word * powers[:-1], dtype=np.uint64)]
+    return mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64) * step(3))
+
+
+def _least(value: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """Whether each value is the least of any `NEAR` consecutive ones; `full` tells where
+    such a group begins."""
+    size = len(value)
+    padded = np.r_[value, np.full(NEAR, 2**64 - 1, np.uint64)]
+    least = value.copy()
+    for j in range(1, NEAR):
+        np.minimum(least, padded[j : j + size], out=least)
+    most = np.zeros(size, np.uint64)
+    least[~full] = 0
+    for j in range(min(NEAR, size)):
+        np.maximum(most[j:], least[: size - j], out=most[j:])
+    inside = np.zeros(size, bool)
+    for j in range(min(NEAR, size)):
+        inside[j:] |= full[: size - j]
+    return inside & (value == most)
+
+
+RUNS = (
+    "rank long, key long, hash array<long>, first array<int>, size array<int>, "
+    "again_first array<int>, again_size array<int>"
+)
+
+
+def _run_rows(several: int, least_words: int):
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in chunks(strings(batch.column("text"))):
+                owner, first, size, value = runs(texts, several, least_words)
+                new = np.ones(len(owner), bool)
+                new[1:] = (np.diff(owner) != 0) | (value[1:] != value[:-1])
+                head = np.flatnonzero(new)[np.cumsum(new) - 1]
+                again = first >= (first + size)[head]
+                rows = batch.slice(done, len(texts))
+                done += len(texts)
+                columns = [rows.column("rank"), rows.column("key"), _lists(value.view(np.int64), owner, new, texts)]
+                for kept in (new, again):
+                    columns += [_lists(x.astype(np.int32), owner, kept, texts) for x in (first, size)]
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["rank", "key", "hash", "first", "size", "again_first", "again_size"]
+                )
+
+    return make
+
+
+def _lists(values: np.ndarray, owner: np.ndarray, kept: np.ndarray, texts: list[str]) -> pa.ListArray:
+    return list_array(values[kept], np.bincount(owner[kept], minlength=len(texts)))
+
+
+def _bits(repeated: DataFrame) -> bytes:
+    """An array of bits, set at the lower part of each hash: about 16 bits a hash, and no
+    more than `MOST_BITS`."""
+    count = min(MOST_BITS, max(2**15, 2 ** (16 * repeated.count()).bit_length()))
+    place = F.col("hash").bitwiseAND(F.lit(count - 1))
+    blocks = (
+        repeated.select(F.shiftright(place, 15).alias("block"), place.bitwiseAND(F.lit(2**15 - 1)).alias("bit"))
+        .groupBy("block")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    out = bytearray(count // 8)
+    for row in blocks.toLocalIterator():
+        out[row["block"] * 4096 : (row["block"] + 1) * 4096] = row["bits"]
+    return bytes(out)
+
+
+def _may_repeat(bits: bytes):
+    """(rank, tag, hash, first, size) of the runs whose hash has its bit set."""
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(bits, np.uint8)
+        for batch in batches:
+            hashes = batch.column("hash").flatten()
+            place = hashes.to_numpy().view(np.uint64) & np.uint64(len(bits) * 8 - 1)
+            hit = (held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+            kept = pa.array(hit.astype(bool))
+            row = pc.list_parent_indices(batch.column("hash")).filter(kept)
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("id"),
-                    rows.column("key"),
-                    list_array(value.view(np.int64), sizes),
-                    list_array(first.astype(np.int32), sizes),
-                    list_array(last.astype(np.int32), sizes),
+                    batch.column("rank").take(row),
+                    batch.column("tag").take(row),
+                    hashes.filter(kept),
+                    batch.column("first").flatten().filter(kept),
+                    batch.column("size").flatten().filter(kept),
                 ],
-                ["id", "key", "hash", "first", "last"],
+                ["rank", "tag", "hash", "first", "size"],
             )
 
+    return make
+
+
+def removed_spans(text: str, covered: list[dict]) -> list[tuple[int, int]]:
+    """The spans of the runs with these first words and numbers of words."""
+    begins, ends = [], []
+    places = sentences(text)
+    for a, b in zip(places, places[1:]):
+        found = [m.end() for m in WORD.finditer(text, a, b)]
+        if found:
+            begins += [a, *found[:-1]]
+            ends += [*found[:-1], b]
+    gone = np.zeros(len(begins) + 1, np.int64)
+    first = np.array([run["first"] for run in covered], np.int64)
+    np.add.at(gone, first, 1)
+    np.add.at(gone, first + np.array([run["size"] for run in covered], np.int64), -1)
+    gone = (np.cumsum(gone) > 0).astype(np.int8)
+    if gone[:-1].all():
+        return [(0, len(text))]
+    edges = np.flatnonzero(np.diff(gone, prepend=0))
+    return [(begins[a], ends[b - 1]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+
 
-RUNS = "id long, key long, hash array<long>, first array<int>, last array<int>"
 KEPT = "struct<text string, removed array<struct<start int, end int>>>"
 
 
@@ -118,23 +237,13 @@ def _without(text: Column, covered: Column) -> Column:
     def cut(texts: pa.Array, runs_of: pa.Array) -> pa.Array:
         out = []
         for text, found in zip(texts.to_pylist(), runs_of.to_pylist()):
-            if not text or not found:
-                out.append({"text": text, "removed": []})
-                continue
-            places = cuts(text)
-            gone = np.zeros(len(places), np.int64)
-            for run in found:
-                gone[run["first"]] += 1
-                gone[run["last"]] -= 1
-            gone = (np.cumsum(gone) > 0).astype(np.int8)
-            edges = np.flatnonzero(np.diff(gone, prepend=0))
-            spans = [(places[a], places[b]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+            spans = removed_spans(text, found) if text and found else []
             kept, at = [], 0
             for start, end in spans:
                 kept.append(text[at:start])
                 at = end
-            kept.append(text[at:])
-            out.append({"text": "".join(kept), "removed": [{"start": a, "end": b} for a, b in spans]})
+            left = "".join([*kept, text[at:]]) if spans else text
+            out.append({"text": left, "removed": [{"start": a, "end": b} for a, b in spans]})
         return pa.array(out, pa.struct({
             "text": pa.string(),
             "removed": pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()})),
@@ -143,31 +252,63 @@ def _without(text: Column, covered: Column) -> Column:
     return cut(text, covered)
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, removed) of every row: the text without its repeated sentences, and the
+def without_repeats(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    several: int = SEVERAL,
+    least_words: int = LEAST,
+) -> DataFrame:
+    """(id, text, removed) of every row: the text without its repeated passages, and the
     removed spans of the old text (code points, end exclusive)."""
     rows = docs.select(
         F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")
-    )
-    found = stored(rows.mapInArrow(_run_rows, RUNS), "runs")
-    each = found.select("id", "key", F.explode(F.arrays_zip("hash", "first", "last")).alias("run")).select(
-        "id", "key", F.col("run.hash").alias("hash"), F.col("run.first").alias("first"), F.col("run.last").alias("last")
-    )
-    # A place that is not the first must exist; least and greatest place of a hash tell.
-    place = F.struct("id", "key", "first")
+    ).withColumn("rank", F.coalesce("id", F.lit(-(2**63))))
+    found = stored(rows.mapInArrow(_run_rows(several, least_words), RUNS), "runs")
+    differ = found.groupBy("rank").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    differ = sized(stored(differ.select("rank", F.lit(True).alias("differ")), "differ"))
+    tied = not differ.isEmpty()
+
+    def tagged(df: DataFrame) -> DataFrame:
+        """With `tag`, the text's hash where texts differ under an id, else 0."""
+        if not tied:
+            return df.withColumn("tag", F.lit(0).cast("long"))
+        return df.join(differ, "rank", "left").withColumn("tag", F.when(F.col("differ"), F.col("key")).otherwise(0))
+
+    found = tagged(found)
     repeated = stored(
-        each.groupBy("hash")
-        .agg(F.min(place).alias("least"), F.max(place).alias("most"))
-        .where("least <> most")
+        found.select("rank", F.explode("hash").alias("hash"))
+        .groupBy("hash")
+        .agg(F.min("rank").alias("least"), F.max("rank").alias("most"))
+        .where("least < most")
         .select("hash", "least"),
         "repeated",
     )
-    later = each.join(repeated, "hash").where(F.struct("id", "key", "first") != F.col("least"))
+    placed = found.select("rank", "tag", "hash", "first", "size")
+    shape = "rank long, tag long, hash long, first int, size int"
+    likely = placed.mapInArrow(_may_repeat(_bits(repeated)), shape)
+    later = likely.join(repeated, "hash").where("rank > least").select("rank", "tag", "first", "size")
+    again = F.explode(F.arrays_zip("again_first", "again_size"))
+    later = later.unionAll(
+        found.select("rank", "tag", again.alias("run")).select("rank", "tag", "run.again_first", "run.again_size")
+    )
+    if tied:
+        own = placed.join(differ, "rank", "left_semi").select(
+            "rank", "tag", F.explode(F.arrays_zip("hash", "first", "size")).alias("run")
+        ).select("rank", "tag", "run.hash", "run.first", "run.size")
+        ties = stored(
+            own.groupBy("rank", "hash")
+            .agg(F.min("tag").alias("least"), F.max("tag").alias("most"))
+            .where("least < most")
+            .select("rank", "hash", "least"),
+            "ties",
+        )
+        both = own.join(ties, ["rank", "hash"]).where("tag > least")
+        later = later.unionAll(both.select("rank", "tag", "first", "size"))
     covered = stored(
-        later.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("covered")), "covered"
+        later.groupBy("rank", "tag").agg(F.collect_list(F.struct("first", "size")).alias("covered")), "covered"
     )
-    same = rows["id"].eqNullSafe(covered["id"]) & (rows["key"] == covered["key"])
-    joined = rows.join(covered, same, "left").select(
-        rows["id"], _without(rows["text"], covered["covered"]).alias("kept")
+    joined = tagged(rows).join(covered, ["rank", "tag"], "left").select(
+        "id", _without(F.col("text"), F.col("covered")).alias("kept")
     )
     return joined.select(F.col("id").alias(id), F.col("kept.text").alias("text"), F.col("kept.removed").alias("removed"))

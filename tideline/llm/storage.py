@@ -28,12 +28,6 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def swept(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished writes, which it does only when the
-    driver has collected its garbage."""
-    spark.sparkContext._jvm.java.lang.System.gc()
-
-
 #: Most rows, of a few numbers each, that are sent whole to every task.
 BROADCAST_ROWS = 1_000_000
 

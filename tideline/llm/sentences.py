@@ -209,7 +209,7 @@ def _may_repeat(bits: bytes):
     return make
 
 
-def removed_spans(text: str, covered: list[dict]) -> list[tuple[int, int]]:
+def removed_spans(text: str, first: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
     """The spans of the runs with these first words and numbers of words."""
     begins, ends = [], []
     places = sentences(text)
@@ -218,10 +218,7 @@ def removed_spans(text: str, covered: list[dict]) -> list[tuple[int, int]]:
         if found:
             begins += [a, *found[:-1]]
             ends += [*found[:-1], b]
-    gone = np.zeros(len(begins) + 1, np.int64)
-    first = np.array([run["first"] for run in covered], np.int64)
-    np.add.at(gone, first, 1)
-    np.add.at(gone, first + np.array([run["size"] for run in covered], np.int64), -1)
+    gone = np.bincount(first, minlength=len(begins) + 1) - np.bincount(first + size, minlength=len(begins) + 1)
     gone = (np.cumsum(gone) > 0).astype(np.int8)
     if gone[:-1].all():
         return [(0, len(text))]
@@ -230,24 +227,29 @@ def removed_spans(text: str, covered: list[dict]) -> list[tuple[int, int]]:
 
 
 KEPT = "struct<text string, removed array<struct<start int, end int>>>"
+KEPT_ARROW = pa.struct({
+    "text": pa.string(),
+    "removed": pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()})),
+})
+ROWS = 200  # texts that are there as Python strings at a time
 
 
 def _without(text: Column, covered: Column) -> Column:
     @F.arrow_udf(KEPT)
     def cut(texts: pa.Array, runs_of: pa.Array) -> pa.Array:
-        out = []
-        for text, found in zip(texts.to_pylist(), runs_of.to_pylist()):
-            spans = removed_spans(text, found) if text and found else []
-            kept, at = [], 0
-            for start, end in spans:
-                kept.append(text[at:start])
-                at = end
-            left = "".join([*kept, text[at:]]) if spans else text
-            out.append({"text": left, "removed": [{"start": a, "end": b} for a, b in spans]})
-        return pa.array(out, pa.struct({
-            "text": pa.string(),
-            "removed": pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()})),
-        }))
+        ends = runs_of.offsets.to_numpy()
+        first, size = (runs_of.values.field(x).to_numpy() for x in ("first", "size"))
+        parts = [pa.array([], KEPT_ARROW)]
+        for at in range(0, len(texts), ROWS):
+            out = []
+            for n, text in enumerate(texts.slice(at, ROWS).to_pylist(), at):
+                own = slice(ends[n], ends[n + 1])
+                spans = removed_spans(text, first[own], size[own]) if text and ends[n] < ends[n + 1] else []
+                bounds = [0, *(x for span in spans for x in span), len(text or "")]
+                left = "".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])) if spans else text
+                out.append({"text": left, "removed": [{"start": a, "end": b} for a, b in spans]})
+            parts.append(pa.array(out, KEPT_ARROW))
+        return pa.concat_arrays(parts)
 
     return cut(text, covered)
 

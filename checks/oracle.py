@@ -183,6 +183,7 @@ SELECT {_STORED} FROM named)""",
 SELECT user_id, event_time_utc, event_type, session_id, session_start_utc,
        event_date_kst FROM named""",
     "silver_clustered": f"WITH {_cut(CLEAN_SQL, DAY)} SELECT {_STORED} FROM named",
+    "silver_published": f"WITH {_cut(CLEAN_SQL, DAY)} SELECT {_STORED} FROM named",
     "silver_late_day": f"WITH {_cut(CLEAN_SQL, DAY)} SELECT {_STORED} FROM named",
     "external_table_silver": _ALL_SILVER,
     "stream_sessions": f"""WITH {_cut(CLEAN_SQL, HALF_HOUR)}

@@ -72,8 +72,8 @@ def bronze_partition_date(spark, sf_dir):
     )
 
 
-def _bronze_lake(spark, sf_dir, user_buckets: int = 0) -> Lake:
-    lake = scratch_lake(spark, user_buckets)
+def _bronze_lake(spark, sf_dir, user_buckets: int = 0, versioned_silver: bool = False) -> Lake:
+    lake = scratch_lake(spark, user_buckets, versioned_silver)
     raw = given.raw_events(spark, sf_dir).select(*schemas.RAW.names)
     bronze.store_bronze(spark, lake, raw, source=f"{sf_dir}/events.parquet")
     return lake
@@ -349,6 +349,18 @@ def silver_clustered(spark, sf_dir):
     return _settled(spark, lake, spark.table(lake.silver.name))
 
 
+def silver_published(spark, sf_dir):
+    """Silver of the first days, then of all days, each published at once; read through a
+    catalog that has only the journal to go by."""
+    lake = _bronze_lake(spark, sf_dir, versioned_silver=True)
+    first, last = _local_days(spark, lake)
+    for end in (ONWARD_FROM, last):
+        silver.ingest_onward(spark, lake, first, end, gap_seconds=DAY)
+    spark.sql(f"DROP TABLE {lake.silver.name}")
+    silver.create_silver(spark, lake)
+    return _settled(spark, lake, spark.table(lake.silver.name))
+
+
 def silver_late_day(spark, sf_dir):
     """Half the rows of a day in the middle come after all days were ingested. Sessions of a
     day's gap run through many of the days after it."""
@@ -572,6 +584,7 @@ QUERIES: dict[str, Query] = {
         silver_empty_batch,
         silver_onward_weekly,
         silver_clustered,
+        silver_published,
         silver_late_day,
         external_table_silver,
         stream_sessions,

@@ -21,12 +21,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def scratch_lake(spark: SparkSession, user_buckets: int = 0) -> Lake:
+def scratch_lake(spark: SparkSession, user_buckets: int = 0, versioned_silver: bool = False) -> Lake:
     """A lake of its own, in the folder that the warehouse gives its database."""
     database = f"tideline_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE `{database}`")
     root = f"{spark.catalog.getDatabase(database).locationUri}/lake"
-    return Lake.under(root, database, user_buckets)
+    return Lake.under(root, database, user_buckets, versioned_silver)
 
 
 def drop_lake(spark: SparkSession, lake: Lake) -> None:

@@ -26,10 +26,13 @@ class Lake:
     session_days: LayerTable | None = None
 
     @classmethod
-    def under(cls, root: str, database: str, user_buckets: int = 0) -> Lake:
+    def under(
+        cls, root: str, database: str, user_buckets: int = 0, versioned_silver: bool = False
+    ) -> Lake:
         """``user_buckets``: Silver is clustered by user into so many files a day, so that
         looking back by user does not shuffle it. All of a user's rows of the days read then
-        meet in one task; leave it out where a user can have a large part of all rows."""
+        meet in one task; leave it out where a user can have a large part of all rows.
+        ``versioned_silver``: all days that a run writes to Silver are published together."""
         root = root.rstrip("/")
 
         def layer(table: str) -> LayerTable:
@@ -38,7 +41,9 @@ class Lake:
         return cls(
             bronze=layer("bronze_events"),
             bronze_loads=layer("bronze_event_loads"),
-            silver=LayerTable(database, "silver_events", f"{root}/silver_events", user_buckets),
+            silver=LayerTable(
+                database, "silver_events", f"{root}/silver_events", user_buckets, versioned_silver
+            ),
             gold=LayerTable(database, "gold_weekly_activity", f"{root}/gold_weekly_activity/weeks"),
             audit_path=f"{root}/run_audit",
             bronze_files=layer("bronze_files"),

@@ -30,9 +30,12 @@ from tideline.sinks import (
     create_layer_table,
     forget_partitions,
     known_days,
+    publish_days,
     register_days,
     replace_clustered_days,
     replace_days,
+    restore_published,
+    write_version,
 )
 from tideline.sources import read_bronze_range, read_silver
 
@@ -199,7 +202,10 @@ def ingest_onward(
 
 
 def create_silver(spark: SparkSession, lake: Lake) -> None:
+    known = not lake.silver.versioned or spark.catalog.tableExists(lake.silver.name)
     create_layer_table(spark, lake.silver, schemas.SILVER, schemas.SILVER_DAY)
+    if not known:
+        restore_published(spark, lake.silver, schemas.SILVER_DAY)
 
 
 def _utc_days(
@@ -226,7 +232,10 @@ def _replace_silver(
     empty = sorted({first + dt.timedelta(days=n) for n in range(span)} - set(written))
     if drop_empty_days:
         stale = known_days(spark, lake.silver, schemas.SILVER_DAY) & set(empty)
-        forget_partitions(spark, lake.silver, [{schemas.SILVER_DAY: day} for day in sorted(stale)])
+        if lake.silver.versioned:
+            publish_days(spark, lake.silver, schemas.SILVER_DAY, None, sorted(stale))
+        else:
+            forget_partitions(spark, lake.silver, [{schemas.SILVER_DAY: day} for day in sorted(stale)])
     return Ingested(rows, written, empty)
 
 
@@ -239,6 +248,11 @@ def write_silver(spark: SparkSession, lake: Lake, silver: DataFrame) -> tuple[in
         F.sort_array(F.collect_set(schemas.SILVER_DAY)).alias("days"),
     )
     rows = silver.select(*schemas.SILVER.names)
+    if lake.silver.versioned:
+        version = write_version(rows, lake.silver, schemas.SILVER_DAY, observation=seen, metrics=metrics)
+        written = list(seen.get.get("days") or [])
+        publish_days(spark, lake.silver, schemas.SILVER_DAY, version, written)
+        return seen.get.get("rows", 0), written
     if lake.silver.buckets:
         replace_clustered_days(rows, lake.silver, schemas.SILVER_DAY, observation=seen, metrics=metrics)
     else:

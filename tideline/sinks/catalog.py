@@ -19,12 +19,18 @@ CLUSTERED_BY = ("user_id", "event_time_utc")
 @dataclass(frozen=True)
 class LayerTable:
     """A table name and the place of its files (any Hadoop path). With ``buckets``, files of
-    each partition are clustered by user into so many, and sorted in each."""
+    each partition are clustered by user into so many, and sorted in each. With ``versioned``,
+    the days of a run are published together (``sinks.versions``)."""
 
     database: str
     table: str
     path: str
     buckets: int = 0
+    versioned: bool = False
+
+    def __post_init__(self) -> None:
+        if self.buckets and self.versioned:
+            raise ValueError("a table is clustered or versioned, not both")
 
     @property
     def name(self) -> str:
@@ -71,17 +77,22 @@ def create_layer_table(
     options = "OPTIONS (recursiveFileLookup 'true')" if any_folder else ""
     if table.buckets:  # a write through the catalog takes these from the table
         options = f"OPTIONS (partitionOverwriteMode 'dynamic', maxRecordsPerFile '{MAX_ROWS_PER_FILE}')"
-    location = table.path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}) USING parquet {options} "
-        f"{partitioning} {clustering} LOCATION '{location}' "
+        f"{partitioning} {clustering} LOCATION {quoted(table.path)} "
         "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
     )
     if parts:
         repair_partitions(spark, table)
 
 
-def _plain(location: str) -> str:
+def quoted(text: str) -> str:
+    """A string literal of SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def plain_place(location: str) -> str:
     """A path without its scheme's empty authority and without a last slash."""
     return location.replace(":///", ":/").removeprefix("file:").rstrip("/")
 
@@ -90,7 +101,7 @@ def check_place(spark: SparkSession, table: LayerTable) -> None:
     """Raises if the catalog's table of this name has its files elsewhere."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").filter("col_name = 'Location'")
     found = rows.first()["data_type"]
-    if _plain(found) != _plain(table.path):
+    if plain_place(found) != plain_place(table.path):
         raise ValueError(f"{table.name} has its files in {found}, not in {table.path}")
 
 
@@ -101,7 +112,7 @@ def repair_partitions(spark: SparkSession, table: LayerTable) -> None:
     spark.catalog.refreshTable(table.name)
 
 
-def _spec(partition: dict[str, str | dt.date | None]) -> str:
+def partition_spec(partition: dict[str, str | dt.date | None]) -> str:
     values = [
         f"`{k}` = " + ("null" if v is None else "'" + str(v).replace("'", "\\'") + "'")
         for k, v in partition.items()
@@ -113,7 +124,7 @@ def register_partitions(
     spark: SparkSession, table: LayerTable, partitions: Iterable[dict[str, str | dt.date | None]]
 ) -> None:
     """Makes written partitions known to the catalog and drops stale file listings."""
-    specs = [_spec(p) for p in partitions]
+    specs = [partition_spec(p) for p in partitions]
     for at in range(0, len(specs), 100):
         spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {' '.join(specs[at : at + 100])}")
     spark.catalog.refreshTable(table.name)
@@ -131,7 +142,7 @@ def forget_partitions(
 ) -> None:
     """Takes partitions out of the catalog; their files are not looked at."""
     for partition in partitions:
-        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {_spec(partition)}")
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {partition_spec(partition)}")
 
 
 def known_days(spark: SparkSession, table: LayerTable, day_column: str) -> set[dt.date]:

@@ -41,7 +41,7 @@ def test_short_and_letter_keys_are_found(docs_of):
     syllables = ["get", "user", "name", "set", "value", "index", "for", "list", "max", "count", "er", "ing"]
     names = ["".join(draw.choices(syllables, k=draw.randint(1, 6))) + draw.choice(["", "", "_1", "-v2", "2024"]) for _ in range(6000)]
     chains = fit([], names[:3000])
-    for signs in (secretscan.SIGNS[:62], secretscan.SIGNS[:52]):
+    for signs in (secretscan.SIGNS[:62], *secretscan.LETTERS):
         keys = ["".join(draw.choices(signs, k=draw.randint(16, 24))) for _ in range(400)]
         texts = [f"the key is {k} and no more" for k in keys]
         rows = docs_of(texts).select("doc_id", secrets("text", chains).alias("s")).collect()
@@ -52,6 +52,18 @@ def test_short_and_letter_keys_are_found(docs_of):
     assert sum(bool(r.s) for r in rows) < 0.02 * len(ordinary)
 
 
+def test_lower_case_keys_of_each_length_and_a_shorter_least_length(docs_of):
+    draw = random.Random(14)
+    syllables = ["get", "user", "name", "set", "value", "index", "for", "list", "max", "count", "er", "ing"]
+    names = ["".join(draw.choices(syllables, k=draw.randint(1, 6))) for _ in range(3000)]
+    for shortest, size in ((16, 16), (16, 20), (16, 24), (12, 12)):
+        chains = fit([], names, shortest)
+        keys = ["".join(draw.choices(secretscan.LETTERS[0], k=size)) for _ in range(300)]
+        rows = docs_of(keys).select(secrets("text", chains).alias("s")).collect()
+        assert sum(bool(r.s) for r in rows) >= 0.95 * len(keys)
+    assert not docs_of(keys).select(secrets("text", fit([], names)).alias("s")).where("size(s) > 0").count()
+
+
 def test_what_base_spans_leave_of_a_run(docs_of):
     draw = random.Random(13)
     names = ["".join(draw.choices(["get", "user", "name", "er", "ing", "To"], k=4)) for _ in range(3000)]

@@ -1,10 +1,10 @@
 """Secrets in texts: base patterns, and random-looking strings by character Markov models.
 
 Base spans come from one pattern a kind, kept if long enough. Beside them, each run of
-`[A-Za-z0-9+/_.=-]`, or what base spans leave of it, is scored if it has `SHORTEST`
-characters or more and is no mere number: the log likelihood under the best of several
-Markov models of random strings, less that under a model of ordinary identifiers, for each
-character. What reaches the threshold is added as kind `random`; strings without a digit
+`[A-Za-z0-9+/_.=-]`, or what base spans leave of it, is scored if it has `shortest`
+characters or more (an argument) and is no mere number: the log likelihood under the best of several
+Markov models of random strings, less that under a model of ordinary identifiers or of one
+character repeated, for each character. What reaches the threshold is added as kind `random`; strings without a digit
 have a stricter one.
 
 Training. The random models start from strings drawn with a fixed seed over usual
@@ -13,9 +13,13 @@ the identifier model learns from the other runs of four characters or more, but
 those long enough to be scored. Both samples come from at most `SAMPLE` texts, those with
 base spans and others, chosen by a hash of the text. A threshold is the least that no more
 than one in `FALSE` of the sampled ordinary runs would pass, but passed by 99 in 100 drawn
-strings, and not under `FLOOR`.
+strings, and not under `FLOOR`. For strings without a digit it is the greatest that 99 in 100
+drawn strings of small letters, of capitals, and of both pass.
 
-Offsets are code points, ends exclusive. Null is the empty text and has no spans.
+Defined results. Offsets are code points, ends exclusive. Null is the empty text; it has no
+spans. Texts are scanned whole, whatever their length. Rows that repeat get the same spans
+each; in training equal texts count once. Spans that begin together come by kind. Of an empty
+table the drawn strings alone make the models. Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -42,14 +46,16 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
-RUN = re.compile("[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 ORDINARY = re.compile("[A-Za-z0-9+/_.=-]{4,}")
 MARKED = r"AKIA|[0-9a-f]{24}|(?i:password|passwd|secret|token|api_?key).{0,4}[:=]"
 DIGIT = re.compile("[0-9]")
 LETTER = re.compile("[A-Za-z]")
 
 SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", SIGNS[:62], SIGNS[:64], SIGNS[:26] + SIGNS[52:62], SIGNS[26:62])
+LETTERS = (SIGNS[26:52], SIGNS[:26], SIGNS[:52])
+ALPHABETS = (
+    "0123456789abcdef", "0123456789ABCDEF", SIGNS[:62], SIGNS[:64], SIGNS[:26] + SIGNS[52:62], SIGNS[26:62], *LETTERS
+)
 _PLACE = np.zeros(128, np.int64)
 _PLACE[[ord(c) for c in SIGNS]] = np.arange(1, len(SIGNS) + 1)
 
@@ -78,11 +84,13 @@ def beside(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tupl
 
 @dataclass
 class Chains:
-    """Log chances [model, sign before, sign]; the last model is of identifiers."""
+    """Log chances [model, sign before, sign]; the last two are of identifiers and of
+    repeated signs."""
 
     logs: np.ndarray
     threshold: float
     letters: float  # the threshold of strings without a digit
+    shortest: int = SHORTEST
 
     def ratios(self, runs: list[str]) -> np.ndarray:
         """The log-likelihood ratio for each character of each run."""
@@ -90,7 +98,7 @@ class Chains:
             return np.zeros(0)
         each = _likelihoods(self.logs, runs)
         sizes = np.fromiter(map(len, runs), float, len(runs))
-        return (each[:-1].max(axis=0) - each[-1]) / sizes
+        return (each[:-2].max(axis=0) - each[-2:].max(axis=0)) / sizes
 
     def random(self, runs: list[str]) -> np.ndarray:
         """Whether each run reaches the threshold of its kind."""
@@ -128,7 +136,15 @@ def _fitted(runs: list[str], smooth: float) -> np.ndarray:
         return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def fit(secrets: list[str], ordinary: list[str]) -> Chains:
+def _repeats() -> np.ndarray:
+    """Log chances of rulers and padding: in 99 of 100 places the sign before once more."""
+    chances = np.full((len(SIGNS) + 1, len(SIGNS) + 1), 0.01 / (len(SIGNS) - 1))
+    np.fill_diagonal(chances, 0.99)
+    chances[0] = 1 / len(SIGNS)
+    return np.log(chances)
+
+
+def fit(secrets: list[str], ordinary: list[str], shortest: int = SHORTEST) -> Chains:
     """Chains from values of secrets and from ordinary identifiers."""
     draw = random.Random(7)
     drawn = [["".join(draw.choices(a, k=40)) for _ in range(300)] for a in ALPHABETS]
@@ -136,26 +152,23 @@ def fit(secrets: list[str], ordinary: list[str]) -> Chains:
     if secrets:
         best = _likelihoods(logs, secrets).argmax(axis=0)
         logs = np.stack([_fitted(g + [s for s, b in zip(secrets, best) if b == n], 0.05) for n, g in enumerate(drawn)])
-    chains = Chains(np.concatenate([logs, _fitted([o for o in ordinary if len(o) < SHORTEST], 0.5)[None]]), FLOOR, FLOOR)
-    judged = [o for o in ordinary if len(o) >= SHORTEST]
+    identifiers = _fitted([o for o in ordinary if len(o) < shortest], 0.5)
+    chains = Chains(np.concatenate([logs, identifiers[None], _repeats()[None]]), FLOOR, FLOOR, shortest)
+    judged = [o for o in ordinary if len(o) >= shortest]
     long = [o for o in judged if DIGIT.search(o)]
     if long:
         # Some of these may be random themselves: drawn strings bound the threshold from above.
         ratios = np.sort(chains.ratios(long))
         high = ratios[max(0, len(ratios) - 1 - len(ratios) // FALSE)]
-        random_low = np.quantile(chains.ratios([s[:SHORTEST] for g in drawn for s in g]), 0.01)
+        random_low = np.quantile(chains.ratios([s[:shortest] for g in drawn for s in g if DIGIT.search(s)]), 0.01)
         chains.threshold = float(max(FLOOR, min(high, random_low)))
-    # Words alone have no digit either: without any that are long, drawn letters decide.
-    letters = chains.ratios(["".join(draw.choices(SIGNS[:52], k=SHORTEST)) for _ in range(1000)])
-    high = random_low = np.quantile(letters, 0.01)
-    if len(long) < len(judged):
-        ratios = np.sort(chains.ratios([o for o in judged if not DIGIT.search(o)]))
-        high = np.nextafter(ratios[max(0, len(ratios) - 1 - len(ratios) // FALSE)], np.inf)
-    chains.letters = float(max(chains.threshold, min(high, random_low)))
+    # Words alone have no digit either, so these must look as random as drawn letters do.
+    words = [chains.ratios(["".join(draw.choices(a, k=shortest)) for _ in range(1000)]) for a in LETTERS]
+    chains.letters = float(max(FLOOR, min(np.quantile(own, 0.01) for own in words)))
     return chains
 
 
-def train(docs: DataFrame, text: str = "text") -> Chains:
+def train(docs: DataFrame, text: str = "text", shortest: int = SHORTEST) -> Chains:
     """Chains from texts of the table, base spans being the labels."""
     body = docs.select(F.col(text).alias("text")).where(F.col(text).isNotNull())
     body = body.withColumn("hash", F.xxhash64("text"))
@@ -175,7 +188,7 @@ def train(docs: DataFrame, text: str = "text") -> Chains:
             for m in ORDINARY.finditer(row.text)
             if not any(a < m.end() and m.start() < b for a, _, b in spans)
         ]
-    return fit(secrets, ordinary)
+    return fit(secrets, ordinary, shortest)
 
 
 FORM = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
@@ -184,15 +197,17 @@ FORM = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end",
 def secrets(text: str | Column, chains: Chains) -> Column:
     """Array of (start, kind, end), in order; `kind` is a place in `KINDS`."""
 
+    run = "[A-Za-z0-9+/_.=-]{%d,}" % chains.shortest
+
     @F.arrow_udf("array<struct<start int, kind int, end int>>")
     def scan(column: pa.Array) -> pa.Array:
         rows, runs, where = [], [], []
         for n, body in enumerate(strings(column)):
             found = base_spans(body)
             rows.append(found)
-            for m in RUN.finditer(body):
+            for m in re.finditer(run, body):
                 for start, end in beside(m.start(), m.end(), found):
-                    if end - start >= SHORTEST and LETTER.search(body, start, end):
+                    if end - start >= chains.shortest and LETTER.search(body, start, end):
                         runs.append(body[start:end])
                         where.append((n, start, end))
         for (n, start, end), is_random in zip(where, chains.random(runs).tolist()):

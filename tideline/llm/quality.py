@@ -9,9 +9,14 @@ leaf values below it. The grown trees are flattened into arrays of nodes (featur
 children), and all texts of a batch walk all trees one level at a time.
 
 At most `SAMPLE` labelled texts a class are learnt from, chosen by a hash of their id.
-Words are runs of characters other than space and tab to carriage return. Null and empty
-texts have no words and fail the rules. Without labels of both kinds the rules alone
-decide.
+Their statistics are taken in tasks; only these go to the driver.
+
+Defined results. Words are runs of characters other than space and tab to carriage return.
+Null and empty texts have no words and fail the rules. Very long texts are measured whole.
+Rows that repeat get the same result each; in learning equal texts count once, with the
+least of their labels. Equal gains go to the first statistic and the least cut. Without
+labels of both kinds, as with empty tables, the rules alone decide. Further columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.batches import chunks, strings
+from tideline.llm.batches import chunks, list_array, strings
 from tideline.llm.hashing import run_hashes, step
 
 FEWEST, MOST_REPEATED, WINDOW = 20, 30, 8
@@ -218,10 +223,23 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     chosen = [kinds.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for v in (0, 1)]
     picked = F.broadcast(chosen[0].union(chosen[1]))  # 2 x SAMPLE rows at most
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(picked, "id")
-    found = rows.groupBy("text").agg(F.min("label").alias("label")).orderBy(F.xxhash64("text"), "text").collect()
-    parts = [statistics(part)[1] for part in chunks([r.text or "" for r in found])]
-    table = np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
-    return grow(table, np.array([r.label == 1 for r in found], bool))
+    texts = rows.groupBy("text").agg(F.min("label").alias("label"))
+    measured = texts.select(F.xxhash64("text").alias("key"), "label", _statistics_of("text").alias("row"))
+    found = sorted((r.key, r.label, r.row) for r in measured.collect())  # a few numbers a text
+    table = np.array([row for _, _, row in found], float).reshape(-1, len(STATISTICS))
+    return grow(table, np.array([label == 1 for _, label, _ in found], bool))
+
+
+def _statistics_of(text: str | Column) -> Column:
+    @F.arrow_udf("array<double>")
+    def measure(column: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.list_(pa.float64()))]
+        for texts in chunks(strings(column)):
+            table = statistics(texts)[1].astype(np.float64)
+            parts.append(list_array(table.ravel(), np.full(len(texts), len(STATISTICS))))
+        return pa.concat_arrays(parts)
+
+    return measure(text)
 
 
 def base_failed(words: Column, repeats: Column) -> Column:

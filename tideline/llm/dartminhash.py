@@ -18,8 +18,11 @@ enough are checked on their shingle sets; links make classes. So a bucket of any
 worked off in bounded groups that return fewer links than they have members, no bucket is
 skipped, and copies are never paired with each other.
 
-Null and empty texts are equal to one another; texts without a word have no signature and
-only exact copies. Rows with the same id are one document, with the links of all its texts.
+Defined results. Null and empty texts are equal to one another; texts without a word have no
+signature and only exact copies. Long texts are signed whole. Rows with the same id are one
+document, with the links of all its texts. A class and a group of copies are named after
+their least id, so ties cannot arise. Empty tables give no rows; further columns are not
+looked at.
 """
 
 from __future__ import annotations

@@ -17,8 +17,12 @@ candidates are positives, by a lower confidence bound. The trees become SQL expr
 
 Candidates at or above the threshold that meet no base span are added, of overlapping ones
 the higher score, then the longer, then the earlier. Base spans always stay. Offsets are
-code points, ends exclusive. Null is the empty text and has no spans. Without any positive
-there are no trees and only base spans.
+code points, ends exclusive.
+
+Defined results. Null is the empty text and has no spans. Long texts are searched whole. Rows
+that repeat get the same spans each, and count each in training. Without any positive, as in
+an empty table, there are no trees and only base spans. Further columns stay; helper columns
+take names that the table does not have.
 """
 
 from __future__ import annotations

@@ -12,7 +12,10 @@ result unless a pair made by such a merge ranks before the merged pair, or piece
 pieces for which the vocabulary allows that are marked when it is read, and of the
 segment's best pair only the leftmost occurrence merges if it makes a marked piece.
 
-Null and empty texts have no ids; an empty id list is the empty text.
+Defined results. Null and empty texts have no ids; an empty id list is the empty text. Long
+texts are encoded whole; a word without an end is one segment. Of pairs of equal rank the
+leftmost merges first. Rows that repeat get the same ids each. An empty table gives an empty
+result; further columns are not looked at.
 """
 
 from __future__ import annotations

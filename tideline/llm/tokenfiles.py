@@ -16,8 +16,10 @@ documents (u32), number of ids and of data bytes (u64); then of the documents th
 (i64), whether each is null (u8), and lengths (u64); control bytes; data bytes. The file
 `vocabulary.ids` holds the ids (u32) by number.
 
-Documents are in ascending id, nulls first, and by digest of the tokens where ids are
-equal. A null or empty text is the end id alone.
+Defined results. Documents are in ascending id, nulls first, and by digest of the tokens where
+ids are equal; rows that repeat are documents of their own. A null or empty text is the end id
+alone. Long texts are written whole, in one block however many ids they have. An empty table
+has no documents in its files; further columns are not looked at.
 """
 
 from __future__ import annotations

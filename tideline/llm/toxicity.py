@@ -16,8 +16,10 @@ ridge, and a logistic regression on the expected number of toxic words, their de
 the highest chance turns marginals into a document score. Both use at most `SAMPLE`
 documents a class, chosen by a hash of their id; scoring runs on all rows and whole texts.
 
-Null and empty texts have no words and get the score of a text without toxic words.
-Without labels of both kinds every text has the smoothed share of toxic labels as score.
+Defined results. Null and empty texts have no words and get the score of a text without toxic
+words. Long texts are scored whole. Rows that repeat get the same score each. Without labels
+of both kinds, as with empty tables, every text has the smoothed share of toxic labels as
+score. Further columns are not looked at.
 """
 
 from __future__ import annotations

@@ -15,8 +15,10 @@ what is concurrent to a record is grouped by that identifier, combined before th
 the rest), and joined to the response or revisit. A request or metadata record whose main
 record is missing gives no capture.
 
-A null payload is empty; a null id is written as `none` and is never the largest; a null
-address has no target header. Rows with equal ids are captures of their own.
+Defined results. A null payload is empty; a null id is written as `none` and is never the
+largest; a null address has no target header. Long payloads are written and read whole. Rows
+with equal ids are captures of their own. An empty table makes no captures; further columns
+are not looked at.
 """
 
 from __future__ import annotations

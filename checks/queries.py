@@ -35,6 +35,8 @@ DAY = 86_400
 RANGE = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
 # The day from which sessions are carried on.
 ONWARD_FROM = dt.date(2024, 1, 16)
+# Most files of an arrival; streams take 1,000 at a time, so one micro-batch has it whole.
+ARRIVAL_FILES = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -388,16 +390,24 @@ def external_table_silver(spark, sf_dir):
 
 
 def _arriving(spark, sf_dir) -> list[DataFrame]:
-    """The raw rows in four files, by time but for every seventh row, which comes a file late."""
+    """The raw rows in four arrivals, by time but for every seventh row, which comes an arrival
+    late. The table is read once; an arrival has as many files as its rows have splits, up to
+    what a micro-batch takes in."""
     raw = given.raw_events(spark, sf_dir)
     at, late = F.to_date(F.substring("event_time", 1, 10), "yyyy-MM-dd"), F.col("event_id") % 7 == 0
     day = F.when(F.col("event_time") == "not-a-time", 1).otherwise(F.dayofmonth(at))
-    turn = F.least(F.floor((day - 1) / 8) + late.cast("int"), F.lit(3))
-    return [raw.where(turn == n).select(*schemas.RAW.names).coalesce(1) for n in range(4)]
+    turn = F.least(F.floor((day - 1) / 8) + late.cast("int"), F.lit(3)).cast("int")
+    dealt = raw.select(*schemas.RAW.names, turn.alias("turn"))
+    folder = f"{scratch_dir(spark)}/dealt"
+    dealt.write.partitionBy("turn").parquet(folder)
+    rows = spark.read.schema(dealt.schema).parquet(folder)
+    return [
+        rows.where(F.col("turn") == n).select(*schemas.RAW.names).coalesce(ARRIVAL_FILES) for n in range(4)
+    ]
 
 
 def _drained(start: Callable[[], StreamingQuery], parts: list[DataFrame], folder: str) -> None:
-    """Lets the files come one by one, each followed by a run of the stream over what is new."""
+    """Lets the arrivals come one by one, each followed by a run of the stream over what is new."""
     for part in parts:
         part.write.mode("append").option("header", True).csv(folder)
         start().awaitTermination()

@@ -3,10 +3,12 @@
 import random
 import tempfile
 import uuid
+from collections import Counter
 from pathlib import Path
 
 import pytest
 
+from checks import queries, raw_events
 from test_repair import HOUR, events
 from tideline import schemas
 from tideline.operators import activity, sessions
@@ -125,3 +127,15 @@ def test_all_layers_follow_the_files(spark, lake, folder, monkeypatch):
     assert latest.where("status <> 'SUCCESS'").count() == 0
     run().awaitTermination()  # nothing new
     assert spark.table(lake.silver.name).count() == len(rows)
+
+
+def test_arrivals_are_written_by_many_tasks(spark, folder, monkeypatch):
+    """A table of several files: an arrival is no single task's, and has no more files than allowed."""
+    table = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    table.repartition(4).write.parquet(f"{folder}/sf/events.parquet")
+    parts = queries._arriving(spark, f"{folder}/sf")
+    assert [part.rdd.getNumPartitions() for part in parts] == [4] * 4
+    have, want = [row for part in parts for row in part.collect()], raw_events.raw_events(spark, f"{folder}/sf")
+    assert Counter(have) == Counter(want.select(*schemas.RAW.names).collect())
+    monkeypatch.setattr(queries, "ARRIVAL_FILES", 2)
+    assert [part.rdd.getNumPartitions() for part in queries._arriving(spark, f"{folder}/sf")] == [2] * 4

@@ -1,5 +1,6 @@
 """Streams over files against batches over all of them."""
 
+import inspect
 import random
 import tempfile
 import uuid
@@ -139,3 +140,9 @@ def test_arrivals_are_written_by_many_tasks(spark, folder, monkeypatch):
     assert Counter(have) == Counter(want.select(*schemas.RAW.names).collect())
     monkeypatch.setattr(queries, "ARRIVAL_FILES", 2)
     assert [part.rdd.getNumPartitions() for part in queries._arriving(spark, f"{folder}/sf")] == [2] * 4
+
+
+def test_a_micro_batch_takes_an_arrival_whole():
+    """Else the first part of one would move the watermark past the late rows of the others."""
+    for reader in (read_raw_stream, stream_into_lake):
+        assert queries.ARRIVAL_FILES <= inspect.signature(reader).parameters["files_a_batch"].default

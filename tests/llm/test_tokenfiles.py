@@ -65,3 +65,24 @@ def test_a_small_cache_gives_the_same_ids(monkeypatch):
         ids, lengths = words.encode(texts)
         assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
         assert len(words.known) == len(words.uses) == len(words.starts) <= 20 + 3 * 30 and "the" in words.known
+
+
+def test_a_word_is_split_into_runs_once(monkeypatch):
+    """Further texts of words that were seen are looked up whole, whatever the runs in them."""
+    words, tokenizer = tokenfiles.Words(FILE), Tokenizer.from_file(FILE)
+    texts = ["It's well-known: a1b22 (foo), BAR! naïve.", "漢字 It's ÉTÉ, well-known:"]
+    want = [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert words.encode(texts)[0].tolist() == want
+    monkeypatch.setattr(tokenfiles, "RUNS", None)
+    monkeypatch.setattr(words, "runs", None)
+    ids, lengths = words.encode([texts[1], "", texts[0]])
+    assert lengths.tolist()[1] == 0 and sorted(ids.tolist()) == sorted(want)
+
+
+def test_a_small_cache_of_runs_gives_the_same_ids(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "CACHED_RUNS", 5)
+    words, tokenizer, draw = tokenfiles.Words(FILE), Tokenizer.from_file(FILE), random.Random(8)
+    for _ in range(20):
+        text = " ".join("".join(draw.choices("abé,.1", k=5)) for _ in range(9))
+        assert words.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(words.runs) <= 5 + 9 * 5

@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, islice
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ MAGIC = b"TLIDS001"
 HEAD = np.dtype([("magic", "S8"), ("documents", "<u4"), ("ids", "<u8"), ("bytes", "<u8")])
 FILE_IDS = 4_000_000
 BLOCK_IDS = 500_000
-CACHED_WORDS = 150_000
+CACHED_WORDS, CACHED_RUNS = 400_000, 100_000
 #: How the tokenizer splits, and words for which runs of letters and of signs, and
 #: single digits, are that: no apostrophes (endings) or angle brackets (special tokens).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -58,14 +59,30 @@ BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
+TOKEN_ID = attrgetter("id")
+
+
+class Runs(dict):
+    """Ids of runs of simple letters or signs, by the library's merges, at their first look-up."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, run: str) -> list[int]:
+        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(BYTE_SIGNS)
+        self[run] = ids = list(map(TOKEN_ID, self.model.tokenize(spelled)))
+        return ids
+
+
 class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
     The tokenizer must lower letters, and split at white space, which it drops, and
     between letters and signs; that is checked. So a text's ids are those of its words
-    one after another, and where a text or word has only Latin letters and simple signs
-    (`SIMPLE`), those of its runs of either, of which there are far fewer. Runs go straight
-    to the library's merges, other words through the whole library."""
+    one after another, and where a word has only Latin letters and simple signs (`SIMPLE`),
+    those of its runs of either, of which there are far fewer. Words are parted at
+    ASCII white space and looked up whole; only new ones are split into runs, which go
+    straight to the library's merges, or through the whole library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,7 +94,7 @@ class Words:
         if splits[0].get("pattern", {}).get("Regex") != SPLIT or lowers != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("a tokenizer that splits or normalises in another way")
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Numbered()
+        self.known, self.runs = Numbered(), Runs(self.tokenizer.model)
         self.starts = self.lengths = self.uses = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -90,19 +107,22 @@ class Words:
         self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
         self.starts = np.cumsum(self.lengths) - self.lengths
 
-    def _ids(self, parts: list[str]) -> list[list[int]]:
-        """Ids of each run or word."""
-        model, odd = self.tokenizer.model, []
-        out: list[list[int]] = [[]] * len(parts)
-        for n, part in enumerate(parts):
-            if SIMPLE.fullmatch(part):
-                spelled = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
-                out[n] = [t.id for t in model.tokenize(spelled)]
+    def _ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word."""
+        runs, odd = self.runs, []
+        if len(runs) > CACHED_RUNS:
+            runs.clear()
+        out: list[list[int]] = [[]] * len(words)
+        for n, word in enumerate(words):
+            if word.isascii() and word.isalpha():
+                out[n] = runs[word.lower()]
+            elif SIMPLE.fullmatch(word):
+                out[n] = [i for part in RUNS.findall(word.lower()) for i in runs[part]]
             else:
                 odd.append(n)
         for at in range(0, len(odd), 10_000):
             some = odd[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([parts[n] for n in some], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([words[n] for n in some], add_special_tokens=False)
             for n, encoding in zip(some, found):
                 out[n] = encoding.ids
         return out
@@ -111,11 +131,11 @@ class Words:
         """Ids of all texts, flat, and how many each has."""
         if len(self.known) > CACHED_WORDS:
             self._thin()
-        known, index, counts, before = self.known, [], [], len(self.known)
+        known, index, before = self.known, [np.zeros(0, np.int64)], len(self.known)
         for text in texts:
-            parts = _parts(text)
-            counts.append(len(parts))
-            index.extend(map(known.__getitem__, parts))
+            words = _split(text)
+            index.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+        counts = np.fromiter(map(len, index[1:]), np.int64, len(texts))
         if len(known) > before:
             found = self._ids(list(islice(known, before, None)))
             lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -124,23 +144,21 @@ class Words:
             self.lengths = np.r_[self.lengths, lengths]
             self.flat = np.r_[self.flat, flat]
             self.uses = np.r_[self.uses, np.zeros(len(found), np.int64)]
-        index = np.array(index, np.int64)
+        index = np.concatenate(index)
         self.uses += np.bincount(index, minlength=len(self.uses))
-        ids = self.flat[ranges(self.starts[index], self.lengths[index])]
-        upto = np.r_[0, np.cumsum(self.lengths[index])]
-        ends = np.cumsum(np.array(counts, np.int64))
-        return ids, upto[ends] - upto[ends - np.array(counts, np.int64)]
+        lengths = self.lengths[index]
+        ids = self.flat[ranges(self.starts[index], lengths)]
+        upto = np.r_[0, np.cumsum(lengths)]
+        ends = np.cumsum(counts)
+        return ids, upto[ends] - upto[ends - counts]
 
 
-def _parts(text: str) -> list[str]:
-    """Runs of a simple text; else runs of its simple words, and its other words."""
+def _split(text: str) -> list[str]:
+    """Words of a text, parted at ASCII white space only; lowered if it is simple, so that
+    fewer differ."""
     if SIMPLE_TEXT.fullmatch(text):
-        return RUNS.findall(text.lower())
-    parts: list[str] = []
-    for word in text.encode("utf-8", "replace").split():  # at ASCII white space only
-        word = word.decode()
-        parts += RUNS.findall(word.lower()) if SIMPLE.fullmatch(word) else [word]
-    return parts
+        return text.lower().split()
+    return [word.decode() for word in text.encode("utf-8", "replace").split()]
 
 
 @lru_cache(maxsize=2)
@@ -173,23 +191,27 @@ def token_bytes(text: str | Column, tokenizer: str, end: int | None = None) -> C
 def packed(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of the numbers (u32)."""
     numbers = numbers.astype("<u4")
-    extra = (numbers > 0xFF).astype(np.uint8) + (numbers > 0xFFFF) + (numbers > 0xFFFFFF)
-    padded = np.zeros(-(-len(numbers) // 4) * 4, np.uint8)
-    padded[: len(numbers)] = extra
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = numbers.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    extra, width = np.zeros(-(-len(numbers) // 4) * 4, np.uint8), 1
+    for n in (1, 2, 3):
+        if (longer := numbers >= 1 << 8 * n).any():
+            extra[: len(numbers)] += longer
+            width = n + 1
+    control = extra[0::4] | extra[1::4] << 2 | extra[2::4] << 4 | extra[3::4] << 6
+    kept = np.arange(width, dtype=np.uint8) <= extra[: len(numbers), None]
+    data = numbers.view(np.uint8).reshape(-1, 4)[:, :width][kept]
     return control.tobytes(), data.tobytes()
 
 
 def unpacked(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
     """The numbers that `packed` wrote."""
-    lengths = LENGTHS[control].ravel()[:count].astype(np.int64)
-    starts = np.cumsum(lengths) - lengths
+    lengths = LENGTHS[control].ravel()[:count]
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
     padded = np.r_[data, np.zeros(4, np.uint8)]
     out = padded[starts].astype(np.uint32)
     for n in (1, 2, 3):
         longer = np.flatnonzero(lengths > n)
-        out[longer] |= padded[starts[longer] + n].astype(np.uint32) << np.uint32(8 * n)
+        if len(longer):
+            out[longer] |= padded[starts[longer] + n].astype(np.uint32) << np.uint32(8 * n)
     return out
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -86,3 +87,40 @@ def test_a_small_cache_of_runs_gives_the_same_ids(monkeypatch):
         text = " ".join("".join(draw.choices("abé,.1", k=5)) for _ in range(9))
         assert words.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
         assert len(words.runs) <= 5 + 9 * 5
+
+
+def test_many_new_words_are_merged_at_once(monkeypatch):
+    """In few calls of the library, whatever the chunk: short texts, one long text, white space at either end."""
+    monkeypatch.setattr(tokenfiles, "CHUNK_BYTES", 5000)
+    tokenizer, draw = Tokenizer.from_file(FILE), random.Random(9)
+    signs = "aabbccddeeééñßÿÀ12.,;!-_¡§ð"
+    words = ["".join(draw.choices(signs, k=draw.randint(1, 12))) for _ in range(3000)]
+    texts = [" ".join(words), None, "", " \t", "\nA b\x0b", " J̌ Ǆ H̱ <|ENDOFTEXT|> ", "É\n", "a\x1cb\x85c\xa0d "]
+    texts += [" ".join(draw.choices(words, k=50)) for _ in range(60)]
+    found = tokenfiles.Words(FILE)
+    library, calls = found.runs.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, some, **more):
+            calls.append(len(some))
+            return library.encode_batch_fast(some, **more)
+
+    found.runs.tokenizer = Counted()
+    monkeypatch.setattr(tokenfiles, "_words", lambda path: found)
+    parts = list(tokenfiles._parts(pa.array(texts[1:]).fill_null("")))
+    assert len(parts) > 2 and sum(map(len, parts)) == len(texts) - 1
+    have = [ids.tolist() for ids in tokenfiles._encoded(pa.array(texts), FILE, None)]
+    assert have == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(calls) <= len(parts) + 1 and sum(calls) < 3000
+
+
+def test_contents_of_files_are_not_shuffled(spark, docs_of):
+    """However large they are; the list of files is a row a file."""
+    files = write_tokens(docs_of(["one two", "three"]), FILE, end=1)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = read_tokens(spark, files)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert "Exchange hashpartitioning" not in plan

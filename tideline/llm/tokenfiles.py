@@ -30,14 +30,14 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, islice
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.batches import chunks, in_batches, ranges, strings
+from tideline.llm.batches import in_batches, ranges
 from tideline.llm.files import file_name, new_file
 from tideline.llm.pieces import Numbered
 from tideline.llm.storage import shared_folder, stored
@@ -46,43 +46,106 @@ MAGIC = b"TLIDS001"
 HEAD = np.dtype([("magic", "S8"), ("documents", "<u4"), ("ids", "<u8"), ("bytes", "<u8")])
 FILE_IDS = 4_000_000
 BLOCK_IDS = 500_000
-CACHED_WORDS, CACHED_RUNS = 400_000, 100_000
+CHUNK_BYTES = 4_000_000
+CACHED_WORDS, CACHED_RUNS = 400_000, 400_000
 #: How the tokenizer splits, and words for which runs of letters and of signs, and
 #: single digits, are that: no apostrophes (endings) or angle brackets (special tokens).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN = r"0-9A-Za-zÀ-ÖØ-öø-ÿ!\"#$%&()*+,\-./:;=?@\[\]^_`{|}~"
-SIMPLE, SIMPLE_TEXT = re.compile(f"[{LATIN}]+"), re.compile(f"[{LATIN} \t-\r]+")
-RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ \t-\r]+")
+SIMPLE, SIMPLE_TEXT = re.compile(f"[{LATIN}]+"), f"^[{LATIN} \t-\r]*$"
+RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9 ]|[^0-9a-zß-öø-ÿ \t-\r]+")
+END_OF_WORD = "</w>"
 #: How the tokenizer writes bytes for its merges: signs as they are, others from 256 on.
 SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
-BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in SHOWN)}
+SPELLING = np.arange(256, dtype="<u4")
+SPELLING[[b for b in range(256) if b not in SHOWN]] = 256 + np.arange(256 - len(SHOWN))
+SPELLING[ord(" ")] = ord(" ")
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
-TOKEN_ID = attrgetter("id")
+class Coded:
+    """Strings that were looked up, numbered, and the ids of each, flat."""
 
+    def __init__(self):
+        self.known = Numbered()
+        self.starts = self.lengths = self.uses = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
 
-class Runs(dict):
-    """Ids of runs of simple letters or signs, by the library's merges, at their first look-up."""
+    def __len__(self) -> int:
+        return len(self.known)
 
-    def __init__(self, model):
-        self.model = model
+    def thin(self, most: int):
+        """Above `most` strings, keeps the half of it that was looked up most, later uses counting more."""
+        if len(self.known) <= most:
+            return
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: most // 2])
+        names = list(self.known)
+        self.known = Numbered((names[k], n) for n, k in enumerate(kept.tolist()))
+        self.flat = self.flat[ranges(self.starts[kept], self.lengths[kept])]
+        self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def numbers(self, names: list[str]) -> np.ndarray:
+        """The numbers of strings; the ids of new ones are found at once."""
+        known, before = self.known, len(self.known)
+        found = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        if len(known) > before:
+            flat, starts, lengths = self._ids(list(islice(known, before, None)))
+            self.starts = np.r_[self.starts, len(self.flat) + starts]
+            self.lengths = np.r_[self.lengths, lengths]
+            self.flat = np.r_[self.flat, flat]
+            self.uses = np.r_[self.uses, np.zeros(len(lengths), np.int64)]
+        return found
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings with these numbers, flat, and how many each has."""
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        lengths = self.lengths[numbers]
+        return self.flat[ranges(self.starts[numbers], lengths)], lengths
+
+    def _ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of strings, flat, where those of each begin, and how many it has."""
+        raise NotImplementedError
 
-    def __missing__(self, run: str) -> list[int]:
-        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(BYTE_SIGNS)
-        self[run] = ids = list(map(TOKEN_ID, self.model.tokenize(spelled)))
-        return ids
 
+class Runs(Coded):
+    """Runs of simple letters or signs, or a blank, which has no ids.
 
-class Words:
+    The library merges many at once, given as words parted by blanks: the last id of a
+    run, and no other, is one that ends a word; names without `<` cannot hold that mark."""
+
+    def __init__(self, model):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        super().__init__()
+        self.tokenizer = Tokenizer(model)
+        self.tokenizer.pre_tokenizer = WhitespaceSplit()
+        spelled = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(spelled.values()) + 1, bool)
+        self.last[[i for token, i in spelled.items() if token.endswith(END_OF_WORD)]] = True
+        if model.end_of_word_suffix != END_OF_WORD:
+            raise ValueError("a tokenizer that marks the ends of words in another way")
+
+    def _ids(self, new):
+        runs = [run for run in new if run != " "]
+        joined = [_spelled(" ".join(runs[at : at + 200])) for at in range(0, len(runs), 200)]
+        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        lengths = np.zeros(len(new), np.int64)
+        lengths[[run != " " for run in new]] = np.diff(np.flatnonzero(self.last[flat]), prepend=-1)
+        return flat, np.cumsum(lengths) - lengths, lengths
+
+
+class Words(Coded):
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
     The tokenizer must lower letters, and split at white space, which it drops, and
     between letters and signs; that is checked. So a text's ids are those of its words
     one after another, and where a word has only Latin letters and simple signs (`SIMPLE`),
     those of its runs of either, of which there are far fewer. Words are parted at
-    ASCII white space and looked up whole; only new ones are split into runs, which go
-    straight to the library's merges, or through the whole library."""
+    ASCII white space and looked up whole; only new ones are split into runs, all of a chunk
+    at once, which go straight to the library's merges, or through the whole library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -93,72 +156,64 @@ class Words:
         lowers = [n["type"] for n in (form["normalizer"] or {}).get("normalizers", [])]
         if splits[0].get("pattern", {}).get("Regex") != SPLIT or lowers != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("a tokenizer that splits or normalises in another way")
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.runs = Numbered(), Runs(self.tokenizer.model)
-        self.starts = self.lengths = self.uses = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _thin(self):
-        """Keeps the half of `CACHED_WORDS` that was looked up most, later uses counting more."""
-        kept = np.sort(np.argsort(-self.uses, kind="stable")[: CACHED_WORDS // 2])
-        words = list(self.known)
-        self.known = Numbered((words[k], n) for n, k in enumerate(kept.tolist()))
-        self.flat = self.flat[ranges(self.starts[kept], self.lengths[kept])]
-        self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
-        self.starts = np.cumsum(self.lengths) - self.lengths
-
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word."""
-        runs, odd = self.runs, []
-        if len(runs) > CACHED_RUNS:
-            runs.clear()
-        out: list[list[int]] = [[]] * len(words)
-        for n, word in enumerate(words):
-            if word.isascii() and word.isalpha():
-                out[n] = runs[word.lower()]
-            elif SIMPLE.fullmatch(word):
-                out[n] = [i for part in RUNS.findall(word.lower()) for i in runs[part]]
-            else:
-                odd.append(n)
+        self.runs = Runs(self.tokenizer.model)
+
+    def _ids(self, new):
+        simple = np.fromiter((SIMPLE.fullmatch(word) is not None for word in new), bool, len(new))
+        plain = [word for word, given in zip(new, simple.tolist()) if given]
+        odd = [word for word, given in zip(new, simple.tolist()) if not given]
+        lengths = np.zeros(len(new), np.int64)
+        flat = np.zeros(0, np.uint32)
+        if plain:
+            self.runs.thin(CACHED_RUNS)
+            flat, sizes = self.runs.ids(self.runs.numbers(RUNS.findall(" ".join(plain).lower())))
+            # Only the blanks between words have no ids.
+            ends = np.cumsum(sizes)[np.r_[np.flatnonzero(sizes == 0), len(sizes) - 1]]
+            lengths[simple] = np.diff(ends, prepend=0)
+        others = []
         for at in range(0, len(odd), 10_000):
-            some = odd[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([words[n] for n in some], add_special_tokens=False)
-            for n, encoding in zip(some, found):
-                out[n] = encoding.ids
-        return out
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = self.tokenizer.encode_batch_fast(odd[at : at + 10_000], add_special_tokens=False)
+            others += [encoding.ids for encoding in found]
+        lengths[~simple] = list(map(len, others))
+        order = np.r_[np.flatnonzero(simple), np.flatnonzero(~simple)]
+        starts = np.zeros(len(new), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.r_[flat, np.fromiter(chain.from_iterable(others), np.uint32)], starts, lengths
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and how many each has."""
-        if len(self.known) > CACHED_WORDS:
-            self._thin()
-        known, index, before = self.known, [np.zeros(0, np.int64)], len(self.known)
-        for text in texts:
-            words = _split(text)
-            index.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-        counts = np.fromiter(map(len, index[1:]), np.int64, len(texts))
-        if len(known) > before:
-            found = self._ids(list(islice(known, before, None)))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-            self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(lengths) - lengths]
-            self.lengths = np.r_[self.lengths, lengths]
-            self.flat = np.r_[self.flat, flat]
-            self.uses = np.r_[self.uses, np.zeros(len(found), np.int64)]
-        index = np.concatenate(index)
-        self.uses += np.bincount(index, minlength=len(self.uses))
-        lengths = self.lengths[index]
-        ids = self.flat[ranges(self.starts[index], lengths)]
+        self.thin(CACHED_WORDS)
+        words = _split(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        distinct = words.flatten().dictionary_encode()
+        names = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, lengths = self.ids(self.numbers(names)[distinct.indices.to_numpy()])
         upto = np.r_[0, np.cumsum(lengths)]
-        ends = np.cumsum(counts)
-        return ids, upto[ends] - upto[ends - counts]
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
+        return ids, np.diff(upto[ends], prepend=0)
+
+
+def _spelled(runs: str) -> str:
+    """Runs as the tokenizer writes their bytes for its merges, parted by blanks."""
+    return runs if runs.isascii() else SPELLING[np.frombuffer(runs.encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+
+def _split(texts: pa.Array) -> pa.Array:
+    """Words of texts, parted at ASCII white space only; lowered in simple texts, so that
+    fewer differ. There is an empty word before or after white space at an end."""
+    simple = pc.match_substring_regex(texts, SIMPLE_TEXT)
+    return pc.ascii_split_whitespace(pc.if_else(simple, pc.utf8_lower(texts), texts))
 
 
-def _split(text: str) -> list[str]:
-    """Words of a text, parted at ASCII white space only; lowered if it is simple, so that
-    fewer differ."""
-    if SIMPLE_TEXT.fullmatch(text):
-        return text.lower().split()
-    return [word.decode() for word in text.encode("utf-8", "replace").split()]
+def _parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in slices of about `CHUNK_BYTES`; a longer text is alone."""
+    upto, at = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while at < len(texts):
+        done = int(upto[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + CHUNK_BYTES, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 @lru_cache(maxsize=2)
@@ -168,7 +223,7 @@ def _words(path: str) -> Words:
 
 def _encoded(column: pa.Array, tokenizer: str, end: int | None) -> Iterator[np.ndarray]:
     """Ids of each text, `end` after them."""
-    for texts in chunks(strings(column)):
+    for texts in _parts(column.fill_null("")):
         ids, lengths = _words(tokenizer).encode(texts)
         if end is not None:
             ids = np.insert(ids, np.cumsum(lengths), end)
@@ -373,6 +428,7 @@ def read_tokens(spark: SparkSession, files: TokenFiles) -> DataFrame:
         return spark.createDataFrame([], "id long, start long, tokens binary")
     contents = spark.read.format("binaryFile").option("pathGlobFilter", "*-*.ids").load(files.folder)
     named = contents.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    wanted = named.join(files.listed.select("name", "start"), "name")
+    # A row a file. Without the hint the contents are shuffled before the list is seen to be small.
+    wanted = named.join(F.broadcast(files.listed.select("name", "start")), "name")
     return wanted.select("start", "content").mapInArrow(decode, "id long, start long, tokens binary")
 

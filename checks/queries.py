@@ -37,6 +37,8 @@ RANGE = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
 ONWARD_FROM = dt.date(2024, 1, 16)
 # Most files of an arrival; streams take 1,000 at a time, so one micro-batch has it whole.
 ARRIVAL_FILES = 500
+# Events to each task that holds open sessions of a stream; no more sessions can be open.
+STATE_EVENTS = 250_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -413,15 +415,20 @@ def _drained(start: Callable[[], StreamingQuery], parts: list[DataFrame], folder
         start().awaitTermination()
 
 
+def _state_tasks(spark: SparkSession, events: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-events // STATE_EVENTS))
+
+
 def stream_sessions(spark, sf_dir):
     """Sessions given out by a stream with late rows; one event of a far day closes the rest."""
     folder = scratch_dir(spark)
     end = [("2030-01-01 00:00:00 UTC", "end", None, None, None, None, None, "-1", None)]
     parts = [*_arriving(spark, sf_dir), spark.createDataFrame(end, schemas.RAW)]
+    tasks = _state_tasks(spark, given.table(spark, sf_dir).count())
 
     def start():
         found = closed_sessions(read_raw_stream(spark, f"{folder}/csv"), "12 days", HALF_HOUR)
-        return store_closed_sessions(found, f"{folder}/sessions", f"{folder}/checkpoint")
+        return store_closed_sessions(found, f"{folder}/sessions", f"{folder}/checkpoint", tasks)
 
     _drained(start, parts, f"{folder}/csv")
     return read_closed_sessions(spark, f"{folder}/sessions")

@@ -146,3 +146,34 @@ def test_a_micro_batch_takes_an_arrival_whole():
     """Else the first part of one would move the watermark past the late rows of the others."""
     for reader in (read_raw_stream, stream_into_lake):
         assert queries.ARRIVAL_FILES <= inspect.signature(reader).parameters["files_a_batch"].default
+
+
+def test_state_is_dealt_to_tasks_by_its_size(spark, folder, monkeypatch):
+    """Not to as many as the session shuffles into; and further runs keep the number of the first."""
+    monkeypatch.setattr(queries, "STATE_EVENTS", 150)
+    assert queries._state_tasks(spark, 901) == 7
+    assert queries._state_tasks(spark, 0) == spark.sparkContext.defaultParallelism
+    number, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for tasks, row in ((7, (1, 1)), (9, (-1, 900))):
+        send(events(spark, [row]), folder)
+        found = closed_sessions(read_raw_stream(spark, f"{folder}/csv"), "1 hour")
+        run = store_closed_sessions(found, f"{folder}/sessions", f"{folder}/check", tasks)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == number
+        run.awaitTermination()
+        seen += [state.numStateStoreInstances for batch in run.recentProgress for state in batch.stateOperators]
+    assert set(seen) == {7}
+    assert [(u, n) for u, _, n in stored(spark, folder)] == [(1, 1)]
+
+
+def test_the_query_sizes_its_state(spark, monkeypatch):
+    given, plain = [], queries.store_closed_sessions
+    monkeypatch.setattr(queries, "STATE_EVENTS", 150)
+
+    def store(found, path, checkpoint, state_tasks=None):
+        given.append(state_tasks)
+        return plain(found, path, checkpoint, state_tasks)
+
+    monkeypatch.setattr(queries, "store_closed_sessions", store)
+    events_of = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    queries.stream_sessions(spark, "/root/testdata/sf0.001")
+    assert given == [max(spark.sparkContext.defaultParallelism, -(-events_of // 150))] * 5

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +14,7 @@ from tideline.operators.cleaning import clean_events, typed_events
 from tideline.operators.sessions import GAP_SECONDS, check_gap
 from tideline.sinks import replace_load
 
+SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
 # The folder of a micro-batch, by its number.
 BATCH = "batch"
 CLOSED = T.StructType(
@@ -78,25 +82,44 @@ def closed_sessions(
     )
 
 
-def store_closed_sessions(sessions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+@contextmanager
+def _shuffled_into(spark: SparkSession, tasks: int | None) -> Iterator[None]:
+    """A stream that is started within keeps this number, or the session's, for its shuffles."""
+    before = spark.conf.get(SHUFFLE_TASKS)
+    spark.conf.set(SHUFFLE_TASKS, tasks or before)
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_TASKS, before)
+
+
+def store_closed_sessions(
+    sessions: DataFrame, path: str, checkpoint: str, state_tasks: int | None = None
+) -> StreamingQuery:
     """Writes what has arrived, in micro-batches, and stops; the next call goes on from there.
 
     A micro-batch has a folder of its own, by day within it, and replaces it when it is run
     again after a failure: each session is stored once. ``checkpoint`` and ``path`` are
     shared folders.
+
+    Open sessions are dealt to ``state_tasks`` tasks (without it, the session's number for
+    shuffles) by the first call; the checkpoint keeps its number. A stream's plan is not adaptive:
+    in every micro-batch each of them loads and stores its state, however little that is, and
+    writes a file a day. So they are best sized to the sessions open at a time.
     """
     require_utc_session(sessions.sparkSession)
 
     def store(rows: DataFrame, number: int) -> None:
         replace_load(rows, f"{path}/{BATCH}={number}", schemas.SILVER_DAY)
 
-    return (
-        sessions.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(store)
-        .start()
-    )
+    with _shuffled_into(sessions.sparkSession, state_tasks):
+        return (
+            sessions.writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(store)
+            .start()
+        )
 
 
 def read_closed_sessions(spark: SparkSession, path: str) -> DataFrame:
